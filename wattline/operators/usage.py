@@ -37,6 +37,37 @@ def usage(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFrame:
     return usage_documents(ends, subtract(F.col("last_value"), F.col("first_value")))
 
 
+def window_ends(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFrame:
+    """Both ends of every window of a batch, with what is needed to merge them with other batches."""
+    t = F.col("t")
+    latest = (
+        with_seconds(readings)
+        .groupBy("feed_id", "t")
+        .agg(F.max("arrival").alias("arrival"), F.max_by("value", "arrival").alias("value"))
+    )
+    return (
+        assign_closed_windows(latest, steps)
+        .groupBy(*WINDOW)
+        .agg(
+            F.min(t).alias("first_t"),
+            F.min_by("arrival", t).alias("first_arrival"),
+            F.min_by("value", t).alias("first_value"),
+            F.max(t).alias("last_t"),
+            F.max_by("arrival", t).alias("last_arrival"),
+            F.max_by("value", t).alias("last_value"),
+        )
+    )
+
+
+def merge_ends(ends: DataFrame) -> DataFrame:
+    """Usage documents from the window ends of any number of batches."""
+    merged = ends.groupBy(*WINDOW).agg(
+        F.min_by("first_value", F.struct(F.col("first_t"), -F.col("first_arrival"))).alias("first_value"),
+        F.max_by("last_value", F.struct("last_t", "last_arrival")).alias("last_value"),
+    )
+    return usage_documents(merged, subtract(F.col("last_value"), F.col("first_value")))
+
+
 def usage_documents(windows: DataFrame, value) -> DataFrame:
     """Published shape of usage rows, with the id they are upserted under."""
     start, end = epoch_seconds(F.col("ws")), epoch_seconds(F.col("we"))
