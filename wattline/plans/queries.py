@@ -278,7 +278,7 @@ def date_functions(spark, sf_dir):
         D.epoch_seconds(seconds).alias("epoch_s"),
         D.epoch_millis(seconds).alias("epoch_ms"),
         D.millis_text(D.epoch_millis(seconds)).alias("millis_text"),
-        F.when(a <= b, D.period_days(a, b)).cast("bigint").alias("period_days"),
+        D.period_days(a, b).cast("bigint").alias("period_days"),
         D.whole_units_between(at, till, "HOUR").alias("hours"),
         D.whole_units_between(at, till, "MINUTE").alias("minutes"),
         D.millis_between(at, till).alias("millis"),
