@@ -15,8 +15,8 @@ def _epoch() -> Column:
 
 
 def seconds_of(ts: Column) -> Column:
-    """Wall-clock seconds of a TIMESTAMP_NTZ."""
-    return F.timestamp_diff("SECOND", _epoch(), ts)
+    """Wall-clock seconds of a TIMESTAMP_NTZ; ``timestampdiff`` would go through the session zone."""
+    return (ts - _epoch()).cast("interval second").cast("bigint")
 
 
 def time_of(seconds: Column) -> Column:
@@ -114,13 +114,13 @@ def period_days(start: Column, end: Column) -> Column:
     )
 
 
-def whole_units_between(start: Column, end: Column, unit: str) -> Column:
-    """Whole HOUR / MINUTE / SECOND units between two moments, cut towards zero."""
-    return F.timestamp_diff(unit, start, end)
+def whole_units_between(start: Column, end: Column, seconds: int) -> Column:
+    """Whole units of so many seconds between two moments, cut towards zero."""
+    return ((seconds_of(end) - seconds_of(start)) / seconds).cast("bigint")
 
 
 def millis_between(start: Column, end: Column) -> Column:
-    return (F.timestamp_diff("MICROSECOND", start, end) / 1000).cast("bigint")
+    return ((end - start).cast("interval second").cast("decimal(20,6)") * 1000).cast("bigint")
 
 
 def is_same_day(date: Column, today: Column) -> Column:

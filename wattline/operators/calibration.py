@@ -62,7 +62,7 @@ def formula_lookup(readings: DataFrame, compiled: DataFrame) -> DataFrame:
 def apply_formula(readings: DataFrame) -> DataFrame:
     """Adds ``result``: the value after all steps, null when it cannot be computed."""
     result = fold_ops(F.col("value"), F.col("ops"))
-    return readings.withColumn("result", F.when(F.isnan(result), None).otherwise(result))
+    return readings.withColumn("result", F.nanvl(result, F.lit(None).cast("double")))
 
 
 def emit(readings: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.numbers import PLACES, subtract
 from wattline.functions.textfn import phase_id, usage_id
-from wattline.functions.timefn import epoch_seconds, step_start, text_of
+from wattline.functions.timefn import epoch_seconds, step_after, step_start, text_of
 from wattline.operators.running import CHUNK, running
 from wattline.operators.windows import assign_closed_windows, with_seconds
 from wattline.schemas import ALL_STEPS, USAGE_STEPS
@@ -22,41 +22,66 @@ def latest_per_instant(readings: DataFrame) -> DataFrame:
     return with_seconds(readings).groupBy("feed_id", "t").agg(F.max_by("value", "arrival").alias("value"))
 
 
-def usage(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFrame:
-    """Usage documents, final per feed and window.
+def window_ends(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFrame:
+    """Earliest and latest reading of every closed window, from readings without ties.
 
-    With ties settled first, time alone orders a window's readings.  A window's
-    ends are then plain min_by / max_by, which need no sort and combine before
-    the shuffle.
+    Plain min_by / max_by over time: no sort, and combined before the shuffle.
     """
-    ends = (
-        assign_closed_windows(latest_per_instant(readings), steps)
+    carried = [c for c in ("value", "arrival") if c in readings.columns]
+    return (
+        assign_closed_windows(readings, steps)
+        .groupBy(*WINDOW)
+        .agg(
+            F.min("t").alias("first_t"),
+            F.max("t").alias("last_t"),
+            *[F.min_by(c, "t").alias(f"first_{c}") for c in carried],
+            *[F.max_by(c, "t").alias(f"last_{c}") for c in carried],
+        )
+    )
+
+
+def widen(ends: DataFrame, steps: list[str]) -> DataFrame:
+    """Ends of wider windows from the ends of the windows they are made of."""
+    start = F.col("ws")
+    wider = [
+        F.struct(
+            F.lit(s).alias("step"),
+            step_start(start, s).alias("ws"),
+            step_after(step_start(start, s), s).alias("we"),
+        )
+        for s in steps
+    ]
+    kept = ["first_t", "last_t", "first_value", "last_value"]
+    return (
+        ends.select("feed_id", *kept, F.inline(F.array(*wider)))
         .groupBy(*WINDOW)
-        .agg(F.min_by("value", "t").alias("first_value"), F.max_by("value", "t").alias("last_value"))
+        .agg(
+            F.min_by("first_value", "first_t").alias("first_value"),
+            F.max_by("last_value", "last_t").alias("last_value"),
+        )
     )
+
+
+def usage(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFrame:
+    """Usage documents, final per feed and window; ``steps`` go from narrow to wide.
+
+    With ties settled first, time alone orders a window's readings.  Only the
+    narrowest windows are made from readings; wider ones are made from them.
+    """
+    ends = window_ends(latest_per_instant(readings), steps[:1])
+    if len(steps) > 1:
+        ends = widen(ends, steps)
     return usage_documents(ends, subtract(F.col("last_value"), F.col("first_value")))
 
 
-def window_ends(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFrame:
-    """Both ends of every window of a batch, with what is needed to merge them with other batches."""
-    t = F.col("t")
+def batch_ends(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFrame:
+    """Window ends of one batch, with the arrivals needed to merge them with other batches."""
     latest = (
         with_seconds(readings)
         .groupBy("feed_id", "t")
         .agg(F.max("arrival").alias("arrival"), F.max_by("value", "arrival").alias("value"))
     )
-    return (
-        assign_closed_windows(latest, steps)
-        .groupBy(*WINDOW)
-        .agg(
-            F.min(t).alias("first_t"),
-            F.min_by("arrival", t).alias("first_arrival"),
-            F.min_by("value", t).alias("first_value"),
-            F.max(t).alias("last_t"),
-            F.max_by("arrival", t).alias("last_arrival"),
-            F.max_by("value", t).alias("last_value"),
-        )
-    )
+    return window_ends(latest, steps)
 
 
 def merge_ends(ends: DataFrame) -> DataFrame:

@@ -15,18 +15,17 @@ def with_seconds(readings: DataFrame) -> DataFrame:
 def assign_closed_windows(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFrame:
     """One row per reading and window [ws, we] with ws <= t <= we.
 
-    All steps come out of one pass over the readings; a missing second window
-    is dropped before rows are made, not after.
+    All steps come out of one pass over the readings.  A window that does not
+    apply is a null element and is filtered right behind the generator, within
+    the same generated code; filtering the array itself would be interpreted.
     """
-    t = F.col("t")
+    rows, t = with_seconds(readings), F.col("t")
     windows = []
     for step in steps:
         start = step_start(t, step)
         windows.append(_window(step, start))
         windows.append(F.when(start == t, _window(step, step_before(start, step))))
-    present = F.filter(F.array(*windows), lambda w: w.isNotNull())
-    kept = [F.col(c) for c in with_seconds(readings).columns]
-    return with_seconds(readings).select(*kept, F.inline(present))
+    return rows.select(*rows.columns, F.inline(F.array(*windows))).where(F.col("step").isNotNull())
 
 
 def _window(step, start):

@@ -279,8 +279,8 @@ def date_functions(spark, sf_dir):
         D.epoch_millis(seconds).alias("epoch_ms"),
         D.millis_text(D.epoch_millis(seconds)).alias("millis_text"),
         D.period_days(a, b).cast("bigint").alias("period_days"),
-        D.whole_units_between(at, till, "HOUR").alias("hours"),
-        D.whole_units_between(at, till, "MINUTE").alias("minutes"),
+        D.whole_units_between(at, till, 3600).alias("hours"),
+        D.whole_units_between(at, till, 60).alias("minutes"),
         D.millis_between(at, till).alias("millis"),
         D.is_same_day(a, b).cast("int").alias("same_day"),
         D.format_date(D.first_day_of_month(a)).alias("first_day"),

@@ -56,9 +56,9 @@ def replay_from(envelopes: DataFrame, start, column: str = "arrival") -> DataFra
 def decode_messages(envelopes: DataFrame) -> DataFrame:
     """Envelope text to message columns; unparsable text lands in ``corrupt``, empty text is dropped."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
-    parsed = envelopes.where(F.length(F.trim("value")) > 0).withColumn("m", F.from_json("value", MESSAGE, options))
-    kept = [c for c in envelopes.columns]
-    return parsed.select(*kept, "m.*")
+    # A generated row is a barrier: later filters cannot pull copies of from_json below it.
+    parsed = F.inline(F.array(F.from_json("value", MESSAGE, options)))
+    return envelopes.where(F.length(F.trim("value")) > 0).select(*envelopes.columns, parsed)
 
 
 def decode_formulas(envelopes: DataFrame) -> DataFrame:
@@ -73,8 +73,9 @@ def decode_formulas(envelopes: DataFrame) -> DataFrame:
     last = F.map_from_arrays(
         ids, F.transform(ids, lambda i: F.element_at(F.filter(entries, lambda o: o["key"] == i), -1)["value"])
     )
+    parsed = F.explode(F.array(F.from_json("value", FORMULA, options))).alias("f")
     return (
-        envelopes.withColumn("f", F.from_json("value", FORMULA, options))
+        envelopes.select("arrival", parsed)
         .where(F.col("f.corrupt").isNull() & F.col("f.inputId").isNotNull())
         .select(
             F.col("f.inputId").alias("input_id"),

@@ -15,7 +15,7 @@ from wattline.functions.timefn import step_before
 from wattline.operators.calibration import calibrate, latest_formulas
 from wattline.operators.provisioning import provision, resolve_new_meters
 from wattline.operators.readings import explode_readings, grid_readings, valid_messages
-from wattline.operators.usage import WINDOW, merge_ends, usage_documents, window_ends
+from wattline.operators.usage import WINDOW, batch_ends, merge_ends, usage_documents
 from wattline.operators.windows import assign_closed_windows, with_seconds
 from wattline.sinks.keyed import latest_by_key, read_batches, write_batch
 from wattline.sinks.outputs import points, write_quarantine, write_tables
@@ -172,7 +172,7 @@ class Online:
         grid = grid_readings(calibrated)
         phase = grid.select("feed_id", "code", "t", "arrival", "value")
         write_batch(phase, f"{self.root}/phase", batch)
-        write_batch(window_ends(grid), f"{self.root}/ends", batch)
+        write_batch(batch_ends(grid), f"{self.root}/ends", batch)
         for held in (messages, meters, calibrated):
             held.unpersist()
 
