@@ -1,6 +1,8 @@
 """Registry and formula lookups, and the calibrated value."""
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.expressions import (
@@ -16,6 +18,11 @@ from wattline.operators.running import CHUNK, running
 from wattline.schemas import ORI, VAL
 
 
+# A formula table up to this size is broadcast; its versions per input bound the work per reading.
+MAX_BROADCAST_BYTES = 64 << 20
+MAX_VERSIONS = 64
+
+
 def latest_formulas(formulas: DataFrame) -> DataFrame:
     """One formula per input: the newest version."""
     names = [c for c in formulas.columns if c not in ("input_id", "version")]
@@ -26,19 +33,50 @@ def latest_formulas(formulas: DataFrame) -> DataFrame:
     )
 
 
-def compile_formulas(formulas: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class FormulaSize:
+    """What decides how formulas meet readings; measured, one row to the driver."""
+
+    bytes: int
+    versions: int
+    compound: bool
+
+    @property
+    def small(self) -> bool:
+        return self.bytes <= MAX_BROADCAST_BYTES
+
+
+def measure_formulas(formulas: DataFrame) -> FormulaSize:
+    """Size of the formulas as broadcast rows, most versions of one input, and whether any step is an expression."""
+    # A compiled operation takes about 32 bytes and stems from at least two characters of text.
+    size = F.lit(200) + 16 * F.coalesce(F.length("steps"), F.lit(0))
+    per_input = formulas.groupBy("input_id").agg(
+        F.count("*").alias("versions"),
+        F.sum(size).alias("bytes"),
+        F.max(~is_simple(F.col("steps"))).alias("compound"),
+    )
+    row = per_input.agg(F.sum("bytes"), F.max("versions"), F.max("compound")).first()
+    return FormulaSize(row[0] or 0, row[1] or 0, bool(row[2]))
+
+
+def compile_formulas(formulas: DataFrame, compound: bool = True) -> DataFrame:
     """Adds ``ops``, the steps as (operator, constant) pairs.
 
     One operator and one operand per step is done with built-ins.  Steps that are
-    whole expressions go through Python, per formula and only when there are any.
+    whole expressions go through Python, per formula; ``compound=False`` says there are none.
     """
-    simple = is_simple(F.col("steps"))
-    native = formulas.where(simple).withColumn("ops", simple_ops(F.col("steps"), F.col("operands")))
-    compound = formulas.where(~simple)
-    if compound.isEmpty():
+    native = formulas.withColumn("ops", simple_ops(F.col("steps"), F.col("operands")))
+    if not compound:
         return native
     texts = F.transform(step_list(F.col("steps")), lambda s: substitute(s, F.col("operands")))
-    return native.unionByName(compound.withColumn("ops", compound_ops(texts)))
+    simple = is_simple(F.col("steps"))
+    return native.where(simple).unionByName(formulas.where(~simple).withColumn("ops", compound_ops(texts)))
+
+
+def _lookup_side(compiled: DataFrame, size: FormulaSize, *keys: str) -> DataFrame:
+    """The columns a reading takes from its formula; broadcast when measured small."""
+    side = compiled.select(*keys, F.col("feed_id").alias("val_feed_id"), "ops", F.lit(True).alias("has_formula"))
+    return F.broadcast(side) if size.small else side
 
 
 def registry_lookup(readings: DataFrame, registry: DataFrame) -> DataFrame:
@@ -51,12 +89,14 @@ def registry_lookup(readings: DataFrame, registry: DataFrame) -> DataFrame:
     return nonempty_code(readings.drop("input_id", "feed_id")).join(known, "meter_key")
 
 
-def formula_lookup(readings: DataFrame, compiled: DataFrame) -> DataFrame:
-    """Adds the formula's feed and operations where the input has a formula."""
-    formulas = compiled.select(
-        "input_id", F.col("feed_id").alias("val_feed_id"), "ops", F.lit(True).alias("has_formula")
-    )
-    return readings.join(formulas, "input_id", "left")
+def formula_lookup(readings: DataFrame, formulas: DataFrame) -> DataFrame:
+    """Adds the formula's feed and operations where the input has a formula.
+
+    Formulas too large to broadcast are joined by input, with hot inputs split at run time.
+    """
+    size = measure_formulas(formulas)
+    compiled = compile_formulas(formulas, size.compound)
+    return readings.join(_lookup_side(compiled, size, "input_id"), "input_id", "left")
 
 
 def apply_formula(readings: DataFrame) -> DataFrame:
@@ -81,16 +121,32 @@ def emit(readings: DataFrame) -> DataFrame:
 
 def calibrate(readings: DataFrame, registry: DataFrame, formulas: DataFrame) -> DataFrame:
     """ORI and VAL rows of registered readings under the newest formulas."""
-    compiled = compile_formulas(latest_formulas(formulas))
-    return emit(apply_formula(formula_lookup(registry_lookup(readings, registry), compiled)))
+    known = registry_lookup(readings, registry)
+    return emit(apply_formula(formula_lookup(known, latest_formulas(formulas))))
 
 
-def formula_as_of(readings: DataFrame, formulas: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def formula_as_of(
+    readings: DataFrame, formulas: DataFrame, size: FormulaSize | None = None, chunk: int = CHUNK
+) -> DataFrame:
     """Adds ``version``: the newest formula version that arrived no later than the reading.
 
-    Formula arrivals are carried along each input's arrival order, chunk by
-    chunk, so neither many readings nor many versions of one input meet in one task.
+    A small table with few versions per input is broadcast as intervals of
+    arrival, of which a reading lies in at most one, and readings stay where
+    they are.  Otherwise formula arrivals are carried along each input's arrival
+    order, chunk by chunk, so that neither many readings nor many versions of
+    one input meet in one task.
     """
+    size = size or measure_formulas(formulas)
+    if size.small and size.versions <= MAX_VERSIONS:
+        following = F.lead("version").over(Window.partitionBy("input_id").orderBy("version"))
+        spans = formulas.select("input_id", "version", following.alias("_until"))
+        r, f = readings.alias("r"), F.broadcast(spans).alias("f")
+        current = (
+            (F.col("r.input_id") == F.col("f.input_id"))
+            & (F.col("r.arrival") >= F.col("f.version"))
+            & (F.col("f._until").isNull() | (F.col("r.arrival") < F.col("f._until")))
+        )
+        return r.join(f, current, "left").select("r.*", "f.version")
     changes = formulas.select("input_id", F.col("version").alias("arrival"), F.col("version"))
     rows = readings.withColumn("version", F.lit(None).cast("bigint")).withColumn("_reading", F.lit(True))
     events = rows.unionByName(changes, allowMissingColumns=True)
@@ -104,9 +160,7 @@ def calibrate_as_of(
     readings: DataFrame, registry: DataFrame, formulas: DataFrame, chunk: int = CHUNK
 ) -> DataFrame:
     """ORI and VAL rows, each reading under the formula current when it arrived."""
-    dated = formula_as_of(registry_lookup(readings, registry), formulas, chunk)
-    compiled = compile_formulas(formulas).select(
-        "input_id", "version", F.col("feed_id").alias("val_feed_id"), "ops", F.lit(True).alias("has_formula")
-    )
-    joined = dated.join(compiled, ["input_id", "version"], "left").drop("version")
-    return emit(apply_formula(joined))
+    size = measure_formulas(formulas)
+    dated = formula_as_of(registry_lookup(readings, registry), formulas, size, chunk)
+    side = _lookup_side(compile_formulas(formulas, size.compound), size, "input_id", "version")
+    return emit(apply_formula(dated.join(side, ["input_id", "version"], "left").drop("version")))

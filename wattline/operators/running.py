@@ -28,7 +28,7 @@ def running(
     in ``carry`` (max, min, sum, max_by ...).  With ``include_current=False`` a
     row sees only the rows before it.
     """
-    rows = rows.withColumn("_chunk", F.floor(F.col(order) / chunk))
+    rows = rows.withColumn("_chunk", F.expr(f"`{order}` div {chunk}"))
     totals = rows.groupBy(*keys, "_chunk").agg(*[agg.alias(name) for name, agg in carry.items()])
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     seeds = (

@@ -332,8 +332,8 @@ def _registered(spark, sf_dir):
 
 
 def _with_result(spark, sf_dir):
-    compiled = C.compile_formulas(C.latest_formulas(_formulas(spark, sf_dir)))
-    return C.apply_formula(C.formula_lookup(_registered(spark, sf_dir), compiled))
+    latest = C.latest_formulas(_formulas(spark, sf_dir))
+    return C.apply_formula(C.formula_lookup(_registered(spark, sf_dir), latest))
 
 
 def _emitted(rows):
@@ -377,8 +377,7 @@ def apply_steps(spark, sf_dir):
 
 @query
 def eval_expression(spark, sf_dir):
-    compiled = C.compile_formulas(X.compound_formulas(spark, sf_dir))
-    rows = C.apply_formula(C.formula_lookup(_registered(spark, sf_dir), compiled))
+    rows = C.apply_formula(C.formula_lookup(_registered(spark, sf_dir), X.compound_formulas(spark, sf_dir)))
     return rounded(rows.select("event_id", "code", "result"), "result")
 
 
