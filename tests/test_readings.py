@@ -1,0 +1,151 @@
+import pytest
+from pyspark.sql import functions as F
+
+from wattline.functions import numbers as N
+from wattline.functions import textfn as S
+from wattline.functions import timefn as D
+from wattline.operators import readings as R
+from wattline.sources import messages as M
+
+
+def decoded(spark, *texts):
+    rows = [(t, i) for i, t in enumerate(texts)]
+    return M.decode_messages(spark.createDataFrame(rows, "value string, arrival bigint"))
+
+
+def message(sn="s1", add="1", data='[{"code":"B2","value":1.5}]', time="2024-01-10 01:10:00"):
+    return f'{{"sn":"{sn}","topic":"t","time":"{time}","type":"1","add":"{add}","data":{data}}}'
+
+
+@pytest.mark.parametrize(
+    "text,reason",
+    [
+        ("not json", "bad json"),
+        ('{"sn":"x","data":[]}', "no add"),
+        (message(sn=""), "no sn"),
+        (message(data="[]"), "no data"),
+        (message(data="null"), "no data"),
+        (message(data='[{"code":"B2","value":"abc"}]'), "bad value"),
+        (message(time="10.01.2024"), "bad time"),
+        (message(time="2024-13-10 01:10:00"), "bad time"),
+    ],
+)
+def test_rejects_carry_their_reason_and_text(spark, text, reason):
+    messages = decoded(spark, text, message())
+    (bad,) = R.rejected_messages(messages).collect()
+    assert (bad["reason"], bad["value"], bad["arrival"]) == (reason, text, 0)
+    assert [r["arrival"] for r in R.valid_messages(messages).collect()] == [1]
+
+
+def test_empty_text_is_dropped(spark):
+    assert decoded(spark, "", "   ").count() == 0
+
+
+def test_values_as_text_missing_or_empty(spark):
+    data = '[{"code":"B2","value":"12.5"},{"code":"C2"},{"code":"D4","value":""},{"code":"E3","value":-1e-3}]'
+    rows = R.explode_readings(R.valid_messages(decoded(spark, message(data=data)))).orderBy("arrival").collect()
+    assert [(r["code"], r["value"]) for r in rows] == [("B2", 12.5), ("C2", 0.0), ("D4", 0.0), ("E3", -0.001)]
+    assert [r["meter_key"] for r in rows][:2] == ["s1_B2_1_1", "s1_C2_1_1"]
+    assert (rows[0]["origin"], rows[0]["delay"]) == (0, 0)
+
+
+def test_arrival_orders_readings_within_and_across_messages(spark):
+    data = '[{"code":"B2","value":1},{"code":"B2","value":2}]'
+    rows = R.explode_readings(R.valid_messages(decoded(spark, message(data=data), message()))).collect()
+    arrivals = [r["arrival"] for r in sorted(rows, key=lambda r: (r["value"], r["arrival"]))]
+    assert len(set(arrivals)) == 3 and max(a for a in arrivals) == R.MESSAGE_SLOTS
+
+
+def test_meter_key_spells_out_null(spark):
+    row = spark.range(1).select(S.meter_key(F.lit("a"), F.lit(None).cast("string"), F.lit("1"), F.lit("2"))).first()
+    assert row[0] == "a_null_1_2"
+
+
+def test_grid_and_metered_codes(spark):
+    times = ["01:00:00", "01:10:00", "01:11:00", "01:10:01"]
+    rows = [(f"2024-01-10 {t}", c) for t in times for c in ("A29", "A10", "a29")]
+    df = spark.createDataFrame(rows, "s string, code string").withColumn("ts", F.col("s").cast("timestamp_ntz"))
+    got = {(r["s"][11:], r["code"]) for r in R.grid_readings(df).collect()}
+    assert got == {("01:00:00", "A29"), ("01:10:00", "A29")}
+
+
+def test_cohorts_split_readings(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "sn string, v int")
+    cohort = spark.createDataFrame([("a",), ("c",), ("z",)], "sn string")
+    assert {r["sn"] for r in R.in_cohort(rows, cohort).collect()} == {"a", "c"}
+    assert {r["sn"] for r in R.outside_cohort(rows, cohort).collect()} == {"b"}
+
+
+def test_reconcile_is_null_safe(spark):
+    old = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("n", None), ("o", 1.0)], "id string, v double")
+    new = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("n", None), ("w", None)], "id string, v double")
+    got = {r["id"]: r["status"] for r in R.reconcile(old, new, "id", "v").collect()}
+    assert got == {"a": "equal", "b": "different", "n": "equal", "o": "only old", "w": "only new"}
+
+
+@pytest.mark.parametrize("text,bsn", [("51101111a1t1", "jdN43cN4jcx5ncNg"), ("a", None), ("äöü~~~?>", None)])
+def test_bsn_encoding(spark, text, bsn):
+    got = spark.range(1).select(S.bsn_encode(F.lit(text))).first()[0]
+    digits = text.encode().hex()
+    numbers = [int(digits[i : i + 3], 16) for i in range(0, len(digits), 3)]
+    assert got == "".join(S.BSN_DIGITS[n % 64] + S.BSN_DIGITS[n // 64] for n in numbers)
+    assert bsn is None or got == bsn
+
+
+def test_two_character_digits(spark):
+    assert S.BSN_DIGITS[62:] == ["a1", "a2"] and len(S.BSN_DIGITS) == 64
+    # 7e3 fff: remainders 35 and 63.
+    got = spark.range(1).select(S.bsn_encode(F.lit("~?"))).first()[0]
+    assert got == S.BSN_DIGITS[0x7E3 % 64] + S.BSN_DIGITS[0x7E3 // 64] + S.BSN_DIGITS[0xF] + S.BSN_DIGITS[0]
+
+
+@pytest.mark.parametrize(
+    "start,end,days",
+    [
+        ("2024-01-31", "2024-02-29", 29),
+        ("2024-01-15", "2024-03-14", 28),
+        ("2024-01-15", "2024-03-15", 0),
+        ("1995-03-31", "1995-04-30", 30),
+        ("2024-03-15", "2024-01-20", -26),
+        ("2024-03-15", "2024-03-10", -5),
+        ("2024-03-15", "2024-01-10", -5),
+    ],
+)
+def test_period_days_is_the_day_field(spark, start, end, days):
+    got = spark.range(1).select(D.period_days(F.lit(start).cast("date"), F.lit(end).cast("date"))).first()[0]
+    assert got == days
+
+
+def test_time_round_trip_in_a_zone_with_gaps(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    times = ["2024-03-10 02:30:00", "2024-11-03 01:30:00", "1969-12-31 23:59:59", "2024-07-01 00:00:00"]
+    df = spark.createDataFrame([(t,) for t in times], "s string")
+    ts = D.parse_time(F.col("s"))
+    got = df.select(D.text_of(D.seconds_of(ts)), D.format_time(ts)).collect()
+    assert [tuple(r) for r in got] == [(t, t) for t in times]
+
+
+def test_arithmetic_follows_decimal_text(spark):
+    a, b = F.lit(0.1), F.lit(0.2)
+    row = spark.range(1).select(N.add(a, b), N.multiply(a, F.lit(3.0)), N.divide(a, F.lit(0.0)), N.round_half_up(F.lit(2.5), 0)).first()
+    assert tuple(row) == (0.3, 0.3, None, 3.0)
+    with pytest.raises(ValueError):
+        N.round_half_up(a, -1)
+
+
+def test_kafka_options():
+    options = M.kafka_options("h:9092", ["a", "b", "c"])
+    assert options["subscribe"] == "a,b,c" and options["startingOffsets"] == "latest"
+    timed = M.kafka_options("h:9092", ["a"], 1589163000000)
+    assert timed["startingTimestamp"] == "1589163000000" and "startingOffsets" not in timed
+
+
+def test_replay_without_start_is_everything(spark):
+    rows = spark.range(5).withColumnRenamed("id", "arrival")
+    assert M.replay_from(rows, 0).count() == 5 and M.replay_from(rows, 3).count() == 2
+
+
+def test_json_is_parsed_once_per_message(spark):
+    plan = R.explode_readings(R.valid_messages(decoded(spark, message())))._jdf.queryExecution().toString()
+    physical = plan[plan.index("Physical Plan"):]
+    assert physical.count("from_json") == 1
