@@ -19,6 +19,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "5000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
