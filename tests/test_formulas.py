@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wattline.functions.expressions import compile_step
+from wattline.functions.expressions import step_compiler
 from wattline.operators import calibration as C
 from wattline.sources.messages import decode_formulas
 
@@ -57,6 +57,7 @@ def test_calibrated_value(spark, value, steps, operands, want):
 
 
 def test_step_becomes_operator_and_constant():
+    compile_step = step_compiler()
     assert compile_step("*(3+5)/7") == [{"op": "*", "x": 8.0}, {"op": "/", "x": 7.0}]
     assert compile_step("+2*3") == [{"op": "+", "x": 6.0}]
     assert compile_step("+0.1+0.2") == [{"op": "+", "x": 0.1}, {"op": "+", "x": 0.2}]

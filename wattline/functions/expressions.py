@@ -8,7 +8,7 @@ only fold the list.
 
 import ast
 import re
-from decimal import ROUND_HALF_UP, Decimal, DecimalException
+from decimal import ROUND_HALF_UP, Decimal
 
 import pandas as pd
 from pyspark.sql import Column
@@ -65,64 +65,61 @@ def fold_ops(value: Column, ops: Column) -> Column:
     return F.aggregate(ops, value, apply)
 
 
-def _arith(op: ast.operator, a: float, b: float) -> float:
-    """One exact decimal operation on the decimal texts of two doubles."""
-    x, y = Decimal(repr(a)), Decimal(repr(b))
-    if isinstance(op, ast.Add):
-        return float(x + y)
-    if isinstance(op, ast.Sub):
-        return float(x - y)
-    if isinstance(op, ast.Mult):
-        return float(x * y)
-    if isinstance(op, ast.Div):
-        return float((x / y).quantize(Decimal("1e-16"), ROUND_HALF_UP))
-    raise ValueError("operator")
-
-
-def _constant(node: ast.expr) -> float:
-    if isinstance(node, ast.Constant) and type(node.value) in (int, float):
-        return float(node.value)
-    if isinstance(node, ast.UnaryOp) and isinstance(node.op, ast.USub):
-        return -_constant(node.operand)
-    if isinstance(node, ast.BinOp):
-        return _arith(node.op, _constant(node.left), _constant(node.right))
-    raise ValueError("not arithmetic")
-
-
-_SYMBOLS = {ast.Add: "+", ast.Sub: "-", ast.Mult: "*", ast.Div: "/"}
-
-
-def compile_step(step: str) -> list[dict]:
-    """(operator, constant) list of one step written as an arithmetic expression."""
-    if not re.fullmatch(r"[0-9.eE+\-*/()]*", step):
+def step_compiler():
+    """A function from one step's text to its (operator, constant) list.
+
+    Built in one piece so that it travels to the workers by value and the
+    package need not be installed there.
+    """
+    symbols = {ast.Add: "+", ast.Sub: "-", ast.Mult: "*", ast.Div: "/"}
+
+    def operate(op, a, b):
+        """One exact decimal operation on the decimal texts of two doubles."""
+        x, y = Decimal(repr(a)), Decimal(repr(b))
+        if isinstance(op, ast.Div):
+            return float((x / y).quantize(Decimal("1e-16"), ROUND_HALF_UP))
+        return float({"+": x + y, "-": x - y, "*": x * y}[symbols[type(op)]])
+
+    def constant(node):
+        if isinstance(node, ast.Constant) and type(node.value) in (int, float):
+            return float(node.value)
+        if isinstance(node, ast.UnaryOp) and isinstance(node.op, ast.USub):
+            return -constant(node.operand)
+        if isinstance(node, ast.BinOp):
+            return operate(node.op, constant(node.left), constant(node.right))
         raise ValueError("not arithmetic")
-    step = re.sub(r"(?<![0-9.eE])0+(?=[0-9])", "", step)
-    node = ast.parse("x" + step, mode="eval").body
-    ops = []
-    while isinstance(node, ast.BinOp):
-        ops.append({"op": _SYMBOLS[type(node.op)], "x": _constant(node.right)})
-        node = node.left
-    if not isinstance(node, ast.Name) or node.id != "x":
-        raise ValueError("value is not leftmost")
-    return ops[::-1]
-
-
-# What an unusable step becomes: an operation without a constant, so without a result.
-_INVALID = [{"op": "+", "x": None}]
 
+    def compile_step(step):
+        if not re.fullmatch(r"[0-9.eE+\-*/()]*", step):
+            raise ValueError("not arithmetic")
+        step = re.sub(r"(?<![0-9.eE])0+(?=[0-9])", "", step)
+        node = ast.parse("x" + step, mode="eval").body
+        ops = []
+        while isinstance(node, ast.BinOp):
+            ops.append({"op": symbols[type(node.op)], "x": constant(node.right)})
+            node = node.left
+        if not isinstance(node, ast.Name) or node.id != "x":
+            raise ValueError("value is not leftmost")
+        return ops[::-1]
 
-def _compile(steps) -> list[dict]:
-    try:
-        return [op for step in steps for op in compile_step(step)]
-    except (ValueError, KeyError, SyntaxError, DecimalException, TypeError, RecursionError, MemoryError):
-        return _INVALID
+    return compile_step
 
 
 def compound_ops(steps: Column) -> Column:
-    """(operator, constant) list of substituted steps (an array), one formula per row."""
+    """(operator, constant) list of substituted steps (an array), one formula per row.
+
+    An unusable step becomes an operation without a constant, so without a result.
+    """
+    compile_step = step_compiler()
 
     @F.pandas_udf(OPS)
     def compile_all(batch: pd.Series) -> pd.Series:
-        return batch.map(_compile)
+        def compiled(formula):
+            try:
+                return [op for step in formula for op in compile_step(step)]
+            except (ValueError, KeyError, SyntaxError, ArithmeticError, TypeError, RecursionError, MemoryError):
+                return [{"op": "+", "x": None}]
+
+        return batch.map(compiled)
 
     return compile_all(steps)

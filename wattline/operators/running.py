@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 CHUNK = 1 << 20
 
 
+def chunk_of(order: str, chunk: int) -> Column:
+    return F.expr(f"`{order}` div {chunk}")
+
+
 def running(
     rows: DataFrame,
     keys: list[str],
@@ -21,15 +25,18 @@ def running(
     include_current: bool = True,
     order: str = "arrival",
     chunk: int = CHUNK,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Replaces the columns in ``carry`` by their running aggregates per key.
 
     ``carry`` maps a column of ``rows`` to an associative aggregate over columns
     in ``carry`` (max, min, sum, max_by ...).  With ``include_current=False`` a
-    row sees only the rows before it.
+    row sees only the rows before it.  ``totals`` may give the aggregates per key
+    and ``_chunk`` where there is a cheaper way to them.
     """
-    rows = rows.withColumn("_chunk", F.expr(f"`{order}` div {chunk}"))
-    totals = rows.groupBy(*keys, "_chunk").agg(*[agg.alias(name) for name, agg in carry.items()])
+    rows = rows.withColumn("_chunk", chunk_of(order, chunk))
+    if totals is None:
+        totals = rows.groupBy(*keys, "_chunk").agg(*[agg.alias(name) for name, agg in carry.items()])
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     seeds = (
         totals.select(*keys, "_chunk", *[agg.over(earlier).alias(name) for name, agg in carry.items()])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from wattline.functions.numbers import PLACES, subtract
 from wattline.functions.textfn import phase_id, usage_id
 from wattline.functions.timefn import epoch_seconds, step_after, step_start, text_of
-from wattline.operators.running import CHUNK, running
+from wattline.operators.running import CHUNK, chunk_of, running
 from wattline.operators.windows import assign_closed_windows, with_seconds
 from wattline.schemas import ALL_STEPS, USAGE_STEPS
 
@@ -22,7 +22,7 @@ def latest_per_instant(readings: DataFrame) -> DataFrame:
     return with_seconds(readings).groupBy("feed_id", "t").agg(F.max_by("value", "arrival").alias("value"))
 
 
-def window_ends(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFrame:
+def window_ends(readings: DataFrame, steps: list[str] = USAGE_STEPS, also_by: list[str] = ()) -> DataFrame:
     """Earliest and latest reading of every closed window, from readings without ties.
 
     Plain min_by / max_by over time: no sort, and combined before the shuffle.
@@ -30,7 +30,7 @@ def window_ends(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFram
     carried = [c for c in ("value", "arrival") if c in readings.columns]
     return (
         assign_closed_windows(readings, steps)
-        .groupBy(*WINDOW)
+        .groupBy(*WINDOW, *also_by)
         .agg(
             F.min("t").alias("first_t"),
             F.max("t").alias("last_t"),
@@ -114,17 +114,35 @@ def usage_changelog(readings: DataFrame, steps: list[str] = USAGE_STEPS, chunk:
     Per window the earliest and the latest reading so far are carried along;
     of equal times the later arrival replaces the earlier one at both ends.
     """
-    t, order = F.col("t"), F.col("arrival")
-    rows = (
-        assign_closed_windows(readings, steps)
-        .withColumn("first", F.struct(t.alias("t"), (-order).alias("o"), F.col("value").alias("v")))
-        .withColumn("last", F.struct(t.alias("t"), order.alias("o"), F.col("value").alias("v")))
-        .select(*WINDOW, "arrival", "first", "last")
+    rows = assign_closed_windows(readings, steps).select(
+        *WINDOW, "arrival", *_ends_so_far(F.col("t"), F.col("arrival"), F.col("value"), F.col("arrival"), F.col("value"))
     )
-    ends = running(rows, WINDOW, {"first": F.min("first"), "last": F.max("last")}, chunk=chunk)
+    carry = {"first": F.min("first"), "last": F.max("last")}
+    ends = running(rows, WINDOW, carry, chunk=chunk, totals=_chunk_ends(readings, steps, chunk))
     return usage_documents(ends, subtract(F.col("last.v"), F.col("first.v")))
 
 
+def _ends_so_far(t, first_arrival, first_value, last_arrival, last_value, last_t=None):
+    """Both ends as structs that sort by time, then by who wins a tie."""
+    return (
+        F.struct(t.alias("t"), (-first_arrival).alias("o"), first_value.alias("v")).alias("first"),
+        F.struct((t if last_t is None else last_t).alias("t"), last_arrival.alias("o"), last_value.alias("v")).alias("last"),
+    )
+
+
+def _chunk_ends(readings: DataFrame, steps: list[str], chunk: int) -> DataFrame:
+    """Both ends per window and chunk: ties first, so that fixed-width hash aggregates do it."""
+    ties = (
+        with_seconds(readings)
+        .groupBy("feed_id", "t", chunk_of("arrival", chunk).alias("_chunk"))
+        .agg(F.max_by("value", "arrival").alias("value"), F.max("arrival").alias("arrival"))
+    )
+    ends = window_ends(ties, steps, ["_chunk"])
+    first = [F.col(c) for c in ("first_t", "first_arrival", "first_value")]
+    last = [F.col(c) for c in ("last_arrival", "last_value", "last_t")]
+    return ends.select(*WINDOW, "_chunk", *_ends_so_far(*first, *last))
+
+
 def usage_phase(readings: DataFrame) -> DataFrame:
     """Accepted grid readings as documents keyed by feed and time; the later arrival wins."""
     latest = (
