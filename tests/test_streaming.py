@@ -1,6 +1,7 @@
 import json
 from types import SimpleNamespace
 
+import brute
 import pytest
 from conftest import random_readings, readings, seconds
 from pyspark.sql import functions as F
@@ -80,13 +81,19 @@ def test_in_order_acceptance_across_batches(spark):
         keyed.write_batch(kept, out, batch)
         keyed.write_batch(U.feed_last_time(kept), last, batch)
 
-    batches = [
-        readings(spark, [("a", "2024-01-10 01:00:00", 1, 1), ("b", "2024-01-10 05:00:00", 2, 1)]),
-        readings(spark, [("a", "2024-01-10 00:50:00", 3, 1), ("a", "2024-01-10 01:00:00", 4, 1), ("c", "2024-01-10 00:00:00", 5, 1)]),
-        readings(spark, [("b", "2024-01-10 04:50:00", 6, 1), ("b", "2024-01-10 05:10:00", 7, 1)]),
-    ]
+    rows = random_readings(300, seed=8)
+    batches = [readings(spark, rows[i : i + 100]) for i in (0, 100, 200)]
     run(spark, batches, lambda s: s, workspace(spark, "cp"), write)
-    assert {r["arrival"] for r in keyed.read_batches(spark, out).collect()} == {1, 2, 4, 5, 7}
+    got = {r["arrival"] for r in keyed.read_batches(spark, out).collect()}
+    assert got == {r[2] for r in brute.in_order(rows)} and len(got) < 300
+
+
+def test_first_seen_leaves_out_registered_meters(spark):
+    out = workspace(spark, "first")
+    rows = readings(spark, [("m", "2024-01-10 00:00:00", 1, 1), ("n", "2024-01-10 00:00:00", 2, 1)])
+    registry = spark.createDataFrame([("m",)], "meter_key string")
+    run(spark, [rows], lambda s: jobs.first_seen_stream(s, registry), workspace(spark, "cp"), jobs.to_table(out))
+    assert [r["meter_key"] for r in keyed.read_batches(spark, out).collect()] == ["n"]
 
 
 def test_a_batch_written_twice_counts_once(spark):

@@ -459,8 +459,8 @@ def decode_history_payload(spark, sf_dir):
 def backfill(spark, sf_dir):
     """Requested ranges calibrated and metered like live readings."""
     wanted = H.backfill_ranges(X.history(spark, sf_dir), X.backfill_requests(spark, sf_dir))
-    once = wanted.drop("request").distinct()
-    readings = R.explode_readings(H.decode_history_payload(once))
+    # A row asked for twice counts once: usage takes the latest arrival per instant.
+    readings = R.explode_readings(H.decode_history_payload(wanted))
     calibrated = C.calibrate(readings, X.registry(spark, sf_dir), _formulas(spark, sf_dir))
     return rounded(U.usage(R.grid_readings(calibrated)), "data_value")
 
@@ -621,8 +621,11 @@ def six_second_batches(spark, sf_dir):
 
 @query
 def document_sink(spark, sf_dir):
-    phase = U.usage_phase(_grid(spark, sf_dir))
-    return outputs.documents(phase)
+    """Documents of the five indexes."""
+    grid = _grid(spark, sf_dir)
+    phase = outputs.documents(U.usage_phase(grid)).withColumn("index", F.lit("phase"))
+    usage = rounded(U.usage(grid), "data_value").withColumn("index", F.col("step"))
+    return phase.unionByName(outputs.documents(usage, keep=["index"]))
 
 
 @query
@@ -699,7 +702,8 @@ def _usage_stream(step: str) -> Query:
 
 
 _QUERIES["usage_stream"] = _usage_stream("1h")
-_QUERIES["usage_stream_1d"] = _usage_stream("1d")
+for _step in ("30m", "1d", "1n"):
+    _QUERIES[f"usage_stream_{_step}"] = _usage_stream(_step)
 
 
 @query

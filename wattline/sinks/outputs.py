@@ -32,11 +32,10 @@ def six_second_batches(readings: DataFrame) -> DataFrame:
     )
 
 
-def documents(rows: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Rows as (_id, JSON source)."""
-    return rows.select(
-        F.col(doc_id).alias("_id"), F.to_json(F.struct(*[c for c in rows.columns if c != doc_id])).alias("source")
-    )
+def documents(rows: DataFrame, doc_id: str = "doc_id", keep: list[str] = ()) -> DataFrame:
+    """Rows as (_id, JSON source), with the columns in ``keep`` beside the source instead of in it."""
+    fields = [c for c in rows.columns if c != doc_id and c not in keep]
+    return rows.select(F.col(doc_id).alias("_id"), F.to_json(F.struct(*fields)).alias("source"), *keep)
 
 
 def write_documents(rows: DataFrame, path: str) -> None:

@@ -13,9 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from wattline.functions.numbers import subtract
 from wattline.functions.timefn import step_before
 from wattline.operators.calibration import calibrate, latest_formulas
-from wattline.operators.provisioning import provision, resolve_new_meters
+from wattline.operators.provisioning import provision, resolve_new_meters, unregistered
 from wattline.operators.readings import explode_readings, grid_readings, valid_messages
-from wattline.operators.usage import WINDOW, batch_ends, merge_ends, usage_documents
+from wattline.operators.usage import WINDOW, batch_ends, drop_out_of_order, merge_ends, usage_documents
 from wattline.operators.windows import assign_closed_windows, with_seconds
 from wattline.sinks.keyed import latest_by_key, read_batches, write_batch
 from wattline.sinks.outputs import points, write_quarantine, write_tables
@@ -60,9 +60,16 @@ def decode_readings(envelopes: DataFrame) -> DataFrame:
     return explode_readings(valid_messages(decode_messages(envelopes)))
 
 
-def first_seen_stream(readings: DataFrame, ttl: str = FIRST_SEEN_TTL) -> DataFrame:
-    """The first reading of each meter, and again once ``ttl`` has gone by since the one let through."""
-    timed = with_seconds(readings).withColumn("event_time", F.timestamp_seconds("t"))
+def first_seen_stream(
+    readings: DataFrame, registry: DataFrame | None = None, ttl: str = FIRST_SEEN_TTL
+) -> DataFrame:
+    """The first reading of each meter, and again once ``ttl`` has gone by since the one let through.
+
+    Registered meters, nearly all readings in a running system, are left out
+    before anything is shuffled by meter.
+    """
+    rows = readings if registry is None else unregistered(readings, registry)
+    timed = with_seconds(rows).withColumn("event_time", F.timestamp_seconds("t"))
     return timed.withWatermark("event_time", ttl).dropDuplicatesWithinWatermark(["meter_key"])
 
 
@@ -104,10 +111,14 @@ def read_formulas(spark: SparkSession, path: str) -> DataFrame:
 
 
 def in_order_stream(last_times: str) -> Callable[[DataFrame, int], DataFrame]:
-    """Per micro-batch, drops readings older than the newest of their feed in earlier batches."""
+    """Per micro-batch, drops readings older than the newest of their feed before them.
+
+    The newest time per feed of earlier batches is in the table ``last_times``,
+    which the caller extends with each batch.
+    """
 
     def accept(readings: DataFrame, batch: int) -> DataFrame:
-        rows = with_seconds(readings)
+        rows = drop_out_of_order(readings)
         if batch == 0:
             return rows
         seen = read_batches(readings.sparkSession, last_times).where(F.col("batch") < batch)
