@@ -1,5 +1,9 @@
 """What is written: points, documents, per-step outputs, rejects and table rows."""
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,11 +53,19 @@ def write_quarantine(messages: DataFrame, path: str, batch: int) -> None:
 
 def write_tables(tables: dict[str, DataFrame], root: str, batch: int) -> None:
     """Inserts per table as one folder per batch, so a repeated batch inserts once."""
-    for name, rows in tables.items():
-        stamped = rows.withColumns(
-            {"create_time": F.current_timestamp(), "modify_time": F.current_timestamp(), "version": F.lit(0)}
-        )
-        stamped.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch}")
+    now = F.current_timestamp()
+    stamped = {
+        name: rows.withColumns({"create_time": now, "modify_time": now, "version": F.lit(0)})
+        for name, rows in tables.items()
+    }
+    at_once([partial(write_batch, rows, f"{root}/{name}", batch) for name, rows in stamped.items()])
+
+
+def at_once(writes: list[Callable[[], None]]) -> None:
+    """Independent writes as concurrent jobs: small ones do not wait for each other's last tasks."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(write) for write in writes]:
+            done.result()
 
 
 def write_jdbc(rows: DataFrame, table: str, options: dict[str, str]) -> None:

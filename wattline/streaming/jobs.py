@@ -5,6 +5,7 @@ that is killed and restarted repeats its last batch without doubling it.
 """
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from wattline.operators.readings import explode_readings, grid_readings, valid_m
 from wattline.operators.usage import WINDOW, batch_ends, drop_out_of_order, merge_ends, usage_documents
 from wattline.operators.windows import assign_closed_windows, with_seconds
 from wattline.sinks.keyed import latest_by_key, read_batches, write_batch
-from wattline.sinks.outputs import points, write_quarantine, write_tables
+from wattline.sinks.outputs import at_once, points, write_quarantine, write_tables
 from wattline.sources.messages import decode_formulas, decode_messages
 
 FIRST_SEEN_TTL = "3 hours"
@@ -163,7 +164,6 @@ class Online:
         spark = envelopes.sparkSession
         messages = decode_messages(envelopes).persist()
         readings = explode_readings(valid_messages(messages))
-        write_quarantine(messages, f"{self.root}/quarantine", batch)
 
         base = self.dims()
         dims = {
@@ -175,15 +175,22 @@ class Online:
             for name, rows in base.items()
         }
         meters = resolve_new_meters(readings, dims).persist()
-        write_tables(provision(meters, dims), self.root, batch)
+        # Most batches bring no new meter; the first one lays the tables down either way.
+        if meters.count() or batch == 0:
+            write_tables(provision(meters, dims), self.root, batch)
 
         registry = dims["registry"].unionByName(meters.select(dims["registry"].columns))
         calibrated = calibrate(readings, registry, self.formulas()).persist()
-        write_batch(points(calibrated), f"{self.root}/points", batch)
         grid = grid_readings(calibrated)
-        phase = grid.select("feed_id", "code", "t", "arrival", "value")
-        write_batch(phase, f"{self.root}/phase", batch)
-        write_batch(batch_ends(grid), f"{self.root}/ends", batch)
+        outputs = {
+            "points": points(calibrated),
+            "phase": grid.select("feed_id", "code", "t", "arrival", "value"),
+            "ends": batch_ends(grid),
+        }
+        at_once(
+            [partial(write_quarantine, messages, f"{self.root}/quarantine", batch)]
+            + [partial(write_batch, rows, f"{self.root}/{name}", batch) for name, rows in outputs.items()]
+        )
         for held in (messages, meters, calibrated):
             held.unpersist()
 
