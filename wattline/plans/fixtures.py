@@ -1,16 +1,16 @@
-"""Metering inputs derived from the given tables.
+"""Metering inputs derived from the given tables, one row from one row.
 
-Every column of the large inputs is computed row by row from ``events``; the
-dimensions come from ``region`` and ``part``.  ``oracle.py`` states the same
-derivation in SQL.
+Readings, messages and history come from ``events``, devices and what hangs on
+them from ``supplier``, meters from ``customer`` and formula messages from
+``part``.  Events report for devices 0 to 4 only; the others are silent.
+``oracle.py`` states the same derivation in SQL.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.functions.textfn import meter_key, surrogate_id
 from wattline.functions.timefn import seconds_of, text_of, time_of
-from wattline.operators.readings import MESSAGE_SLOTS
 
 CODES = ["A29", "B2", "C2", "D4", "A10"]
 
@@ -19,6 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _sn(number) -> Column:
+    """``SN`` and the number, padded to four digits, never cut."""
+    digits = number.cast("string")
+    return F.concat(F.lit("SN"), F.when(F.length(digits) < 4, F.lpad(digits, 4, "0")).otherwise(digits))
+
+
+def _meter(number) -> dict[str, Column]:
+    """Columns of the meter with this number: ten meters per device, five codes at two addresses."""
+    sn = _sn(F.floor(number / 10))
+    code = F.get(F.array(*[F.lit(c) for c in CODES]), (number % 5).cast("int"))
+    addr = F.when(number % 10 < 5, "1").otherwise("2")
+    key = meter_key(sn, code, F.lit("1"), addr)
+    return {"sn": sn, "code": code, "type": F.lit("1"), "addr": addr, "meter_key": key}
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw readings: five devices, two addresses each, one register per code."""
     e = F.col("event_id")
@@ -30,7 +45,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "error", "D4")
         .otherwise("A10")
     )
-    sn = F.concat(F.lit("SN"), F.lpad((F.col("user_id") % 5).cast("string"), 4, "0"))
+    sn = _sn(F.col("user_id") % 5)
     addr = F.when(F.col("user_id") % 7 == 0, "2").otherwise("1")
     return table(spark, sf_dir, "events").select(
         "event_id",
@@ -106,19 +121,15 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def meters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (device, code, address) that can report."""
-    r = F.col("r_regionkey")
-    sn = F.concat(F.lit("SN"), F.lpad(r.cast("string"), 4, "0"))
-    rows = (
-        table(spark, sf_dir, "region")
-        .select(r.alias("region"), sn.alias("sn"), F.explode(F.array(F.lit("1"), F.lit("2"))).alias("addr"))
-        .select("*", F.lit("1").alias("type"), F.explode(F.array(*[F.lit(c) for c in CODES])).alias("code"))
+    number = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        F.floor(number / 10).alias("device"), *[c.alias(name) for name, c in _meter(number).items()]
     )
-    return rows.withColumn("meter_key", meter_key(F.col("sn"), F.col("code"), F.col("type"), F.col("addr")))
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known meters: all but code D4 and all but device SN0002."""
-    known = meters(spark, sf_dir).where((F.col("code") != "D4") & (F.col("region") != 2))
+    known = meters(spark, sf_dir).where((F.col("code") != "D4") & (F.col("device") != 2))
     return known.select(
         "meter_key",
         surrogate_id("input", F.col("meter_key")).alias("input_id"),
@@ -127,39 +138,31 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def formula_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Formula messages: two versions per input of A29 and B2, one (empty) for C2, and a broken one each.
+    """Formula messages for the first hundred meters, one version per part.
 
-    A29 starts as ``*1.5`` and becomes ``*1.5,+input<B2 of the same device>``;
-    B2 starts as ``/0`` and becomes ``-input<B2>,/4``.
+    Even versions are ``*1.5`` for A29 and ``/0`` for B2, odd ones
+    ``*1.5,+input<B2 of the device>`` and ``-input<B2 of the device>,/4``; C2 has
+    empty steps, and messages for the other codes are broken.  The operand is the part's price.
     """
-    m = meters(spark, sf_dir).where(F.col("code").isin("A29", "B2", "C2"))
-    partner = surrogate_id("input", meter_key(F.col("sn"), F.lit("B2"), F.col("type"), F.lit("1")))
-    prices = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("region"), "p_retailprice")
-    rows = m.join(prices, "region")
-    first = F.when(F.col("code") == "A29", "*1.5").when(F.col("code") == "B2", "/0").otherwise("")
-    second = F.when(F.col("code") == "A29", F.concat(F.lit("*1.5,+input"), partner)).when(
-        F.col("code") == "B2", F.concat(F.lit("-input"), partner, F.lit(",/4"))
-    )
-    at = (F.col("region") * 100).cast("bigint")
-    versions = F.array(
-        F.struct((at + 101).alias("arrival"), first.alias("steps")),
-        F.struct((at + 701).alias("arrival"), second.alias("steps")),
-        F.struct((at + 801).alias("arrival"), F.lit("broken").alias("steps")),
+    number, version = F.col("p_partkey") % 100, F.floor(F.col("p_partkey") / 100)
+    meter = _meter(number)
+    odd = version % 2 == 1
+    partner = surrogate_id("input", meter_key(meter["sn"], F.lit("B2"), F.lit("1"), F.lit("1")))
+    steps = (
+        F.when(meter["code"] == "A29", F.when(odd, F.concat(F.lit("*1.5,+input"), partner)).otherwise("*1.5"))
+        .when(meter["code"] == "B2", F.when(odd, F.concat(F.lit("-input"), partner, F.lit(",/4"))).otherwise("/0"))
+        .otherwise("")
     )
+    operand = F.struct(partner.alias("inputId"), F.col("p_retailprice").cast("string").alias("value"))
     body = F.struct(
-        surrogate_id("input", F.col("meter_key")).alias("inputId"),
-        F.md5(F.concat(F.lit("val"), F.col("meter_key"))).alias("feedId"),
-        "steps",
-        F.array(F.struct(partner.alias("inputId"), F.col("p_retailprice").cast("string").alias("value"))).alias(
-            "computeInputList"
-        ),
-    )
-    text = F.when(F.col("steps") == "broken", "{broken").otherwise(F.to_json(body))
-    return (
-        rows.select("*", F.inline(versions))
-        .where(F.col("steps").isNotNull())
-        .select(text.alias("value"), "arrival")
+        surrogate_id("input", meter["meter_key"]).alias("inputId"),
+        F.md5(F.concat(F.lit("val"), meter["meter_key"])).alias("feedId"),
+        steps.alias("steps"),
+        F.array(operand).alias("computeInputList"),
     )
+    text = F.when(meter["code"].isin("A29", "B2", "C2"), F.to_json(body)).otherwise("{broken")
+    arrival = version * 500 + number + 101
+    return table(spark, sf_dir, "part").select(text.alias("value"), arrival.alias("arrival"))
 
 
 def compound_formulas(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,13 +182,14 @@ def compound_formulas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _devices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = F.col("r_regionkey")
-    sn = F.concat(F.lit("SN"), F.lpad(r.cast("string"), 4, "0"))
-    return table(spark, sf_dir, "region").select(
-        r.alias("region"),
+def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("s_suppkey")
+    sn = _sn(number)
+    return table(spark, sf_dir, "supplier").select(
+        number.alias("device"),
+        (number % 5).alias("kind"),
         sn.alias("sn"),
-        F.concat(F.lit("tenant_"), (r % 2).cast("string")).alias("ds_schema"),
+        F.concat(F.lit("tenant_"), (number % 2).cast("string")).alias("ds_schema"),
         surrogate_id("device", sn).alias("device_id"),
     )
 
@@ -193,24 +197,24 @@ def _devices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Relational dimensions, per tenant where the column ``ds_schema`` says so.
 
-    SN0004 has no tenant, SN0003 is deleted, SN0002 has no sub topic and
-    SN0001's sub topic is deleted.  SN0000 address 1 already has an instrument
-    with an input and feed for D4.
+    By device number modulo 5: 4 has no tenant, 3 is deleted, 2 has no sub topic
+    and 1 a deleted one; 0 and 1 have an instrument at address 1, and that of 0
+    an input and feed for D4.
     """
-    devices = _devices(spark, sf_dir)
-    r = F.col("region")
+    known = devices(spark, sf_dir)
+    r = F.col("kind")
     suffix = F.explode(F.array(F.lit(""), F.lit("/sub"))).alias("suffix")
-    topics = devices.select("*", suffix).where((r != 2) | (F.col("suffix") == ""))
+    topics = known.select("*", suffix).where((r != 2) | (F.col("suffix") == ""))
     deleted_topic = (r == 1) & (F.col("suffix") == "/sub")
-    has_instrument = devices.where(r <= 1)
+    has_instrument = known.where(r <= 1)
     instrument_id = surrogate_id("instrument", F.col("device_id"), F.lit("1"), F.lit("1"))
     input_id = F.md5(F.concat(F.lit("kept-input"), F.col("sn")))
     numbers = F.explode(F.array(F.struct(F.lit("NORMAL").alias("feed_type"), F.lit(7).alias("num")),
                                 F.struct(F.lit("VIRTUAL").alias("feed_type"), F.lit(90).alias("num"))))
     return {
         "registry": registry(spark, sf_dir),
-        "key_schema": devices.where(r != 4).select("ds_schema", F.col("sn").alias("dev_seri_no")),
-        "iot_device": devices.select(
+        "key_schema": known.where(r != 4).select("ds_schema", F.col("sn").alias("dev_seri_no")),
+        "iot_device": known.select(
             "ds_schema",
             F.col("device_id").alias("id"),
             F.col("sn").alias("dev_seri_no"),
@@ -255,9 +259,8 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def backfill_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One day of address 1 per device, and half of the next day overlapping it for even devices."""
-    r = F.col("region")
     start = F.lit("2024-01-02 13:12:00").cast("timestamp_ntz")
-    at = F.timestamp_add("DAY", r, start)
+    at = F.timestamp_add("DAY", F.col("device") % 25, start)
     spans = F.array(
         F.struct(F.lit("day").alias("part"), at.alias("stime"), F.timestamp_add("DAY", F.lit(1), at).alias("etime")),
         F.struct(
@@ -267,13 +270,8 @@ def backfill_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     return (
-        _devices(spark, sf_dir)
-        .select("region", "sn", F.lit("1").alias("type"), F.lit("1").alias("addr"), F.inline(spans))
-        .where((F.col("part") == "day") | (r % 2 == 0))
+        devices(spark, sf_dir)
+        .select("device", "sn", F.lit("1").alias("type"), F.lit("1").alias("addr"), F.inline(spans))
+        .where((F.col("part") == "day") | (F.col("device") % 2 == 0))
         .select(F.concat_ws("-", "sn", "part").alias("request"), "sn", "type", "addr", "stime", "etime")
     )
-
-
-def message_arrival(reading_arrival):
-    """Arrival of the message a decoded reading came in."""
-    return F.floor(reading_arrival / MESSAGE_SLOTS)

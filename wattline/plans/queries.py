@@ -238,9 +238,8 @@ def doc_ids(spark, sf_dir):
 
 
 def _cohort(spark, sf_dir):
-    """Devices of even regions."""
-    sn = F.concat(F.lit("SN"), F.lpad(F.col("r_regionkey").cast("string"), 4, "0"))
-    return X.table(spark, sf_dir, "region").where(F.col("r_regionkey") % 2 == 0).select(sn.alias("sn"))
+    """Devices with an even number."""
+    return X.devices(spark, sf_dir).where(F.col("device") % 2 == 0).select("sn")
 
 
 @query
