@@ -160,6 +160,9 @@ def test_repeating_an_online_batch_changes_nothing(spark):
     before = values(job.usage(spark))
     job(envelopes.where("arrival >= 900"), 1)
     assert values(job.usage(spark)) == before
+    target = workspace(spark, "ends")
+    job.compact_ends(spark, target)
+    assert values(U.merge_ends(keyed.read_batches(spark, target))) == before
 
 
 def test_points_and_documents(spark):

@@ -172,6 +172,9 @@ def test_merged_batches_equal_one_run(spark):
     whole = documents(U.usage(readings(spark, rows)))
     parts = [U.batch_ends(readings(spark, rows[i::3])) for i in range(3)]
     assert documents(U.merge_ends(parts[0].unionByName(parts[1]).unionByName(parts[2]))) == whole
+    # Folding some batches first changes nothing.
+    folded = U.fold_ends(parts[0].unionByName(parts[1]))
+    assert documents(U.merge_ends(folded.unionByName(parts[2]))) == whole
 
 
 @pytest.mark.parametrize("zone", ["America/New_York", "Asia/Shanghai"])

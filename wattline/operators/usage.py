@@ -84,13 +84,25 @@ def batch_ends(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFrame
     return window_ends(latest, steps)
 
 
+def fold_ends(ends: DataFrame) -> DataFrame:
+    """Window ends of any number of batches as those of one; of equal times the later arrival counts."""
+    first = F.struct("first_t", (-F.col("first_arrival")).alias("o"), "first_value")
+    last = F.struct("last_t", "last_arrival", "last_value")
+    folded = ends.groupBy(*WINDOW).agg(F.min(first).alias("first"), F.max(last).alias("last"))
+    return folded.select(
+        *WINDOW,
+        "first.first_t",
+        (-F.col("first.o")).alias("first_arrival"),
+        "first.first_value",
+        "last.last_t",
+        "last.last_arrival",
+        "last.last_value",
+    )
+
+
 def merge_ends(ends: DataFrame) -> DataFrame:
     """Usage documents from the window ends of any number of batches."""
-    merged = ends.groupBy(*WINDOW).agg(
-        F.min_by("first_value", F.struct(F.col("first_t"), -F.col("first_arrival"))).alias("first_value"),
-        F.max_by("last_value", F.struct("last_t", "last_arrival")).alias("last_value"),
-    )
-    return usage_documents(merged, subtract(F.col("last_value"), F.col("first_value")))
+    return usage_documents(fold_ends(ends), subtract(F.col("last_value"), F.col("first_value")))
 
 
 def usage_documents(windows: DataFrame, value) -> DataFrame:

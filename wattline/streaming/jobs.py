@@ -16,7 +16,14 @@ from wattline.functions.timefn import step_before
 from wattline.operators.calibration import calibrate, latest_formulas
 from wattline.operators.provisioning import provision, resolve_new_meters, unregistered
 from wattline.operators.readings import explode_readings, grid_readings, valid_messages
-from wattline.operators.usage import WINDOW, batch_ends, drop_out_of_order, merge_ends, usage_documents
+from wattline.operators.usage import (
+    WINDOW,
+    batch_ends,
+    drop_out_of_order,
+    fold_ends,
+    merge_ends,
+    usage_documents,
+)
 from wattline.operators.windows import assign_closed_windows, with_seconds
 from wattline.sinks.keyed import latest_by_key, read_batches, write_batch
 from wattline.sinks.outputs import at_once, points, write_quarantine, write_tables
@@ -197,3 +204,7 @@ class Online:
     def usage(self, spark: SparkSession) -> DataFrame:
         """Usage documents over all batches: the ends of each batch, merged."""
         return merge_ends(read_batches(spark, f"{self.root}/ends"))
+
+    def compact_ends(self, spark: SparkSession, target: str) -> None:
+        """Writes the window ends of all batches as batch 0 of a new table."""
+        write_batch(fold_ends(read_batches(spark, f"{self.root}/ends")), target, 0)
