@@ -36,6 +36,28 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM p
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BENCH_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP10 = f"""
+WITH d AS (SELECT doc_id, {_BENCH_WORDS} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, w, least(10, len(w)) AS n
+      FROM (SELECT item_id, {_BENCH_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+g AS (SELECT DISTINCT item_id, n, array_to_string(w[p : p + n - 1], ' ') AS gram
+      FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS p FROM i)),
+sizes AS (SELECT DISTINCT n FROM g),
+o AS (SELECT doc_id, p, n, array_to_string(w[p : p + n - 1], ' ') AS gram
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d JOIN sizes ON len(w) >= n)),
+h AS (SELECT doc_id, p, o.n, item_id FROM o JOIN g USING (n, gram)),
+c AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+      FROM (SELECT doc_id, unnest(range(p, p + n)) AS place FROM (SELECT DISTINCT doc_id, p, n FROM h)) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+      FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN l USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_source_mixing": OP9}
+    return {"op10_benchmark_winnowing": OP10, "op9_source_mixing": OP9}

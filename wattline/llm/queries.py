@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import mixing, packing
+from wattline.llm import anchors, mixing, packing, winnowing
 from wattline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+@query
+def op4_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = anchors.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 @query
 def op8_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -34,3 +40,9 @@ def op8_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row_key")
