@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.llm.common import partitions, shared_folder, slices, stored
-from wattline.llm.tokens import Encoder
+from wattline.llm.tokens import encoder as shared_encoder
 
 MAGIC = b"WTPACK01"
 #: bits per id, ids per block, blocks, documents, ids, magic
@@ -163,7 +163,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
         store, root = fs.FileSystem.from_uri(folder)
         for batch in slices(batches):
             if writer is None:
-                encoder = Encoder(tokenizer)
+                encoder = shared_encoder(tokenizer)
                 store.create_dir(root)
                 path = f"{root}/part-{part:06d}-{context.taskAttemptId()}.ids"
                 stream = store.open_output_stream(path)

@@ -1,5 +1,6 @@
 """Encoding with a public tokenizer, each distinct word once."""
 
+import functools
 import os
 import re
 
@@ -52,3 +53,9 @@ class Encoder:
         self._learn(list(new))
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, s)), "<u4") for s in split]
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One encoder per Python worker; the tasks that a worker runs share the words it knows."""
+    return Encoder(path)
