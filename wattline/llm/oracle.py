@@ -58,6 +58,77 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN l USING (doc_id)
 """
 
+OP1 = f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+l AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM l GROUP BY doc_id),
+g AS (SELECT doc_id, p, array_to_string(w[p : p + 7], ' ') AS gram
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d)),
+r AS (SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+      FROM (SELECT doc_id, unnest(range(p, p + 8)) AS place
+            FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1) GROUP BY doc_id),
+m AS (SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(length(text) - length(regexp_replace(text, '[^\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+             coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+             coalesce(n_lines, 0) AS n_lines
+      FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN r USING (doc_id)),
+f AS (SELECT *, n_words < 20 AS short, 100 * n_repeat_words > 30 * n_words AS repeated,
+             10 * n_symbols > 5 * n_words AS symbols, 10 * n_dup_lines > 3 * n_lines AS lines,
+             NOT (coalesce(word_chars / nullif(n_words, 0), 0) BETWEEN 2 AND 15) AS word_length FROM m),
+h AS (UNPIVOT (SELECT source, count(*) AS n, count_if(short) AS short, count_if(repeated) AS repeated,
+                      count_if(symbols) AS symbols, count_if(lines) AS lines, count_if(word_length) AS word_length
+               FROM f GROUP BY source) ON short, repeated, symbols, lines, word_length INTO NAME rule VALUE failed),
+prior AS (SELECT rule, avg(failed / n) AS mean, var_pop(failed / n) AS var FROM h GROUP BY rule),
+strength AS (SELECT rule, mean,
+                    CASE WHEN var > 0 THEN least(10000, greatest(1, mean * (1 - mean) / var - 1)) ELSE 10000 END AS k
+             FROM prior),
+v AS (SELECT source, max((failed + mean * k) / (n + k)) > 0.5 AS host_failed FROM h JOIN strength USING (rule) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeated AS base_failed,
+       NOT (short OR repeated) AND NOT host_failed AS kept
+FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
+"""
+
+_RECORD = """'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+  || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+  || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
+  || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)"""
+
+OP2 = f"""
+WITH r AS (SELECT page_id, html, strlen({_RECORD}) AS length, url, sha256({_RECORD}) AS digest FROM pages),
+o AS (SELECT *, CAST(sum(length) OVER (ORDER BY page_id NULLS FIRST, url NULLS FIRST, digest) - length AS BIGINT) AS "offset" FROM r)
+SELECT page_id, "offset", CAST(length AS BIGINT) AS length, "offset" >> 26 AS file,
+       CASE WHEN page_id % 211 = 7 THEN 'missing' ELSE 'corrupt' END AS status
+FROM o WHERE page_id % 211 = 7 OR page_id % 97 = 13 AND contains(html, 'e')
+"""
+
+_LINE = "CAST('0x' || substr(md5(line), 1, 7) AS BIGINT)"
+
+OP5 = f"""
+WITH d AS (SELECT doc_id, md5(coalesce(CAST(doc_id AS VARCHAR), '~') || ':' || md5(coalesce(text, ''))) AS k,
+                  string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, k, len(l) AS n_lines, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM d),
+h AS (SELECT *, {_LINE} AS h FROM x),
+e AS (SELECT *, i = n_lines OR (h + 31337 * coalesce(lag(h) OVER w, 0)) % 2147483647 % 3 = 0 AS ends
+      FROM h WINDOW w AS (PARTITION BY k, doc_id ORDER BY i)),
+c AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY k, doc_id ORDER BY i
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM e),
+b AS (SELECT doc_id, k, chunk, any_value(n_lines) AS n_lines, count(*) AS own, string_agg(line, chr(10) ORDER BY i) AS body,
+             count_if(regexp_matches(line, '[^\x20\x09-\x0D]')) AS n_full FROM c GROUP BY doc_id, k, chunk),
+s AS (SELECT *, n_full >= 2 AND row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, k, chunk) > 1 AS gone FROM b)
+SELECT doc_id, CAST(any_value(n_lines) AS INT) AS n_lines, CAST(count_if(gone) AS INT) AS n_removed,
+       CAST(coalesce(sum(own) FILTER (gone), 0) AS INT) AS lines_removed,
+       coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS text
+FROM s GROUP BY doc_id, k
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_benchmark_winnowing": OP10, "op9_source_mixing": OP9}
+    return {
+        "op1_host_rules": OP1,
+        "op2_merkle_fixity": OP2,
+        "op5_line_chunks": OP5,
+        "op9_source_mixing": OP9,
+        "op10_benchmark_winnowing": OP10,
+    }

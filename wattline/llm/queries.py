@@ -4,9 +4,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wattline.llm import anchors, mixing, packing, winnowing
-from wattline.llm.common import table
+from wattline.llm import anchors, bayes, fixity, host_rules, line_chunks, mixing, packing, toxicity, winnowing, wrapper
+from wattline.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -24,12 +25,50 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+@query
+def op1_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_rules.host_rules(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op2_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' archive against a replica in which letters of some records changed and some are gone."""
+    damaged = F.when(F.col("page_id") % 97 == 13, F.translate("html", "e", "3")).otherwise(F.col("html"))
+    records = stored(fixity.archive(table(spark, sf_dir, "pages"), replica=damaged), "warc-archive")
+    replica = records.filter(~(F.coalesce(F.col("page_id") % 211 == 7, F.lit(False)))).select("offset", "length", F.col("replica").alias("digest"))
+    found = fixity.audit(records, replica)
+    return found.join(records.select("page_id", F.col("offset").alias("at")), F.col("offset") == F.col("at")).drop("at")
+
+
+@query
+def op3_hierarchical_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    judged = bayes.classify(docs, labels)
+    return judged.select("doc_id", *(F.col(f"_{c}").alias(c) for c in ("evidence", "host_rate", "path_rate", "score", "kept")))
+
+
 @query
 def op4_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = anchors.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+@query
+def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op8_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
