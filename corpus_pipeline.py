@@ -5,13 +5,28 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattline.llm import mixing, packing
+from wattline.llm import anchors, bayes, mixing, packing, winnowing
 from wattline.llm.common import stored, table
 from wattline.llm.queries import END_ID, TOKENIZER
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    return bayes.good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component."""
+    return anchors.distinct_documents(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark window."""
+    return winnowing.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights, a row for each pass over a document."""
     return mixing.mixed_documents(docs)
@@ -22,7 +37,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.encoded(docs, public_tokenizers.path(TOKENIZER), END_ID)
 
 
-STAGES: list[tuple[str, Stage]] = [("source mixing", mix), ("token packing", pack)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
+    ("simhash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("source mixing", mix),
+    ("token packing", pack),
+]
 
 #: Trained scores and tokenizer ids have no SQL; tests compare run() with brute force.
 ORACLE_SQL = None
