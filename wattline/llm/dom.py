@@ -16,6 +16,8 @@ BLOCK = frozenset(
 )
 #: An element that begins closes an open one of these, up to the elements in the second set.
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+#: Elements below this depth begin a block where they stand, and what they hold belongs to the one above.
+DEEPEST = 200
 _P_SCOPE = {"td", "th", "table", "button", "caption", "object"}
 
 
@@ -76,7 +78,7 @@ def parse(page: str) -> Node:
         if name in RAW:
             raw = re.compile(rf"</{re.escape(name)}[^>]*(?:>|\Z)", re.I).search(page, at)
             at = raw.end() if raw else len(page)
-        elif name not in VOID:
+        elif name not in VOID and len(stack) < DEEPEST:
             stack.append(node)
     if at < len(page):
         stack[-1].children.append(html.unescape(page[at:]))
