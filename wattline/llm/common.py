@@ -82,6 +82,29 @@ def prefix_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Column],
     )
 
 
+#: 64-bit words of a membership filter: at most so many rows of two numbers are broadcast, whatever it is of.
+FILTER_WORDS = 1 << 18
+
+
+def _filter_word(key: Column) -> Column:
+    return F.shiftright(key, 6).bitwiseAND(F.lit(FILTER_WORDS - 1))
+
+
+def members(keys: DataFrame, key: Column) -> DataFrame:
+    """A filter of 64-bit hashes, stored: (_word, _mask), FILTER_WORDS rows at most."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), key.bitwiseAND(F.lit(63)).cast("int"))
+    words = keys.groupBy(_filter_word(key).alias("_word")).agg(F.bit_or(bit).alias("_mask"))
+    return stored(words, "filter")
+
+
+def might_be_in(df: DataFrame, key: Column, filtered: DataFrame) -> DataFrame:
+    """``df`` with ``_might``: false only where ``key`` is certainly none of the filter's. What a join has to
+    move is so reduced to little more than its matches; a full filter only lets more rows into the join."""
+    hit = F.call_function("shiftrightunsigned", F.col("_mask"), key.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    joined = df.join(F.broadcast(filtered), _filter_word(key) == F.col("_word"), "left")
+    return joined.withColumn("_might", F.coalesce(hit, F.lit(False))).drop("_word", "_mask")
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to at most ``rows`` rows, so that what Python makes of them stays small."""
     for batch in batches:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import row_key, stored
+from wattline.llm.common import members, might_be_in, row_key, stored
 
 #: Lines that the rolling hash spans, lines of a chunk on average, modulus and factor of the hash.
 SPAN, AVERAGE, MODULUS, FACTOR = 2, 3, 2_147_483_647, 31_337
@@ -47,8 +47,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     """(row_key, chunk) of the chunks to remove: of LEAST_LINES lines with a word or more, and equal in every
     byte to one in an earlier document or earlier in the same, by doc_id (null last), row_key and place.
 
-    Hashes come first: only chunks whose 64-bit hash and length occur twice are carried on, and these are
-    grouped by their text. All groupings combine before the shuffle.
+    Hashes come first: only chunks whose 64-bit hash and length occur twice are carried on, past a filter
+    of fixed size that spares the others the shuffle, and these are grouped by their text. All groupings
+    combine before the shuffle.
     """
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key", "chunk").alias("place")
     every = chunks(docs).filter(F.col("n_full") >= LEAST_LINES).select(F.xxhash64("body").alias("hash"), place, "body")
@@ -56,7 +57,8 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     twice = light.groupBy("hash", "bytes").agg(F.min("place").alias("least"), F.max("place").alias("most"))
     twice = stored(twice.filter("least != most").select(F.col("hash").alias("_hash"), F.col("bytes").alias("_bytes")), "line-chunks-twice")
     same = (F.col("hash") == F.col("_hash")) & (F.octet_length("body") == F.col("_bytes"))
-    held = stored(every.join(twice, same, "left_semi"), "line-chunks-held")
+    likely = might_be_in(every, F.col("hash"), members(twice, F.col("_hash"))).filter("_might").drop("_might")
+    held = stored(likely.join(twice, same, "left_semi"), "line-chunks-held")
     first = stored(held.groupBy("hash", "body").agg(F.min("place").alias("first")).withColumnsRenamed({"hash": "_hash", "body": "_body"}), "line-chunks-first")
     later = held.join(first, (F.col("hash") == F.col("_hash")) & (F.col("body") == F.col("_body"))).filter("place != first")
     return later.select("place.row_key", "place.chunk")
@@ -73,11 +75,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     removed = repeated_chunks(docs).groupBy("row_key").agg(F.collect_set("chunk").alias("gone"))
     removed = stored(removed.withColumnRenamed("row_key", "_key"), "line-chunks-removed")
     rows = docs.select(row_key().alias("row_key"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    hit = rows.join(removed, F.col("row_key") == F.col("_key"), "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    whole = hit.filter("gone IS NULL").select("row_key", "doc_id", F.size(lines).alias("n_lines"), F.lit(0).alias("n_removed"), F.lit(0).alias("lines_removed"), F.coalesce("text", F.lit("")).alias("text"))
-    cut = chunks(rows.join(removed, F.col("row_key") == F.col("_key"), "left_semi").dropDuplicates(["row_key"]))
-    cut = cut.join(removed, F.col("row_key") == F.col("_key")).withColumn("out", F.array_contains("gone", F.col("chunk")))
+    hashed = F.xxhash64("_key")
+    rows = might_be_in(rows, F.xxhash64("row_key"), members(removed, hashed))
+    likely = rows.filter("_might").join(removed, F.col("row_key") == F.col("_key"), "left")
+    lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("n_lines")
+    none = (F.lit(0).alias("n_removed"), F.lit(0).alias("lines_removed"), F.coalesce("text", F.lit("")).alias("text"))
+    whole = rows.filter("NOT _might").select("row_key", "doc_id", lines, *none)
+    whole = whole.unionByName(likely.filter("gone IS NULL").select("row_key", "doc_id", lines, *none))
+    hit = stored(likely.filter("gone IS NOT NULL").select("row_key", "doc_id", "text", "gone"), "line-chunks-hit")
+    one = hit.dropDuplicates(["row_key"])
+    cut = chunks(one.drop("row_key")).join(one.select(F.col("row_key").alias("_key"), "gone"), F.col("row_key") == F.col("_key"))
+    cut = cut.withColumn("out", F.array_contains("gone", F.col("chunk")))
     kept = F.transform(F.array_sort(F.collect_list(F.when(~F.col("out"), F.struct("chunk", "body")))), lambda x: x["body"])
     cut = cut.groupBy("row_key").agg(
         F.sum("n_lines").cast("int").alias("n_lines"),
@@ -85,5 +93,5 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("out"), F.col("n_lines"))), F.lit(0)).cast("int").alias("lines_removed"),
         F.array_join(kept, "\n").alias("text"),
     )
-    again = hit.filter("gone IS NOT NULL").select("row_key", "doc_id").join(cut, "row_key")
+    again = hit.select("row_key", "doc_id").join(cut, "row_key")
     return whole.unionByName(again).drop("row_key")
