@@ -3,7 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from wattline.operators.readings import explode_readings
+from wattline.operators.readings import explode_readings, rejected_messages, valid_messages
 from wattline.sources import history as H
 from wattline.sources.dimensions import DIMENSIONS, read_dimensions
 
@@ -117,6 +117,17 @@ def test_payload_becomes_readings(spark):
     ]
 
 
+@pytest.mark.parametrize("payload", ["not json", '[{"code":"B2","value":"abc"}]', "[]", None])
+def test_bad_payloads_are_rejected_not_metered(spark, payload):
+    df = row(spark, "2020-05-11 10:10:00").withColumns(
+        {"payload": F.lit(payload).cast("string"), "topic": F.lit("t"), "delay": F.lit(None).cast("int")}
+    )
+    messages = H.decode_history_payload(df)
+    assert valid_messages(messages).count() == 0
+    (bad,) = rejected_messages(messages).collect()
+    assert bad["value"] == payload and bad["reason"] in ("bad json", "bad value", "no data")
+
+
 def test_peek_is_the_first_rows_by_key(spark, stored):
     history = H.read_history(spark, stored)
     rows = H.peek(history).collect()

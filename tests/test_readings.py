@@ -49,6 +49,13 @@ def test_values_as_text_missing_or_empty(spark):
     assert (rows[0]["origin"], rows[0]["delay"]) == (0, 0)
 
 
+@pytest.mark.parametrize("flag,want", [('"1"', 1), ("1", 1), ("1.0", 1), ('""', 0), ('"x"', 0), ("null", 0)])
+def test_quoted_flags_keep_their_message(spark, flag, want):
+    text = message()[:-1] + f',"from":{flag},"delay":{flag}}}'
+    (reading,) = R.explode_readings(R.valid_messages(decoded(spark, text))).collect()
+    assert (reading["origin"], reading["delay"], reading["value"]) == (want, want, 1.5)
+
+
 def test_arrival_orders_readings_within_and_across_messages(spark):
     data = '[{"code":"B2","value":1},{"code":"B2","value":2}]'
     rows = R.explode_readings(R.valid_messages(decoded(spark, message(data=data), message()))).collect()

@@ -42,8 +42,9 @@ def rejected_messages(messages: DataFrame) -> DataFrame:
 def explode_readings(messages: DataFrame) -> DataFrame:
     """One row per (code, value) of a message, keyed and with a total arrival order.
 
-    A value given as text counts as its number, a missing one as 0.
+    A value or flag given as text counts as its number, a missing one as 0.
     """
+    flag = lambda c: F.coalesce(F.col(c).cast("string").try_cast("double").try_cast("int"), F.lit(0)).alias(c)
     items = messages.select("*", F.posexplode("data").alias("pos", "item"))
     value = F.coalesce(F.col("item.value").try_cast("double"), F.lit(0.0))
     return items.select(
@@ -54,8 +55,8 @@ def explode_readings(messages: DataFrame) -> DataFrame:
         F.col("add").alias("addr"),
         F.col("item.code").alias("code"),
         value.alias("value"),
-        F.coalesce("from", F.lit(0)).alias("origin"),
-        F.coalesce("delay", F.lit(0)).alias("delay"),
+        flag("from").alias("origin"),
+        flag("delay"),
         (F.col("arrival") * MESSAGE_SLOTS + F.col("pos")).alias("arrival"),
         meter_key(F.col("sn"), F.col("item.code"), F.col("type"), F.col("add")).alias("meter_key"),
     )

@@ -217,7 +217,7 @@ def nonempty_code(spark, sf_dir):
 @query
 def origin_flags(spark, sf_dir):
     live = X.readings(spark, sf_dir).select("sn", "code", "value")
-    stored = R.explode_readings(H.decode_history_payload(X.history(spark, sf_dir)))
+    stored = R.explode_readings(R.valid_messages(H.decode_history_payload(X.history(spark, sf_dir))))
     both = R.merge_origins(live, stored.select("sn", "code", "value", "delay"))
     return both.groupBy("origin", "sn", "code").agg(
         F.count("*").alias("readings"),
@@ -450,7 +450,7 @@ def peek(spark, sf_dir):
 
 @query
 def decode_history_payload(spark, sf_dir):
-    rows = R.explode_readings(H.decode_history_payload(X.history(spark, sf_dir)))
+    rows = R.explode_readings(R.valid_messages(H.decode_history_payload(X.history(spark, sf_dir))))
     return rows.select(*_READING, D.format_time(F.col("ts")).alias("time"))
 
 
@@ -459,7 +459,7 @@ def backfill(spark, sf_dir):
     """Requested ranges calibrated and metered like live readings."""
     wanted = H.backfill_ranges(X.history(spark, sf_dir), X.backfill_requests(spark, sf_dir))
     # A row asked for twice counts once: usage takes the latest arrival per instant.
-    readings = R.explode_readings(H.decode_history_payload(wanted))
+    readings = R.explode_readings(R.valid_messages(H.decode_history_payload(wanted)))
     calibrated = C.calibrate(readings, X.registry(spark, sf_dir), _formulas(spark, sf_dir))
     return rounded(U.usage(R.grid_readings(calibrated)), "data_value")
 

@@ -25,7 +25,7 @@ NEW_FEED = {
 }
 BSN_VALID = "VALID"
 
-# Values stay text while decoding: a quoted number in a DOUBLE field would be lost.
+# Values and flags stay text while decoding: a quoted number in a number field would reject the message.
 CODE_VALUE = T.StructType([T.StructField("code", T.StringType()), T.StructField("value", T.StringType())])
 
 MESSAGE = T.StructType(
@@ -36,8 +36,8 @@ MESSAGE = T.StructType(
         T.StructField("type", T.StringType()),
         T.StructField("add", T.StringType()),
         T.StructField("data", T.ArrayType(CODE_VALUE)),
-        T.StructField("from", T.IntegerType()),
-        T.StructField("delay", T.IntegerType()),
+        T.StructField("from", T.StringType()),
+        T.StructField("delay", T.StringType()),
         T.StructField("corrupt", T.StringType()),
     ]
 )

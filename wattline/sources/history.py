@@ -76,7 +76,11 @@ def peek(history: DataFrame, rows: int = 10) -> DataFrame:
 
 
 def decode_history_payload(history: DataFrame) -> DataFrame:
-    """Stored rows as messages: payload parsed, epoch seconds as local time, origin 1."""
+    """Stored rows as messages: payload parsed, epoch seconds as local time, origin 1.
+
+    As on the topics, an unparsable payload lands in ``corrupt``; the rules on messages reject it, and values
+    that are no numbers.
+    """
     data = F.from_json("payload", HISTORY_PAYLOAD)
     seconds = seconds_from_epoch(F.col("time"))
     return history.select(
@@ -88,7 +92,7 @@ def decode_history_payload(history: DataFrame) -> DataFrame:
         data.alias("data"),
         F.lit(1).alias("from"),
         "delay",
-        F.lit(None).cast("string").alias("corrupt"),
+        F.when(data.isNull(), F.col("payload")).alias("corrupt"),
         F.col("payload").alias("value"),
         "arrival",
     )
