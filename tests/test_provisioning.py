@@ -117,15 +117,15 @@ def test_registered_meters_are_skipped(spark):
     assert [r["code"] for r in meters.collect()] == ["C2"]
 
 
-@pytest.mark.parametrize("chunk", [3, 1 << 20])
-def test_numbers_of_a_device_with_most_inputs(spark, chunk):
+@pytest.mark.parametrize("ranges", [1, 30])
+def test_numbers_of_a_device_with_most_inputs(spark, ranges):
     rows = spark.range(200).select(
         F.lit("ten").alias("ds_schema"),
         F.when(F.col("id") % 4 == 0, "small").otherwise("hot").alias("device_id"),
         F.col("id").alias("arrival"),
     )
     feed = dims(spark, feed=[("ten", "x", "hot", 99990, "i", "NORMAL", "ORI")])["feed"]
-    got = V.next_feed_number(rows, feed, chunk).orderBy("arrival").collect()
+    got = V.next_feed_number(rows, feed, ranges).orderBy("arrival").collect()
     assert [r["num"] for r in got if r["device_id"] == "hot"] == list(range(99991, 99991 + 150))
     assert [r["num"] for r in got if r["device_id"] == "small"] == list(range(1, 51))
 

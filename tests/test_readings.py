@@ -1,10 +1,14 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from wattline.functions import numbers as N
 from wattline.functions import textfn as S
 from wattline.functions import timefn as D
+from wattline.operators import calibration as C
 from wattline.operators import readings as R
+from wattline.operators import usage as U
 from wattline.sources import messages as M
 
 
@@ -63,6 +67,56 @@ def test_arrival_orders_readings_within_and_across_messages(spark):
     assert len(set(arrivals)) == 3 and max(a for a in arrivals) == R.MESSAGE_SLOTS
 
 
+def record(topic, partition, offset, text, millis=1_790_000_000_123):
+    at = datetime.datetime.fromtimestamp(millis / 1000, datetime.timezone.utc)
+    return (bytearray(text, "utf8"), topic, partition, offset, at)
+
+
+def live(spark, records):
+    schema = "value binary, topic string, partition int, offset bigint, timestamp timestamp"
+    return M.record_envelopes(spark.createDataFrame(records, schema), ["live", "restream"])
+
+
+def test_live_records_run_through_to_usage(spark):
+    """Records as Kafka gives them: equal milliseconds, several topics and partitions, large offsets."""
+    text = lambda value, minute: message(data=f'[{{"code":"B2","value":{value}}}]', time=f"2024-01-10 01:{minute}:00")
+    records = [
+        record("live", 0, 1023, text(10, 10)),
+        record("live", 0, 1024, text(11, 20)),  # the same millisecond, a later offset
+        record("live", 1, 1024, text(12, 20)),  # the same offset of another partition comes after
+        record("restream", 1, 1024, text(13, 20)),
+        record("live", 250, 10**14 - 1, text(15, 20)),
+        record("live", 0, 5, text(99, 20), millis=1_780_000_000_000),  # an earlier record
+    ]
+    envelopes = live(spark, records)
+    readings = R.explode_readings(R.valid_messages(M.decode_messages(envelopes)))
+    assert [r["value"] for r in readings.orderBy("arrival").collect()] == [99, 10, 11, 12, 13, 15]
+    registry = spark.createDataFrame([("s1_B2_1_1", "i", "f")], "meter_key string, input_id string, feed_id string")
+    formulas = spark.createDataFrame(
+        [("i", "v", "*2", {}, 0), ("i", "v", "*3", {}, 1)],
+        "input_id string, feed_id string, steps string, operands map<string,double>, k int",
+    ).join(envelopes.selectExpr("min(arrival) AS a", "max(arrival) AS b"))
+    version = R.reading_order(F.when(F.col("k") == 0, F.col("a")).otherwise(F.col("b")), F.lit(0))
+    formulas = formulas.withColumn("version", version).drop("k", "a", "b")
+    for calibrate in (C.calibrate, C.calibrate_as_of):
+        used = U.usage(R.grid_readings(calibrate(readings, registry, formulas)), ["1h"])
+        got = {r["feed_id"]: r["data_value"] for r in used.collect()}
+        assert got == {"f": 5.0, "v": 15.0 if calibrate is C.calibrate else 45.0 - 20.0}
+
+
+def test_places_out_of_the_orders_range_stop_the_job(spark):
+    for bad in (record("live", 0, 10**14, "x"), record("other", 0, 1, "x"), record("live", 10**5, 1, "x")):
+        with pytest.raises(Exception, match="out of the arrival order"):
+            live(spark, [bad]).collect()
+
+
+def test_a_message_of_too_many_readings_is_rejected(spark, monkeypatch):
+    monkeypatch.setattr(R, "MESSAGE_SLOTS", 2)
+    data = '[{"code":"B2","value":1},{"code":"B2","value":2},{"code":"B2","value":3}]'
+    (bad,) = R.rejected_messages(decoded(spark, message(data=data), message())).collect()
+    assert bad["reason"] == "too many readings"
+
+
 def test_meter_key_spells_out_null(spark):
     row = spark.range(1).select(S.meter_key(F.lit("a"), F.lit(None).cast("string"), F.lit("1"), F.lit("2"))).first()
     assert row[0] == "a_null_1_2"

@@ -104,44 +104,44 @@ def test_row_order_does_not_matter(spark):
     assert documents(U.usage(readings(spark, rows))) == documents(U.usage(readings(spark, rows[::-1])))
 
 
-@pytest.mark.parametrize("chunk", [7, 100, 1 << 20])
-def test_changelog_equals_reading_by_reading(spark, chunk):
+@pytest.mark.parametrize("ranges", [1, 7, 20])
+def test_changelog_equals_reading_by_reading(spark, ranges):
     rows = random_readings(700)
     want = {
         (f, s, ws - EIGHT, we - EIGHT, a): round(v, 6)
         for f, s, ws, we, a, v in brute.changelog(rows, USAGE_STEPS)
     }
-    assert documents(U.usage_changelog(readings(spark, rows), chunk=chunk), True) == want
+    assert documents(U.usage_changelog(readings(spark, rows), ranges=ranges), True) == want
 
 
 def test_last_changelog_row_is_the_usage(spark):
     df = readings(spark, random_readings(500))
-    log = U.usage_changelog(df, chunk=50)
+    log = U.usage_changelog(df, ranges=10)
     last = log.groupBy("doc_id").agg(F.max_by("data_value", "arrival").alias("v"))
     final = U.usage(df).select("doc_id", F.col("data_value").alias("v"))
     assert last.exceptAll(final).isEmpty() and final.exceptAll(last).isEmpty()
 
 
-@pytest.mark.parametrize("chunk", [9, 1 << 20])
-def test_out_of_order_delta_and_start(spark, chunk):
+@pytest.mark.parametrize("ranges", [1, 9])
+def test_out_of_order_delta_and_start(spark, ranges):
     rows = random_readings(900, seed=5)
     df = readings(spark, rows)
-    kept = {r["arrival"] for r in U.drop_out_of_order(df, chunk).collect()}
+    kept = {r["arrival"] for r in U.drop_out_of_order(df, ranges).collect()}
     assert kept == {r[2] for r in brute.in_order(rows)} and len(kept) < len(rows)
-    assert documents(U.usage_delta(df, chunk=chunk)) == expected(brute.delta(rows, ["30m", "1h"]))
-    assert documents(U.usage_from_start(df, chunk=chunk)) == expected(brute.from_start(rows, ["1d", "1n"]))
+    assert documents(U.usage_delta(df, ranges=ranges)) == expected(brute.delta(rows, ["30m", "1h"]))
+    assert documents(U.usage_from_start(df, ranges=ranges)) == expected(brute.from_start(rows, ["1d", "1n"]))
 
 
-@pytest.mark.parametrize("chunk", [1, 13, 1000])
+@pytest.mark.parametrize("ranges", [1, 5, 30])
 @pytest.mark.parametrize("current", [True, False])
-def test_running_equals_one_window_per_key(spark, chunk, current):
+def test_running_equals_one_window_per_key(spark, ranges, current):
     df = readings(spark, random_readings(400)).withColumn("high", F.col("value")).withColumn("sum", F.col("value"))
     frame = Window.partitionBy("feed_id").orderBy("arrival").rowsBetween(
         Window.unboundedPreceding, 0 if current else -1
     )
     carry = {"high": F.max("high"), "sum": F.sum("sum")}
     want = df.select("arrival", F.max("high").over(frame).alias("high"), F.round(F.sum("sum").over(frame), 6).alias("sum"))
-    got = running(df, ["feed_id"], carry, current, chunk=chunk).select(
+    got = running(df, ["feed_id"], carry, current, ranges=ranges).select(
         "arrival", "high", F.round("sum", 6).alias("sum")
     )
     assert sorted(got.collect()) == sorted(want.collect())

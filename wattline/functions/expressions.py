@@ -106,7 +106,7 @@ def step_compiler():
 
 
 def compound_ops(steps: Column) -> Column:
-    """(operator, constant) list of substituted steps (an array), one formula per row.
+    """(operator, constant) list of substituted steps (an array), one formula per row; null stays null.
 
     An unusable step becomes an operation without a constant, so without a result.
     """
@@ -115,6 +115,8 @@ def compound_ops(steps: Column) -> Column:
     @F.pandas_udf(OPS)
     def compile_all(batch: pd.Series) -> pd.Series:
         def compiled(formula):
+            if formula is None:
+                return None
             try:
                 return [op for step in formula for op in compile_step(step)]
             except (ValueError, KeyError, SyntaxError, ArithmeticError, TypeError, RecursionError, MemoryError):

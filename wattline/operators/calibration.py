@@ -1,8 +1,6 @@
 """Registry and formula lookups, and the calibrated value."""
 
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.expressions import (
@@ -14,13 +12,12 @@ from wattline.functions.expressions import (
     substitute,
 )
 from wattline.operators.readings import nonempty_code
-from wattline.operators.running import CHUNK, running
+from wattline.operators.running import running
 from wattline.schemas import ORI, VAL
 
 
-# A formula table up to this size is broadcast; its versions per input bound the work per reading.
+# A formula table up to this size, as measured, is broadcast.
 MAX_BROADCAST_BYTES = 64 << 20
-MAX_VERSIONS = 64
 
 
 def latest_formulas(formulas: DataFrame) -> DataFrame:
@@ -33,50 +30,30 @@ def latest_formulas(formulas: DataFrame) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class FormulaSize:
-    """What decides how formulas meet readings; measured, one row to the driver."""
-
-    bytes: int
-    versions: int
-    compound: bool
-
-    @property
-    def small(self) -> bool:
-        return self.bytes <= MAX_BROADCAST_BYTES
-
-
-def measure_formulas(formulas: DataFrame) -> FormulaSize:
-    """Size of the formulas as broadcast rows, most versions of one input, and whether any step is an expression."""
+def is_small(formulas: DataFrame) -> bool:
+    """Whether the formulas may be broadcast: measured, one number to the driver."""
     # A compiled operation takes about 32 bytes and stems from at least two characters of text.
     size = F.lit(200) + 16 * F.coalesce(F.length("steps"), F.lit(0))
-    per_input = formulas.groupBy("input_id").agg(
-        F.count("*").alias("versions"),
-        F.sum(size).alias("bytes"),
-        F.max(~is_simple(F.col("steps"))).alias("compound"),
-    )
-    row = per_input.agg(F.sum("bytes"), F.max("versions"), F.max("compound")).first()
-    return FormulaSize(row[0] or 0, row[1] or 0, bool(row[2]))
+    return (formulas.agg(F.sum(size)).first()[0] or 0) <= MAX_BROADCAST_BYTES
 
 
-def compile_formulas(formulas: DataFrame, compound: bool = True) -> DataFrame:
+def compile_formulas(formulas: DataFrame) -> DataFrame:
     """Adds ``ops``, the steps as (operator, constant) pairs.
 
     One operator and one operand per step is done with built-ins.  Steps that are
-    whole expressions go through Python, per formula; ``compound=False`` says there are none.
+    whole expressions go through Python, per formula.
     """
-    native = formulas.withColumn("ops", simple_ops(F.col("steps"), F.col("operands")))
-    if not compound:
-        return native
-    texts = F.transform(step_list(F.col("steps")), lambda s: substitute(s, F.col("operands")))
     simple = is_simple(F.col("steps"))
-    return native.where(simple).unionByName(formulas.where(~simple).withColumn("ops", compound_ops(texts)))
+    texts = F.transform(step_list(F.col("steps")), lambda s: substitute(s, F.col("operands")))
+    compound = compound_ops(F.when(~simple, texts))
+    return formulas.withColumn("ops", F.when(simple, simple_ops(F.col("steps"), F.col("operands"))).otherwise(compound))
 
 
-def _lookup_side(compiled: DataFrame, size: FormulaSize, *keys: str) -> DataFrame:
+def _lookup_side(formulas: DataFrame, *keys: str) -> DataFrame:
     """The columns a reading takes from its formula; broadcast when measured small."""
+    compiled = compile_formulas(formulas)
     side = compiled.select(*keys, F.col("feed_id").alias("val_feed_id"), "ops", F.lit(True).alias("has_formula"))
-    return F.broadcast(side) if size.small else side
+    return F.broadcast(side) if is_small(formulas) else side
 
 
 def registry_lookup(readings: DataFrame, registry: DataFrame) -> DataFrame:
@@ -94,9 +71,7 @@ def formula_lookup(readings: DataFrame, formulas: DataFrame) -> DataFrame:
 
     Formulas too large to broadcast are joined by input, with hot inputs split at run time.
     """
-    size = measure_formulas(formulas)
-    compiled = compile_formulas(formulas, size.compound)
-    return readings.join(_lookup_side(compiled, size, "input_id"), "input_id", "left")
+    return readings.join(_lookup_side(formulas, "input_id"), "input_id", "left")
 
 
 def apply_formula(readings: DataFrame) -> DataFrame:
@@ -125,42 +100,28 @@ def calibrate(readings: DataFrame, registry: DataFrame, formulas: DataFrame) ->
     return emit(apply_formula(formula_lookup(known, latest_formulas(formulas))))
 
 
-def formula_as_of(
-    readings: DataFrame, formulas: DataFrame, size: FormulaSize | None = None, chunk: int = CHUNK
-) -> DataFrame:
+def formula_as_of(readings: DataFrame, formulas: DataFrame, ranges: int | None = None) -> DataFrame:
     """Adds ``version``: the newest formula version that arrived no later than the reading.
 
-    A small table with few versions per input is broadcast as intervals of
-    arrival, of which a reading lies in at most one, and readings stay where
-    they are.  Otherwise formula arrivals are carried along each input's arrival
-    order, chunk by chunk, so that neither many readings nor many versions of
-    one input meet in one task.
+    Formula arrivals are carried along each input's arrival order, range by
+    range, so that neither many readings nor many versions of one input meet
+    in one task.
     """
-    size = size or measure_formulas(formulas)
-    if size.small and size.versions <= MAX_VERSIONS:
-        following = F.lead("version").over(Window.partitionBy("input_id").orderBy("version"))
-        spans = formulas.select("input_id", "version", following.alias("_until"))
-        r, f = readings.alias("r"), F.broadcast(spans).alias("f")
-        current = (
-            (F.col("r.input_id") == F.col("f.input_id"))
-            & (F.col("r.arrival") >= F.col("f.version"))
-            & (F.col("f._until").isNull() | (F.col("r.arrival") < F.col("f._until")))
-        )
-        return r.join(f, current, "left").select("r.*", "f.version")
-    changes = formulas.select("input_id", F.col("version").alias("arrival"), F.col("version"))
-    rows = readings.withColumn("version", F.lit(None).cast("bigint")).withColumn("_reading", F.lit(True))
+    version = formulas.schema["version"].dataType
+    changes = formulas.select("input_id", F.col("version").alias("arrival"), "version", F.lit(False).alias("_reading"))
+    rows = readings.withColumn("version", F.lit(None).cast(version)).withColumn("_reading", F.lit(True))
     events = rows.unionByName(changes, allowMissingColumns=True)
     # A change and a reading at the same arrival: the change counts first.
-    events = events.withColumn("_at", F.col("arrival") * 2 + F.when(F.col("_reading"), 1).otherwise(0))
-    carried = running(events, ["input_id"], {"version": F.max("version")}, order="_at", chunk=2 * chunk)
-    return carried.where(F.col("_reading")).drop("_reading", "_at")
+    carried = running(
+        events, ["input_id"], {"version": F.max("version")}, order=("arrival", "_reading"), ranges=ranges
+    )
+    return carried.where("_reading").drop("_reading")
 
 
 def calibrate_as_of(
-    readings: DataFrame, registry: DataFrame, formulas: DataFrame, chunk: int = CHUNK
+    readings: DataFrame, registry: DataFrame, formulas: DataFrame, ranges: int | None = None
 ) -> DataFrame:
     """ORI and VAL rows, each reading under the formula current when it arrived."""
-    size = measure_formulas(formulas)
-    dated = formula_as_of(registry_lookup(readings, registry), formulas, size, chunk)
-    side = _lookup_side(compile_formulas(formulas, size.compound), size, "input_id", "version")
+    dated = formula_as_of(registry_lookup(readings, registry), formulas, ranges)
+    side = _lookup_side(formulas, "input_id", "version")
     return emit(apply_formula(dated.join(side, ["input_id", "version"], "left").drop("version")))

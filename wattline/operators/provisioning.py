@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.textfn import bsn_encode, bsn_source, surrogate_id
 from wattline.functions.timefn import text_of
-from wattline.operators.running import CHUNK, running
+from wattline.operators.running import running
 from wattline.operators.windows import with_seconds
 from wattline.schemas import BSN_VALID, NEW_FEED, ORI
 
@@ -103,7 +103,7 @@ def bsn_match(instruments: DataFrame, iot_bsn: DataFrame) -> DataFrame:
     return instruments.join(valid, ["ds_schema", "inst_id"], "left_anti")
 
 
-def next_feed_number(new_inputs: DataFrame, feed: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def next_feed_number(new_inputs: DataFrame, feed: DataFrame, ranges: int | None = None) -> DataFrame:
     """Adds ``num``: one more per new input of a device, on top of its highest number.
 
     The count is carried in arrival order, so a device with very many new inputs
@@ -118,7 +118,7 @@ def next_feed_number(new_inputs: DataFrame, feed: DataFrame, chunk: int = CHUNK)
         new_inputs.withColumn("nth", F.lit(1).cast("bigint")),
         ["ds_schema", "device_id"],
         {"nth": F.sum("nth")},
-        chunk=chunk,
+        ranges=ranges,
     )
     return (
         counted.join(highest, ["ds_schema", "device_id"], "left")
@@ -161,9 +161,9 @@ def new_inputs(meters: DataFrame) -> DataFrame:
     )
 
 
-def new_feeds(meters: DataFrame, feed: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def new_feeds(meters: DataFrame, feed: DataFrame, ranges: int | None = None) -> DataFrame:
     """One original, daily, instant feed per new input, numbered within its device."""
-    numbered = next_feed_number(meters.where("input_missing"), feed, chunk)
+    numbered = next_feed_number(meters.where("input_missing"), feed, ranges)
     # Padded to five digits, never cut.
     digits = F.col("num").cast("string")
     padded = F.when(F.length(digits) < 5, F.lpad(digits, 5, "0")).otherwise(digits)

@@ -1,5 +1,7 @@
 """Messages to readings, and row-level rules on readings."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -8,8 +10,8 @@ from wattline.functions.timefn import parse_time
 from wattline.operators.windows import with_seconds
 from wattline.schemas import METERED_CODES
 
-# Room for the readings of one message in the arrival order.
-MESSAGE_SLOTS = 1 << 16
+# Readings of one message that the arrival order tells apart; a longer message is rejected.
+MESSAGE_SLOTS = 1_000_000
 
 
 def _bad_value(item: Column) -> Column:
@@ -24,6 +26,7 @@ def check_messages(messages: DataFrame) -> DataFrame:
         .when(empty(F.col("sn")), "no sn")
         .when(empty(F.col("add")), "no add")
         .when(F.coalesce(F.size("data"), F.lit(0)) <= 0, "no data")
+        .when(F.size("data") > MESSAGE_SLOTS, "too many readings")
         .when(F.exists("data", _bad_value), "bad value")
         .when(parse_time(F.col("time")).isNull(), "bad time")
     )
@@ -39,6 +42,15 @@ def rejected_messages(messages: DataFrame) -> DataFrame:
     return check_messages(messages).where(F.col("reason").isNotNull()).select("arrival", "reason", "value")
 
 
+def reading_order(message_order: Column, position: Column) -> Column:
+    """Place of a reading in the arrival order: its message's, then its own within the message.
+
+    A decimal, since the order of a live message takes up to 32 digits; out of range raises. Formula
+    versions that are to be compared with it go through the same, at position 0.
+    """
+    return message_order.cast("decimal(32,0)") * F.lit(Decimal(MESSAGE_SLOTS)) + position.cast("decimal(6,0)")
+
+
 def explode_readings(messages: DataFrame) -> DataFrame:
     """One row per (code, value) of a message, keyed and with a total arrival order.
 
@@ -57,7 +69,7 @@ def explode_readings(messages: DataFrame) -> DataFrame:
         value.alias("value"),
         flag("from").alias("origin"),
         flag("delay"),
-        (F.col("arrival") * MESSAGE_SLOTS + F.col("pos")).alias("arrival"),
+        reading_order(F.col("arrival"), F.col("pos")).alias("arrival"),
         meter_key(F.col("sn"), F.col("item.code"), F.col("type"), F.col("add")).alias("meter_key"),
     )
 

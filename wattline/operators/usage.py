@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from wattline.functions.numbers import PLACES, subtract
 from wattline.functions.textfn import phase_id, usage_id
 from wattline.functions.timefn import epoch_seconds, step_after, step_start, text_of
-from wattline.operators.running import CHUNK, chunk_of, running
+from wattline.operators.running import in_ranges, running
 from wattline.operators.windows import assign_closed_windows, with_seconds
 from wattline.schemas import ALL_STEPS, USAGE_STEPS
 
@@ -120,17 +120,18 @@ def usage_documents(windows: DataFrame, value) -> DataFrame:
     )
 
 
-def usage_changelog(readings: DataFrame, steps: list[str] = USAGE_STEPS, chunk: int = CHUNK) -> DataFrame:
+def usage_changelog(readings: DataFrame, steps: list[str] = USAGE_STEPS, ranges: int | None = None) -> DataFrame:
     """Every version of every usage document, in arrival order.
 
     Per window the earliest and the latest reading so far are carried along;
     of equal times the later arrival replaces the earlier one at both ends.
     """
-    rows = assign_closed_windows(readings, steps).select(
-        *WINDOW, "arrival", *_ends_so_far(F.col("t"), F.col("arrival"), F.col("value"), F.col("arrival"), F.col("value"))
+    ranged = in_ranges(with_seconds(readings).select("feed_id", "t", "value", "arrival"), ranges=ranges)
+    rows = assign_closed_windows(ranged, steps).select(
+        *WINDOW, "_chunk", "arrival", *_ends_so_far(F.col("t"), F.col("arrival"), F.col("value"), F.col("arrival"), F.col("value"))
     )
     carry = {"first": F.min("first"), "last": F.max("last")}
-    ends = running(rows, WINDOW, carry, chunk=chunk, totals=_chunk_ends(readings, steps, chunk))
+    ends = running(rows, WINDOW, carry, totals=_range_ends(ranged, steps))
     return usage_documents(ends, subtract(F.col("last.v"), F.col("first.v")))
 
 
@@ -142,11 +143,10 @@ def _ends_so_far(t, first_arrival, first_value, last_arrival, last_value, last_t
     )
 
 
-def _chunk_ends(readings: DataFrame, steps: list[str], chunk: int) -> DataFrame:
-    """Both ends per window and chunk: ties first, so that fixed-width hash aggregates do it."""
+def _range_ends(ranged: DataFrame, steps: list[str]) -> DataFrame:
+    """Both ends per window and range: ties first, so that fixed-width hash aggregates do it."""
     ties = (
-        with_seconds(readings)
-        .groupBy("feed_id", "t", chunk_of("arrival", chunk).alias("_chunk"))
+        ranged.groupBy("feed_id", "t", "_chunk")
         .agg(F.max_by("value", "arrival").alias("value"), F.max("arrival").alias("arrival"))
     )
     ends = window_ends(ties, steps, ["_chunk"])
@@ -172,10 +172,10 @@ def usage_phase(readings: DataFrame) -> DataFrame:
     )
 
 
-def drop_out_of_order(readings: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def drop_out_of_order(readings: DataFrame, ranges: int | None = None) -> DataFrame:
     """Drops readings older than the newest of their feed that arrived before; equal times pass."""
     rows = with_seconds(readings).withColumn("newest", F.col("t"))
-    seen = running(rows, ["feed_id"], {"newest": F.max("newest")}, include_current=False, chunk=chunk)
+    seen = running(rows, ["feed_id"], {"newest": F.max("newest")}, include_current=False, ranges=ranges)
     return seen.where(F.col("newest").isNull() | (F.col("t") >= F.col("newest"))).drop("newest")
 
 
@@ -184,28 +184,28 @@ def feed_last_time(readings: DataFrame) -> DataFrame:
     return with_seconds(readings).groupBy("feed_id").agg(F.max("t").alias("t"))
 
 
-def usage_delta(readings: DataFrame, steps: list[str] = ("30m", "1h"), chunk: int = CHUNK) -> DataFrame:
+def usage_delta(readings: DataFrame, steps: list[str] = ("30m", "1h"), ranges: int | None = None) -> DataFrame:
     """Sum of differences to the feed's previous reading, a window's first reading adding 0.
 
     Once out-of-order readings are gone, a window's readings are neighbours in
     the feed's arrival order, so the differences add up to last minus first.
     """
     ends = (
-        assign_closed_windows(drop_out_of_order(readings, chunk), list(steps))
+        assign_closed_windows(drop_out_of_order(readings, ranges), list(steps))
         .groupBy(*WINDOW)
         .agg(F.min_by("value", "arrival").alias("first_value"), F.max_by("value", "arrival").alias("last_value"))
     )
     return usage_documents(ends, subtract(F.col("last_value"), F.col("first_value")))
 
 
-def usage_from_start(readings: DataFrame, steps: list[str] = ("1d", "1n"), chunk: int = CHUNK) -> DataFrame:
+def usage_from_start(readings: DataFrame, steps: list[str] = ("1d", "1n"), ranges: int | None = None) -> DataFrame:
     """Newest arrival minus the window's start value.
 
     The start is the last reading exactly on the window start, or else the first to arrive.
     """
     on_start = F.when(F.col("t") == F.col("ws"), F.col("arrival"))
     ends = (
-        assign_closed_windows(drop_out_of_order(readings, chunk), list(steps))
+        assign_closed_windows(drop_out_of_order(readings, ranges), list(steps))
         .groupBy(*WINDOW)
         .agg(
             F.coalesce(F.max_by("value", on_start), F.min_by("value", "arrival")).alias("start_value"),

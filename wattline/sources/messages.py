@@ -1,6 +1,8 @@
 """Message and formula topics: reading the envelopes, decoding the text."""
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.schemas import ENVELOPE, FORMULA, MESSAGE
@@ -19,23 +21,50 @@ def kafka_options(
     return options
 
 
-def read_kafka(spark: SparkSession, options: dict[str, str], slots: int = 1 << 10) -> DataFrame:
-    """Topics as a stream of envelopes; needs Spark's Kafka package on the class path.
+# Digits that a record's offset and its topic and partition take in the arrival order.
+OFFSET_DIGITS, SOURCE_DIGITS = 14, 5
+
+
+def _within(value: Column, digits: int, what: str) -> Column:
+    """``value`` as a decimal of so many digits; anything else stops the job rather than repeat an order."""
+    value = value.cast("bigint")
+    fits = (value >= 0) & (value < F.lit(10**digits))
+    return F.when(fits, value).otherwise(F.raise_error(F.lit(f"{what} is out of the arrival order's range"))).cast(
+        f"decimal({digits},0)"
+    )
+
+
+def record_order(topics: list[str]) -> Column:
+    """Place of a topic record in the arrival order: broker time, then offset, then topic and partition.
 
-    ``arrival`` orders by broker time, then offset within a partition.
+    Whole offsets and partitions go into it, so no two records share a place.
     """
+    names = sorted(set(topics))
+    topic = F.array_position(F.array(*[F.lit(t) for t in names]), F.col("topic")) - 1
+    source = F.when(topic >= 0, F.col("partition") * len(names) + topic)
+    millis = F.greatest(F.coalesce(F.unix_millis("timestamp"), F.lit(0)), F.lit(0))
     return (
-        spark.readStream.format("kafka")
-        .options(**options)
-        .load()
-        .select(
-            F.col("value").cast("string").alias("value"),
-            (F.unix_millis("timestamp") * slots + F.pmod("offset", F.lit(slots))).alias("arrival"),
-            F.col("timestamp").alias("ingest_ts"),
-        )
+        _within(millis, 13, "time") * F.lit(Decimal(10 ** (OFFSET_DIGITS + SOURCE_DIGITS)))
+        + _within(F.col("offset"), OFFSET_DIGITS, "offset") * F.lit(Decimal(10**SOURCE_DIGITS))
+        + _within(source, SOURCE_DIGITS, "topic or partition")
+    ).cast("decimal(32,0)")
+
+
+def record_envelopes(records: DataFrame, topics: list[str]) -> DataFrame:
+    """Topic records as Spark's Kafka source gives them, as envelopes."""
+    return records.select(
+        F.col("value").cast("string").alias("value"),
+        record_order(topics).alias("arrival"),
+        F.col("timestamp").alias("ingest_ts"),
     )
 
 
+def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """Topics as a stream of envelopes; needs Spark's Kafka package on the class path."""
+    records = spark.readStream.format("kafka").options(**options).load()
+    return record_envelopes(records, options["subscribe"].split(","))
+
+
 def read_message_stream(spark: SparkSession, paths: list[str], files_per_trigger: int = 1000) -> DataFrame:
     """Envelope files of several topics as one stream."""
     streams = [
