@@ -30,11 +30,9 @@ def run(spark, batches, make, checkpoint, write, mode="append"):
         jobs.start(make(stream), write, checkpoint, mode).awaitTermination()
 
 
-def usage_over(spark, batches, step, ttl=jobs.USAGE_STATE_TTL):
+def usage_over(spark, batches, step):
     out = workspace(spark, "usage")
-    run(
-        spark, batches, lambda s: jobs.usage_stream(s, step, ttl), workspace(spark, "cp"), jobs.to_table(out), "update"
-    )
+    run(spark, batches, lambda s: s, workspace(spark, "cp"), jobs.usage_stream(out, [step]))
     return jobs.read_usage(spark, out)
 
 
@@ -50,15 +48,18 @@ def test_stream_over_restarts_equals_batch(spark, step):
     assert values(usage_over(spark, batches, step)) == values(U.usage(readings(spark, rows), [step]))
 
 
-def test_state_goes_after_the_watermark(spark):
-    def at(time, value, arrival):
-        return readings(spark, [("f", f"2024-01-{time}:00", arrival, value)])
+def test_other_devices_clocks_drop_nothing(spark):
+    def at(feed, time, value, arrival):
+        return readings(spark, [(feed, f"{time}:00", arrival, value)])
 
-    batches = [at("01 01:10", 1, 1), at("20 01:10", 5, 2), at("20 01:20", 6, 3), at("01 01:20", 9, 4),
-               at("19 01:10", 7, 5), at("19 01:20", 9, 6)]
-    got = usage_over(spark, batches, "1h", "2 days").orderBy("start_time").collect()
-    # The second reading of day 1 comes after its window is gone and changes nothing; day 19 is within the delay.
-    assert [r["data_value"] for r in got] == [0.0, 2.0, 1.0]
+    batches = [at("f", "2024-01-01 01:10", 1, 1), at("ahead", "2099-01-20 01:10", 5, 2), at("f", "2024-01-01 01:20", 9, 3),
+               at("lags", "2023-06-01 01:10", 1, 4), at("lags", "2023-06-01 01:30", 3, 5)]
+    got = {r["feed_id"]: r["data_value"] for r in usage_over(spark, batches, "1h").collect()}
+    assert got == {"f": 8.0, "ahead": 0.0, "lags": 2.0}
+    out = workspace(spark, "first")
+    run(spark, batches, jobs.first_seen_stream, workspace(spark, "cp"), jobs.to_table(out))
+    got = {r["meter_key"]: r["value"] for r in keyed.read_batches(spark, out).collect()}
+    assert got == {"f": 1.0, "ahead": 5.0, "lags": 1.0}
 
 
 def test_first_seen_lasts_three_hours(spark):
@@ -66,12 +67,22 @@ def test_first_seen_lasts_three_hours(spark):
     day = "2024-01-10"
     times = ["00:00:00", "01:00:00", "02:50:00", "07:00:00", "11:00:00"]
     batches = [readings(spark, [("m", f"{day} {t}", i, i)]) for i, t in enumerate(times)]
-    run(spark, batches, jobs.first_seen_stream, workspace(spark, "cp"), jobs.to_table(out))
+    clock = F.timestamp_seconds("t")  # stands for the time of processing
+    run(spark, batches, lambda s: jobs.first_seen_stream(s, at=clock), workspace(spark, "cp"), jobs.to_table(out))
     got = {r["t"] for r in keyed.read_batches(spark, out).collect()}
     assert seconds(f"{day} 00:00:00") in got and seconds(f"{day} 11:00:00") in got
     assert seconds(f"{day} 01:00:00") not in got and seconds(f"{day} 02:50:00") not in got
 
 
+def test_state_is_kept_in_rocksdb(spark):
+    source = workspace(spark, "source")
+    with_code(readings(spark, random_readings(50))).write.parquet(source)
+    stream = jobs.first_seen_stream(spark.readStream.schema(READING).parquet(source))
+    job = jobs.start(stream, jobs.to_table(workspace(spark, "first")), workspace(spark, "cp"))
+    job.awaitTermination()
+    assert any("rocksdb" in name for p in job.recentProgress for s in p["stateOperators"] for name in s["customMetrics"])
+
+
 def test_in_order_acceptance_across_batches(spark):
     last, out = workspace(spark, "last"), workspace(spark, "accepted")
     accept = jobs.in_order_stream(last)

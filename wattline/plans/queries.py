@@ -698,8 +698,8 @@ def _stream_of_readings(spark, sf_dir, files_per_trigger=4):
 def _usage_stream(step: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = workspace(spark, "usage")
-        stream = jobs.usage_stream(_stream_of_readings(spark, sf_dir), step)
-        jobs.start(stream, jobs.to_table(out), workspace(spark, "checkpoint"), "update").awaitTermination()
+        stream = _stream_of_readings(spark, sf_dir)
+        jobs.start(stream, jobs.usage_stream(out, [step]), workspace(spark, "checkpoint")).awaitTermination()
         return rounded(jobs.read_usage(spark, out), "data_value")
 
     return run
@@ -714,7 +714,7 @@ for _step in ("30m", "1d", "1n"):
 def first_seen_stream(spark, sf_dir):
     """Meters let through; which of a meter's readings is first depends on file order, so only keys."""
     out = workspace(spark, "first")
-    stream = jobs.first_seen_stream(_stream_of_readings(spark, sf_dir, 1000))
+    stream = jobs.first_seen_stream(_stream_of_readings(spark, sf_dir))
     jobs.start(stream, jobs.to_table(out), workspace(spark, "checkpoint")).awaitTermination()
     return keyed.read_batches(spark, out).select("meter_key").distinct()
 
@@ -745,6 +745,5 @@ def recoverable_stream(spark, sf_dir):
     for part in (rows.where(half), rows.where(~half)):
         part.write.mode("append").parquet(path)
         stream = spark.readStream.schema(part.schema).parquet(path)
-        usage = jobs.usage_stream(stream, "1h")
-        jobs.start(usage, jobs.to_table(out), checkpoint, "update").awaitTermination()
+        jobs.start(stream, jobs.usage_stream(out, ["1h"]), checkpoint).awaitTermination()
     return rounded(jobs.read_usage(spark, out), "data_value")

@@ -7,30 +7,21 @@ that is killed and restarted repeats its last batch without doubling it.
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wattline.functions.numbers import subtract
-from wattline.functions.timefn import step_before
 from wattline.operators.calibration import calibrate, latest_formulas
 from wattline.operators.provisioning import provision, resolve_new_meters, unregistered
 from wattline.operators.readings import explode_readings, grid_readings, valid_messages
-from wattline.operators.usage import (
-    WINDOW,
-    batch_ends,
-    drop_out_of_order,
-    fold_ends,
-    merge_ends,
-    usage_documents,
-)
-from wattline.operators.windows import assign_closed_windows, with_seconds
+from wattline.operators.usage import batch_ends, drop_out_of_order, fold_ends, merge_ends
+from wattline.operators.windows import with_seconds
+from wattline.schemas import USAGE_STEPS
 from wattline.sinks.keyed import latest_by_key, read_batches, write_batch
 from wattline.sinks.outputs import at_once, points, write_quarantine, write_tables
 from wattline.sources.messages import decode_formulas, decode_messages
 
 FIRST_SEEN_TTL = "3 hours"
-USAGE_STATE_TTL = "35 days"
 POINT_TRIGGER = "6 seconds"
 
 # State on local disk with changelog checkpoints, for state larger than executor memory.
@@ -49,7 +40,12 @@ def start(
     mode: str = "append",
     every: str | None = None,
 ) -> StreamingQuery:
-    """Starts a job on a checkpoint: continuously every ``every``, or until the input is used up."""
+    """Starts a job on a checkpoint: continuously every ``every``, or until the input is used up.
+
+    State goes to local disk with its changes in the checkpoint.
+    """
+    for key, value in ROCKSDB.items():
+        stream.sparkSession.conf.set(key, value)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         stream.writeStream.outputMode(mode)
@@ -69,45 +65,36 @@ def decode_readings(envelopes: DataFrame) -> DataFrame:
 
 
 def first_seen_stream(
-    readings: DataFrame, registry: DataFrame | None = None, ttl: str = FIRST_SEEN_TTL
+    readings: DataFrame, registry: DataFrame | None = None, ttl: str = FIRST_SEEN_TTL, at: Column | None = None
 ) -> DataFrame:
-    """The first reading of each meter, and again once ``ttl`` has gone by since the one let through.
+    """A reading of each meter when it is first processed, and again long after (one to two ``ttl``).
 
-    Registered meters, nearly all readings in a running system, are left out
-    before anything is shuffled by meter.
+    ``at`` is the time that ages the state. It is that of processing unless another is given, never
+    a device's own: a device whose clock is ahead or which lags would have others' readings dropped.
+    Registered meters, nearly all readings in a running system, are left out before anything is
+    shuffled by meter.
     """
-    rows = readings if registry is None else unregistered(readings, registry)
-    timed = with_seconds(rows).withColumn("event_time", F.timestamp_seconds("t"))
+    rows = with_seconds(readings if registry is None else unregistered(readings, registry))
+    timed = rows.withColumn("event_time", F.current_timestamp() if at is None else at)
     return timed.withWatermark("event_time", ttl).dropDuplicatesWithinWatermark(["meter_key"])
 
 
-def usage_stream(readings: DataFrame, step: str, ttl: str = USAGE_STATE_TTL) -> DataFrame:
-    """Usage per feed and window of one step, revised by late readings (use update mode).
+def usage_stream(path: str, steps: list[str] = USAGE_STEPS) -> Callable[[DataFrame, int], None]:
+    """A sink of reading micro-batches that keeps usage per feed, window and step.
 
-    The watermark is on the window's end, so a window's state goes ``ttl`` after
-    it.  One query per step: mixed steps would let month ends push it ahead.
+    Each batch leaves the ends of its windows, which are combined before the shuffle. There is no
+    watermark, so a late reading always revises its windows, whatever the clocks of other devices say.
     """
-    rows = assign_closed_windows(grid_readings(readings), [step]).withColumn("until", F.timestamp_seconds("we"))
-    ends = (
-        rows.withWatermark("until", ttl)
-        .groupBy("feed_id", "until", "we")
-        .agg(
-            F.min_by("value", F.struct("t", -F.col("arrival"))).alias("first_value"),
-            F.max_by("value", F.struct("t", "arrival")).alias("last_value"),
-        )
-    )
-    return ends.select(
-        "feed_id",
-        F.lit(step).alias("step"),
-        step_before(F.col("we"), step).alias("ws"),
-        "we",
-        subtract(F.col("last_value"), F.col("first_value")).alias("value"),
-    )
+
+    def write(readings: DataFrame, batch: int) -> None:
+        write_batch(batch_ends(grid_readings(readings), steps), path, batch)
+
+    return write
 
 
 def read_usage(spark: SparkSession, path: str) -> DataFrame:
-    """Usage documents from the batches ``usage_stream`` wrote."""
-    return usage_documents(latest_by_key(read_batches(spark, path), WINDOW, "batch"), F.col("value"))
+    """Usage documents over all batches that ``usage_stream`` wrote."""
+    return merge_ends(read_batches(spark, path))
 
 
 def formula_stream(envelopes: DataFrame) -> DataFrame:
@@ -203,7 +190,7 @@ class Online:
 
     def usage(self, spark: SparkSession) -> DataFrame:
         """Usage documents over all batches: the ends of each batch, merged."""
-        return merge_ends(read_batches(spark, f"{self.root}/ends"))
+        return read_usage(spark, f"{self.root}/ends")
 
     def compact_ends(self, spark: SparkSession, target: str) -> None:
         """Writes the window ends of all batches as batch 0 of a new table."""
