@@ -1,4 +1,5 @@
 import datetime
+from decimal import ROUND_HALF_UP, Context, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -194,6 +195,19 @@ def test_arithmetic_follows_decimal_text(spark):
         N.round_half_up(a, -1)
 
 
+def test_arithmetic_at_large_and_small_magnitudes(spark):
+    pairs = [(1e10 + 0.3, 1e10 + 0.1), (1e-6, 1e-6), (1.0, 3e10), (8.8e9, 2.5e-6), (88.26, 2955340270.91427), (-50.98, 75.93)]
+    a, b = F.col("a"), F.col("b")
+    got = spark.createDataFrame(pairs, "a double, b double").select("a", "b", N.add(a, b), N.subtract(a, b), N.multiply(a, b), N.divide(a, b))
+    for x, y, *results in got.collect():
+        d, e = Decimal(repr(x)), Decimal(repr(y))
+        quotient = (d / e).quantize(Decimal("1e-16"), ROUND_HALF_UP, Context(prec=60))
+        assert results == [float(v) for v in (d + e, d - e, d * e, quotient)]
+    odd = spark.createDataFrame([(float("nan"), 1.0), (None, 1.0), (1e300, 1e10)], "a double, b double")
+    nan, none, huge = (r[0] for r in odd.select(N.multiply(a, b)).collect())
+    assert nan != nan and none is None and huge == float("inf")
+
+
 def test_kafka_options():
     options = M.kafka_options("h:9092", ["a", "b", "c"])
     assert options["subscribe"] == "a,b,c" and options["startingOffsets"] == "latest"

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wattline.functions.numbers import add, divide, multiply, subtract
+
 NUMBER = r"-?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 SIMPLE_STEP = rf"^([-+*/])({NUMBER}|input\w+)$"
 OPS = "array<struct<op:string,x:double>>"
@@ -50,17 +52,16 @@ def simple_ops(steps: Column, operands: Column) -> Column:
 
 
 def fold_ops(value: Column, ops: Column) -> Column:
-    """The value after all operations, each rounded like decimal arithmetic; null when one has no result."""
+    """The value after all operations in decimal arithmetic; null when one has no result."""
 
     def apply(acc, o):
         x = o["x"]
-        result = (
-            F.when(o["op"] == "+", acc + x)
-            .when(o["op"] == "-", acc - x)
-            .when(o["op"] == "*", acc * x)
-            .when(o["op"] == "/", F.try_divide(acc, x))
+        return (
+            F.when(o["op"] == "+", add(acc, x))
+            .when(o["op"] == "-", subtract(acc, x))
+            .when(o["op"] == "*", multiply(acc, x))
+            .when(o["op"] == "/", divide(acc, x))
         )
-        return F.round(result, 9)
 
     return F.aggregate(ops, value, apply)
 

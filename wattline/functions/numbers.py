@@ -1,31 +1,52 @@
 """Decimal-exact arithmetic on doubles.
 
-Readings are decimal texts held as doubles, so a plain ``0.1 + 0.2`` is off in
-the last digit.  Rounding each result to nine places gives the double nearest
-to the exact decimal result at meter magnitudes.
+Readings are decimal texts held as doubles, so a plain ``0.1 + 0.2`` is off in the last
+digit.  Here both operands become the decimals that their texts show, the operation is
+done on those, and the double nearest to its result comes out.  Operands that no decimal
+type of 38 digits holds whole are computed as doubles, without losing digits.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Places that sums of many values are shown with.
 PLACES = 9
+# Places of a quotient.
+QUOTIENT_PLACES = 16
+# Operand types (digits, places) whose sum or difference, product or quotient has 38 digits at most.
+_SUMS = [((37, 17), (37, 17))]
+_PRODUCTS = [((19, 9), (18, 9)), ((19, 5), (18, 5)), ((24, 6), (13, 12)), ((13, 12), (24, 6)), ((19, 18), (18, 18))]
+_QUOTIENTS = [((19, 9), (12, 6)), ((16, 5), (15, 5)), ((16, 4), (16, 4)), ((15, 5), (12, 10)), ((18, 3), (12, 6))]
+
+
+def _exact(operate, a: Column, b: Column, types: list) -> Column:
+    """``operate`` on decimals of the first types that hold both operands whole, or else on the doubles."""
+
+    def step(otherwise: Column, pair) -> Column:
+        x, y = (v.try_cast(f"decimal({p},{s})") for v, (p, s) in zip((a, b), pair, strict=True))
+        whole = (x.cast("double") == a) & (y.cast("double") == b)
+        return F.when(whole, operate(x, y).cast("double")).otherwise(otherwise)
+
+    return reduce(step, reversed(types), operate(a, b))
 
 
 def add(a: Column, b: Column) -> Column:
-    return F.round(a + b, PLACES)
+    return _exact(lambda x, y: x + y, a, b, _SUMS)
 
 
 def subtract(a: Column, b: Column) -> Column:
-    return F.round(a - b, PLACES)
+    return _exact(lambda x, y: x - y, a, b, _SUMS)
 
 
 def multiply(a: Column, b: Column) -> Column:
-    return F.round(a * b, PLACES)
+    return _exact(lambda x, y: x * y, a, b, _PRODUCTS)
 
 
 def divide(a: Column, b: Column) -> Column:
     """Null when the divisor is zero."""
-    return F.round(F.try_divide(a, b), PLACES)
+    return _exact(lambda x, y: F.round(F.try_divide(x, y), QUOTIENT_PLACES), a, b, _QUOTIENTS)
 
 
 def round_half_up(value: Column, scale: int) -> Column:
