@@ -2,7 +2,8 @@
 
 Readings, messages and history come from ``events``, devices and what hangs on
 them from ``supplier``, meters from ``customer`` and formula messages from
-``part``.  Events report for devices 0 to 4 only; the others are silent.
+``part``.  A third of the events is of devices 0 to 4, so that some keys are hot; the
+rest is of half the devices, which grow with the data.  The others are silent.
 ``oracle.py`` states the same derivation in SQL.
 """
 
@@ -35,7 +36,7 @@ def _meter(number) -> dict[str, Column]:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as raw readings: five devices, two addresses each, one register per code."""
+    """Events as raw readings of devices with two addresses, one register per code."""
     e = F.col("event_id")
     raw = seconds_of(F.col("ts"))
     code = (
@@ -45,8 +46,9 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "error", "D4")
         .otherwise("A10")
     )
-    sn = _sn(F.col("user_id") % 5)
-    addr = F.when(F.col("user_id") % 7 == 0, "2").otherwise("1")
+    user = F.col("user_id")
+    sn = _sn(F.when(e % 3 == 0, user % 5).otherwise(F.expr("user_id DIV 3")))
+    addr = F.when(user % 7 == 0, "2").otherwise("1")
     return table(spark, sf_dir, "events").select(
         "event_id",
         sn.alias("sn"),
@@ -57,6 +59,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 4 != 0, raw - F.pmod(raw, F.lit(600))).otherwise(raw).alias("t"),
         (e * 2 + F.when(e % 11 == 0, 81).otherwise(0)).alias("arrival"),
         ((e * 25 + F.round(F.col("value") * 100).cast("bigint")) / 100.0).alias("value"),
+        F.col("ts").alias("ingest_ts"),
     )
 
 
@@ -80,9 +83,9 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Device messages as text: mostly one reading each, some two, some broken."""
+    """Device messages as text with their time of ingestion: mostly one reading each, some two, some broken."""
     e = F.col("event_id")
-    own = F.struct("code", F.col("value").cast("string").alias("value"))
+    own = F.struct("code", F.when(e % 97 == 0, "abc").otherwise(F.col("value").cast("string")).alias("value"))
     extra = F.struct(F.lit("A10").alias("code"), F.when(e % 2 == 0, "12.5").alias("value"))
     data = F.when(e % 71 == 0, F.array().cast("array<struct<code:string,value:string>>")).otherwise(
         F.when(e % 5 == 0, F.array(own, extra)).otherwise(F.array(own))
@@ -90,7 +93,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.struct(
         F.when(e % 73 == 0, "").otherwise(F.col("sn")).alias("sn"),
         "topic",
-        text_of(F.col("t")).alias("time"),
+        F.when(e % 101 == 0, "yesterday").otherwise(text_of(F.col("t"))).alias("time"),
         "type",
         F.when(e % 79 != 0, F.col("addr")).alias("add"),
         data.alias("data"),
@@ -98,7 +101,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 11 == 0, 1).alias("delay"),
     )
     text = F.when(e % 83 == 0, "not json").when(e % 89 == 0, "").otherwise(F.to_json(body))
-    return _events(spark, sf_dir).select(text.alias("value"), "arrival")
+    return _events(spark, sf_dir).select(text.alias("value"), "arrival", "ingest_ts")
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,8 +131,8 @@ def meters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Known meters: all but code D4 and all but device SN0002."""
-    known = meters(spark, sf_dir).where((F.col("code") != "D4") & (F.col("device") != 2))
+    """Known meters: all but code D4 and all but those of every fifth device."""
+    known = meters(spark, sf_dir).where((F.col("code") != "D4") & (F.col("device") % 5 != 2))
     return known.select(
         "meter_key",
         surrogate_id("input", F.col("meter_key")).alias("input_id"),
@@ -138,15 +141,15 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def formula_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Formula messages for the first hundred meters, one version per part.
+    """Formula messages, four versions for each of as many meters as there are parts for.
 
-    Even versions are ``*1.5`` for A29 and ``/0`` for B2, odd ones
-    ``*1.5,+input<B2 of the device>`` and ``-input<B2 of the device>,/4``; C2 has
-    empty steps, and messages for the other codes are broken.  The operand is the part's price.
+    They take turns: ``*1.5`` for A29 and ``/0`` for B2, then ``*1.5,+input<B2 of the device>`` and
+    ``-input<B2 of the device>,/4``, the other way round for every other device; C2 has empty steps,
+    and messages for the other codes are broken.  The operand is the part's price.
     """
-    number, version = F.col("p_partkey") % 100, F.floor(F.col("p_partkey") / 100)
+    number, version = F.expr("p_partkey DIV 4"), F.col("p_partkey") % 4
     meter = _meter(number)
-    odd = version % 2 == 1
+    odd = (version + F.expr("p_partkey DIV 40")) % 2 == 1
     partner = surrogate_id("input", meter_key(meter["sn"], F.lit("B2"), F.lit("1"), F.lit("1")))
     steps = (
         F.when(meter["code"] == "A29", F.when(odd, F.concat(F.lit("*1.5,+input"), partner)).otherwise("*1.5"))
@@ -161,7 +164,7 @@ def formula_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(operand).alias("computeInputList"),
     )
     text = F.when(meter["code"].isin("A29", "B2", "C2"), F.to_json(body)).otherwise("{broken")
-    arrival = version * 500 + number + 101
+    arrival = version * 501 + number * 40 + 101
     return table(spark, sf_dir, "part").select(text.alias("value"), arrival.alias("arrival"))
 
 

@@ -1,6 +1,7 @@
 """The registered queries: operators run over the given tables."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from wattline.sinks import keyed, outputs
 from wattline.sinks.workspace import workspace
 from wattline.sources import history as H
 from wattline.sources import messages as M
+from wattline.sources.dimensions import read_dimensions as read_stored
 from wattline.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,16 +120,12 @@ def feed_rollup(spark, sf_dir):
 
 @query
 def split_outputs(spark, sf_dir):
-    """Rows and total per output."""
-    total = [F.count("*").alias("documents"), F.round(F.sum("data_value"), 4).alias("total")]
-    parts = [
-        part.groupBy(F.lit(step).alias("step")).agg(*total)
-        for step, part in U.split_outputs(U.usage(_grid(spark, sf_dir)).persist()).items()
-    ]
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return merged
+    """The documents of every output, all of one computation."""
+    path = workspace(spark, "usage")
+    rounded(U.usage(_grid(spark, sf_dir)), "data_value").write.parquet(path)
+    parts = U.split_outputs(spark.read.parquet(path))
+    named = [part.select(F.lit(step).alias("step"), "doc_id", "data_value") for step, part in parts.items()]
+    return reduce(DataFrame.unionByName, named)
 
 
 @query
@@ -233,7 +231,7 @@ def origin_flags(spark, sf_dir):
 
 @query
 def doc_ids(spark, sf_dir):
-    rows = W.assign_closed_windows(_grid(spark, sf_dir), ["1h"])
+    rows = W.assign_closed_windows(_grid(spark, sf_dir))
     start, end = D.epoch_seconds(F.col("ws")), D.epoch_seconds(F.col("we"))
     return rows.select(
         "event_id",
@@ -387,10 +385,9 @@ def eval_expression(spark, sf_dir):
 
 @query
 def nan_fallback(spark, sf_dir):
-    """VAL rows of formulas without a result: a division by zero and empty steps."""
-    hopeless = _formulas(spark, sf_dir).where(F.col("steps").isin("/0", ""))
-    rows = C.calibrate(X.readings(spark, sf_dir), X.registry(spark, sf_dir), hopeless)
-    return _emitted(rows.where(F.col("kind") == VAL))
+    """VAL rows of readings whose newest formula has no result: a division by zero."""
+    hopeless = _with_result(spark, sf_dir).where(F.col("has_formula") & F.col("result").isNull())
+    return _emitted(C.emit(hopeless).where(F.col("kind") == VAL))
 
 
 @query
@@ -425,8 +422,8 @@ _STORED = ["sn", "type", "addr", "time", "arrival"]
 
 @query
 def replay_from_time(spark, sf_dir):
-    """Envelopes from arrival 1000 on."""
-    return M.replay_from(X.envelopes(spark, sf_dir), 1000).select("arrival")
+    """Envelopes taken in from the middle of the month on."""
+    return M.replay_from(X.envelopes(spark, sf_dir), "2024-01-15 12:00:00", "ingest_ts").select("arrival")
 
 
 @query
@@ -480,18 +477,21 @@ def _first(spark, sf_dir):
     return V.first_seen(X.readings(spark, sf_dir))
 
 
+def _joined(columns: list[str]) -> Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+
+
 @query
 def read_dimensions(spark, sf_dir):
-    """Rows per dimension and tenant."""
+    """Every row of the dimensions, read from where they are stored."""
+    root = workspace(spark, "dimensions")
+    for name, rows in X.dimensions(spark, sf_dir).items():
+        rows.write.parquet(f"{root}/{name}")
     parts = [
-        rows.groupBy(F.lit(name).alias("dimension"), *([F.col("ds_schema")] if "ds_schema" in rows.columns else []))
-        .agg(F.count("*").alias("n"))
-        for name, rows in X.dimensions(spark, sf_dir).items()
+        rows.select(F.lit(name).alias("dimension"), _joined(rows.columns).alias("content"))
+        for name, rows in read_stored(spark, root).items()
     ]
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part, allowMissingColumns=True)
-    return merged.select("dimension", "ds_schema", "n")
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -650,21 +650,33 @@ def formula_sink(spark, sf_dir):
     return jobs.read_formulas(spark, path).select("input_id", "feed_id", "steps", "version")
 
 
+# What is compared of each table's inserts: key, content, value.
+_INSERTS = {
+    "instrument": ("id", ["ds_schema", "device_id", "topic_id", "addr", "type"], None),
+    "input": ("id", ["ds_schema", "prop", "value_time", "inst_addr", "inst_type", "inst_id"], "value"),
+    "feed": ("id", ["ds_schema", "device_id", "feed_num", "num", "name", "input_id", "inst_id"], "last_value"),
+    "registry": ("meter_key", ["input_id", "feed_id"], None),
+    "iot_bsn": ("id", ["ds_schema", "bsn", "status", "inst_id"], None),
+    "bsn_schema": ("id", ["ds_schema", "bsn"], None),
+}
+
+
 @query
 def table_inserts(spark, sf_dir):
-    """Rows added per table."""
-    root = workspace(spark, "tables")
-    dims = X.dimensions(spark, sf_dir)
-    tables = V.provision(_new_meters(spark, sf_dir).persist(), dims)
-    outputs.write_tables(tables, root, 0)
-    counts = [
-        keyed.read_batches(spark, f"{root}/{name}").groupBy(F.lit(name).alias("name")).agg(F.count("*").alias("n"))
-        for name in tables
+    """Rows added to every table."""
+    root, met = workspace(spark, "tables"), workspace(spark, "new-meters")
+    _new_meters(spark, sf_dir).write.parquet(met)
+    outputs.write_tables(V.provision(spark.read.parquet(met), X.dimensions(spark, sf_dir)), root, 0)
+    parts = [
+        keyed.read_batches(spark, f"{root}/{name}").select(
+            F.lit(name).alias("name"),
+            F.col(key).alias("id"),
+            _joined(columns).alias("content"),
+            (F.col(value) if value else F.lit(None)).cast("double").alias("value"),
+        )
+        for name, (key, columns, value) in _INSERTS.items()
     ]
-    merged = counts[0]
-    for part in counts[1:]:
-        merged = merged.unionByName(part)
-    return merged
+    return reduce(DataFrame.unionByName, parts)
 
 
 # Streams -----------------------------------------------------------------
@@ -690,7 +702,8 @@ def read_message_stream(spark, sf_dir):
 
 
 def _stream_of_readings(spark, sf_dir, files_per_trigger=4):
-    path = _feed(spark, X.readings(spark, sf_dir), "readings")
+    # Enough files for several micro-batches.
+    path = _feed(spark, X.readings(spark, sf_dir).repartition(3 * files_per_trigger), "readings")
     schema = spark.read.parquet(path).schema
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
@@ -712,11 +725,11 @@ for _step in ("30m", "1d", "1n"):
 
 @query
 def first_seen_stream(spark, sf_dir):
-    """Meters let through; which of a meter's readings is first depends on file order, so only keys."""
+    """Meters let through, once each over several micro-batches; which of their readings it is depends on file order."""
     out = workspace(spark, "first")
     stream = jobs.first_seen_stream(_stream_of_readings(spark, sf_dir))
     jobs.start(stream, jobs.to_table(out), workspace(spark, "checkpoint")).awaitTermination()
-    return keyed.read_batches(spark, out).select("meter_key").distinct()
+    return keyed.read_batches(spark, out).select("meter_key", "sn", "code", "addr")
 
 
 @query
