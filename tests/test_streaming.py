@@ -136,31 +136,41 @@ def test_workspace_is_the_folder_the_session_names():
     assert "wattline-" in workspace(session_with("local[2]", None), "x")
 
 
-def online(spark, parts):
+def online(spark, parts, every=50):
     job = jobs.Online(
         lambda: X.dimensions(spark, SF),
         lambda: jobs.decode_formulas(X.formula_envelopes(spark, SF)),
         workspace(spark, "online"),
+        every,
     )
     source, checkpoint = workspace(spark, "feed"), workspace(spark, "cp")
     for part in parts:
         part.coalesce(1).write.mode("append").parquet(source)
-        jobs.start(read_message_stream(spark, [source]), job, checkpoint).awaitTermination()
+        job.start(read_message_stream(spark, [source]), checkpoint).awaitTermination()
     return job
 
 
+def documents(job, spark):
+    return sorted(job.documents(spark).collect())
+
+
 def test_online_in_parts_equals_online_at_once(spark):
     envelopes = X.envelopes(spark, SF)
-    early = F.col("arrival") < 900
-    split = online(spark, [envelopes.where(early), envelopes.where(~early)])
+    # The third part has nothing in it; the fourth is late and revises what the others wrote.
+    bounds = [(300, 900), (900, 1500), (0, 0), (0, 300), (1500, 9999)]
+    split = online(spark, [envelopes.where(F.col("arrival").between(a, b - 1)) for a, b in bounds], every=2)
     whole = online(spark, [envelopes])
     assert values(split.usage(spark)) == values(whole.usage(spark))
+    assert documents(split, spark) == documents(whole, spark)
+    assert {r["index"] for r in split.documents(spark).collect()} == {"phase", "30m", "1h", "1d", "1n"}
+    read = [{(r["feedid"], r["time"]): r["value"] for r in job.points(spark).collect()} for job in (split, whole)]
+    assert read[0] == read[1]
     for table in ("registry", "input", "feed", "instrument", "iot_bsn", "bsn_schema"):
-        read = [keyed.read_batches(spark, f"{job.root}/{table}") for job in (split, whole)]
+        read = [job.tables[table].rows(spark) for job in (split, whole)]
         key = "meter_key" if table == "registry" else "id"
         ids = [sorted(r[0] for r in t.select(key).collect()) for t in read]
         assert ids[0] == ids[1] and len(set(ids[0])) == len(ids[0])
-    numbers = [r["feed_num"] for r in keyed.read_batches(spark, f"{split.root}/feed").collect()]
+    numbers = [r["feed_num"] for r in split.tables["feed"].rows(spark).collect()]
     assert len(set(numbers)) == len(numbers)
     assert keyed.read_batches(spark, f"{split.root}/quarantine").count() == keyed.read_batches(spark, f"{whole.root}/quarantine").count()
 
@@ -168,12 +178,23 @@ def test_online_in_parts_equals_online_at_once(spark):
 def test_repeating_an_online_batch_changes_nothing(spark):
     envelopes = X.envelopes(spark, SF)
     job = online(spark, [envelopes.where("arrival < 900"), envelopes.where("arrival >= 900")])
-    before = values(job.usage(spark))
+    before, written = values(job.usage(spark)), documents(job, spark)
     job(envelopes.where("arrival >= 900"), 1)
-    assert values(job.usage(spark)) == before
-    target = workspace(spark, "ends")
-    job.compact_ends(spark, target)
-    assert values(U.merge_ends(keyed.read_batches(spark, target))) == before
+    assert values(job.usage(spark)) == before and documents(job, spark) == written
+
+
+def test_a_log_reads_one_epoch(spark):
+    log = keyed.Log(workspace(spark, "log"), 3, lambda rows: keyed.latest_by_key(rows, ["k"], "batch"))
+    want = {}
+    for batch in range(8):
+        log.begin(spark, batch)
+        if batch:
+            earlier = log.before(spark, batch)
+            assert {r["k"]: r["v"] for r in keyed.latest_by_key(earlier, ["k"], "batch").collect()} == want
+            assert earlier.select("batch").distinct().count() <= 3
+        log.write(spark.createDataFrame([(batch % 5, batch)], "k int, v int"), batch)
+        want[batch % 5] = batch
+    assert {r["k"]: r["v"] for r in keyed.latest_by_key(log.rows(spark), ["k"], "batch").collect()} == want
 
 
 def test_points_and_documents(spark):

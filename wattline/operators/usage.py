@@ -14,12 +14,13 @@ WINDOW = ["feed_id", "step", "ws", "we"]
 
 
 def latest_per_instant(readings: DataFrame) -> DataFrame:
-    """One row per feed and instant: of equal times the later arrival wins.
+    """One row per feed and instant, with its arrival: of equal times the later one wins.
 
     Order and value are fixed-width, so both halves are hash aggregates, and the
     partial half runs before the shuffle whatever the share of a single feed.
     """
-    return with_seconds(readings).groupBy("feed_id", "t").agg(F.max_by("value", "arrival").alias("value"))
+    winner = [F.max_by("value", "arrival").alias("value"), F.max("arrival").alias("arrival")]
+    return with_seconds(readings).groupBy("feed_id", "t").agg(*winner)
 
 
 def window_ends(readings: DataFrame, steps: list[str] = USAGE_STEPS, also_by: list[str] = ()) -> DataFrame:
@@ -76,12 +77,7 @@ def usage(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFrame:
 
 def batch_ends(readings: DataFrame, steps: list[str] = USAGE_STEPS) -> DataFrame:
     """Window ends of one batch, with the arrivals needed to merge them with other batches."""
-    latest = (
-        with_seconds(readings)
-        .groupBy("feed_id", "t")
-        .agg(F.max("arrival").alias("arrival"), F.max_by("value", "arrival").alias("value"))
-    )
-    return window_ends(latest, steps)
+    return window_ends(latest_per_instant(readings), steps)
 
 
 def fold_ends(ends: DataFrame) -> DataFrame:
@@ -156,11 +152,11 @@ def _range_ends(ranged: DataFrame, steps: list[str]) -> DataFrame:
 
 
 def usage_phase(readings: DataFrame) -> DataFrame:
-    """Accepted grid readings as documents keyed by feed and time; the later arrival wins."""
+    """Accepted grid readings as documents keyed by feed and time; the later arrival wins and is returned."""
     latest = (
         with_seconds(readings)
         .groupBy("feed_id", "t")
-        .agg(F.max_by(F.struct("code", "value"), "arrival").alias("r"))
+        .agg(F.max_by(F.struct("code", "value"), "arrival").alias("r"), F.max("arrival").alias("arrival"))
     )
     time = text_of(F.col("t"))
     return latest.select(
@@ -169,6 +165,7 @@ def usage_phase(readings: DataFrame) -> DataFrame:
         F.col("r.code").alias("prop"),
         F.col("r.value").alias("data_value"),
         time.alias("data_time"),
+        "arrival",
     )
 
 

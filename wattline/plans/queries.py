@@ -84,7 +84,7 @@ def usage_changelog(spark, sf_dir):
 
 @query
 def usage_phase(spark, sf_dir):
-    return U.usage_phase(_grid(spark, sf_dir))
+    return U.usage_phase(_grid(spark, sf_dir)).drop("arrival")
 
 
 @query
@@ -613,7 +613,7 @@ def surrogate_ids(spark, sf_dir):
 def point_sink(spark, sf_dir):
     path = workspace(spark, "points")
     keyed.write_batch(outputs.points(X.readings(spark, sf_dir)), path, 0)
-    return keyed.read_keyed(spark, path, ["measurement", "feedid", "time"]).select(
+    return keyed.read_keyed(spark, path, ["measurement", "feedid", "time"], "arrival").select(
         "measurement", "feedid", "value", "time"
     )
 
@@ -627,7 +627,7 @@ def six_second_batches(spark, sf_dir):
 def document_sink(spark, sf_dir):
     """Documents of the five indexes."""
     grid = _grid(spark, sf_dir)
-    phase = outputs.documents(U.usage_phase(grid)).withColumn("index", F.lit("phase"))
+    phase = outputs.documents(U.usage_phase(grid).drop("arrival")).withColumn("index", F.lit("phase"))
     usage = rounded(U.usage(grid), "data_value").withColumn("index", F.col("step"))
     return phase.unionByName(outputs.documents(usage, keep=["index"]))
 
@@ -742,11 +742,31 @@ def formula_stream(spark, sf_dir):
 
 @query
 def online(spark, sf_dir):
-    """The whole pipeline on the message stream; usage per feed, window and step."""
-    feed = M.read_message_stream(spark, [_feed(spark, X.envelopes(spark, sf_dir), "live")])
-    job = jobs.Online(lambda: X.dimensions(spark, sf_dir), lambda: _formulas(spark, sf_dir), workspace(spark, "online"))
-    jobs.start(feed, job, workspace(spark, "checkpoint")).awaitTermination()
-    return rounded(job.usage(spark), "data_value")
+    """The whole pipeline on the message stream in two batches: documents, points and rejects."""
+    path, root, checkpoint = (workspace(spark, n) for n in ("live", "online", "checkpoint"))
+    job = jobs.Online(lambda: X.dimensions(spark, sf_dir), lambda: _formulas(spark, sf_dir), root)
+    rows, half = X.envelopes(spark, sf_dir), F.col("arrival") % 4 < 2
+    for part in (rows.where(half), rows.where(~half)):
+        part.write.mode("append").parquet(path)
+        job.start(M.read_message_stream(spark, [path]), checkpoint).awaitTermination()
+    field = lambda name: F.get_json_object("source", f"$.{name}")
+    none = F.lit(None).cast("string")
+    documents = job.documents(spark).select(
+        F.col("index").alias("output"),
+        F.col("_id").alias("id"),
+        field("feed_id").alias("feed_id"),
+        field("data_time").alias("detail"),
+        field("data_value").cast("double").alias("value"),
+    )
+    points = job.points(spark).select(
+        F.lit("points").alias("output"), F.col("time").cast("string").alias("id"), F.col("feedid").alias("feed_id"),
+        none.alias("detail"), "value",
+    )
+    rejects = keyed.read_batches(spark, f"{root}/quarantine").select(
+        F.lit("quarantine").alias("output"), F.col("arrival").cast("string").alias("id"), none.alias("feed_id"),
+        F.col("reason").alias("detail"), F.lit(None).cast("double").alias("value"),
+    )
+    return rounded(documents.unionByName(points).unionByName(rejects), "value")
 
 
 @query

@@ -17,12 +17,13 @@ POINT_BATCH_SECONDS = 6
 
 
 def points(readings: DataFrame, measurement: str = "feed_value") -> DataFrame:
-    """One point per feed and instant, the later arrival winning."""
+    """One point per feed and instant, the later arrival winning; it says which of several batches' points wins."""
     return latest_per_instant(readings).select(
         F.lit(measurement).alias("measurement"),
         F.col("feed_id").alias("feedid"),
         "value",
         epoch_millis(F.col("t")).alias("time"),
+        "arrival",
     )
 
 
@@ -51,14 +52,15 @@ def write_quarantine(messages: DataFrame, path: str, batch: int) -> None:
     write_batch(rejected_messages(messages), path, batch)
 
 
+def stamped(rows: DataFrame) -> DataFrame:
+    """Inserts with their times and version."""
+    now = F.current_timestamp()
+    return rows.withColumns({"create_time": now, "modify_time": now, "version": F.lit(0)})
+
+
 def write_tables(tables: dict[str, DataFrame], root: str, batch: int) -> None:
     """Inserts per table as one folder per batch, so a repeated batch inserts once."""
-    now = F.current_timestamp()
-    stamped = {
-        name: rows.withColumns({"create_time": now, "modify_time": now, "version": F.lit(0)})
-        for name, rows in tables.items()
-    }
-    at_once([partial(write_batch, rows, f"{root}/{name}", batch) for name, rows in stamped.items()])
+    at_once([partial(write_batch, stamped(rows), f"{root}/{name}", batch) for name, rows in tables.items()])
 
 
 def at_once(writes: list[Callable[[], None]]) -> None:
