@@ -69,7 +69,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     sizes = rows.groupBy("source").agg(F.sum(words).alias("source_size"))
     targets = stored(source_targets(sizes, weights, share, most), "mix-targets")
 
-    chunk = F.substring("row_key", 1, 2)  # hash-random: 256 even parts of each source, in the order of the key
+    # Hash-random: each source in as many even parts as there are partitions, in the order of the key.
+    chunk = F.shiftright(F.conv(F.substring("row_key", 1, 8), 16, 10).cast("bigint") * partitions(docs.sparkSession), 32)
     chunked = rows.withColumn("_chunk", chunk)
     before = Window.partitionBy("source").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunked.groupBy("source", "_chunk").agg(F.sum(words).alias("_total"))
