@@ -139,10 +139,3 @@ def test_same_ids_on_every_run(spark):
     rows = [reading("a", "B2", 1), reading("a", "C2", 2)]
     runs = [{tuple(r) for r in V.registry_upserts(resolved(spark, rows[::d])[0]).collect()} for d in (1, -1)]
     assert runs[0] == runs[1]
-
-
-def test_register_all_replaces(spark):
-    schema = "meter_key string, input_id string, feed_id string"
-    old = spark.createDataFrame([("a", "1", "1"), ("b", "2", "2")], schema)
-    new = spark.createDataFrame([("b", "3", "3"), ("c", "4", "4")], schema)
-    assert {tuple(r) for r in V.register_all(old, new).collect()} == {("a", "1", "1"), ("b", "3", "3"), ("c", "4", "4")}

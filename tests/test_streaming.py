@@ -116,10 +116,6 @@ def test_a_batch_written_twice_counts_once(spark):
     assert keyed.read_batches(spark, path).count() == 3
     got = {r["k"]: r["v"] for r in keyed.read_keyed(spark, path, ["k"]).collect()}
     assert got == {"a": 1.0, "b": 3.0}
-    target = workspace(spark, "compact")
-    keyed.compact(spark, path, ["k"], target)
-    assert keyed.read_batches(spark, target).count() == 2
-    assert {r["k"]: r["v"] for r in keyed.read_keyed(spark, target, ["k"]).collect()} == got
 
 
 def session_with(master, folder):

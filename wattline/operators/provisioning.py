@@ -208,7 +208,7 @@ def new_bsn_schemas(bsns: DataFrame) -> DataFrame:
 
 
 def provision(meters: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Rows to add per table, from ``resolve_new_meters`` (persist it first: it is read several times)."""
+    """Rows to add per table, from ``resolve_new_meters`` (write or persist it first: it is read several times)."""
     bsns = new_bsns(meters, dims["iot_bsn"])
     return {
         "instrument": new_instruments(meters),
@@ -218,9 +218,3 @@ def provision(meters: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFr
         "iot_bsn": bsns,
         "bsn_schema": new_bsn_schemas(bsns),
     }
-
-
-def register_all(registry: DataFrame, upserts: DataFrame) -> DataFrame:
-    """The registry with the new meters in it; a new entry replaces an old one."""
-    kept = registry.select("meter_key", "input_id", "feed_id").join(upserts.select("meter_key"), "meter_key", "left_anti")
-    return kept.unionByName(upserts)

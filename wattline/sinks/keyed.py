@@ -1,8 +1,7 @@
 """Keyed tables on plain files: upserts as appended batches, newest row per key on read.
 
 Each micro-batch overwrites its own ``batch=N`` folder, so a batch run twice
-after a failure leaves one copy.  ``compact`` folds the batches into a snapshot,
-and a ``Log`` does so by itself.
+after a failure leaves one copy.  A ``Log`` also folds them into snapshots.
 """
 
 from collections.abc import Callable, Sequence
@@ -34,12 +33,6 @@ def read_keyed(spark: SparkSession, path: str, keys: list[str], order: str = "ba
     return latest_by_key(read_batches(spark, path), keys, order)
 
 
-def compact(spark: SparkSession, path: str, keys: list[str], target: str, order: str = "batch") -> None:
-    """Writes the newest row per key as batch 0 of a new table; the old one stays readable."""
-    rows = read_keyed(spark, path, keys, order)
-    write_batch(rows.drop("batch"), target, 0)
-
-
 def inserts(rows: DataFrame) -> DataFrame:
     """The fold of a table whose rows are inserted once."""
     return rows
