@@ -52,6 +52,15 @@ def families(rng, n):
     return out
 
 
+def reached(links):
+    """What the links connect, as sets."""
+    sets = {}
+    for a, b in links:
+        one = sets.get(a, {a}) | sets.get(b, {b})
+        sets.update(dict.fromkeys(one, one))
+    return {frozenset(s) for s in sets.values()}
+
+
 def components(spark, fps):
     signed = [x - (1 << 64) if x >> 63 else x for x in dict.fromkeys(fps)]
     nodes = spark.createDataFrame([(x,) for x in signed], "fp bigint")
@@ -70,6 +79,28 @@ def test_links_against_all_pairs(spark, monkeypatch, together):
     assert [first.setdefault(g, i) for i, g in enumerate(got)] == want
 
 
+@pytest.mark.parametrize("pairs", [5, 9, 64, 1 << 22])
+def test_parts_that_end_within_a_run_lose_no_link(monkeypatch, pairs):
+    monkeypatch.setattr(A, "PAIRS", pairs)
+    x, y, z, q = 0, 0b11, 0b1111, 0b111111
+    u, v = A._linked(np.array([q, x, y, z], np.uint64), np.zeros(4, np.int32), np.array([False, True, True, True]))
+    assert reached(zip(u.tolist(), v.tolist())) == {frozenset((x, y, z, q))}
+    rng = random.Random(pairs)
+    fps = []
+    for _ in range(6):
+        at = rng.getrandbits(64)
+        for _ in range(40):
+            fps.append(at)
+            at ^= 1 << rng.randrange(64) | 1 << rng.randrange(64)
+    rng.shuffle(fps)
+    fps = list(dict.fromkeys(fps))
+    u, v = A._linked(np.array(fps, np.uint64), np.zeros(len(fps), np.int32), np.ones(len(fps), bool))
+    label, want = groups(fps), {}
+    for f, g in zip(fps, label):
+        want.setdefault(g, set()).add(f)
+    assert reached(zip(u.tolist(), v.tolist())) == {frozenset(s) for s in want.values() if len(s) > 1}
+
+
 def test_large_anchors_are_split_in_task(monkeypatch):
     import pyarrow as pa
 

@@ -95,27 +95,31 @@ def replicas(fp: np.ndarray, errors: list[tuple[np.ndarray, np.ndarray]]) -> tup
 
 
 def _linked(fp: np.ndarray, run: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of each fingerprint to the least of those it is connected to within its run. ``run`` ascends."""
+    """Links that connect what is near within a run. ``run`` ascends.
+
+    Parts of PAIRS comparisons may end inside a run, so each part links from labels of its own: every pair that
+    it finds is connected by its own links, whatever other parts do with the labels."""
     begin = np.searchsorted(run, run, "left")
     size = np.searchsorted(run, run, "right") - begin
-    label = np.arange(len(fp))
     mine = np.flatnonzero(home & (size > 1))
     cost = np.cumsum(size[mine])
+    u, v = [fp[:0]], [fp[:0]]
     for part in np.split(mine, np.searchsorted(cost, np.arange(PAIRS, cost[-1], PAIRS)) if len(mine) else []):
         a = np.repeat(part, size[part])
         b = np.arange(len(a)) - np.repeat(np.cumsum(size[part]) - size[part], size[part]) + begin[a]
         near = (np.bitwise_count(fp[a] ^ fp[b]) <= LINK) & (a != b)
         a, b = a[near], b[near]
+        label = np.arange(len(fp))
         while len(a):
             least = np.minimum(label[a], label[b])
             if (label[a] == least).all() and (label[b] == least).all():
                 break
             np.minimum.at(label, a, least)
             np.minimum.at(label, b, least)
-    while (label[label] != label).any():
-        label = label[label]
-    moved = np.flatnonzero(label != np.arange(len(fp)))
-    return fp[moved], fp[label[moved]]
+        moved = np.flatnonzero(label != np.arange(len(fp)))
+        u.append(fp[moved])
+        v.append(fp[label[moved]])
+    return np.concatenate(u), np.concatenate(v)
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
