@@ -61,6 +61,18 @@ def test_constant_nodes_of_a_host_are_template(spark):
     assert got[501].startswith("Call us now")
 
 
+@pytest.mark.parametrize("near", [False, True])
+def test_a_family_of_copies_makes_no_template(spark, near):
+    story = "<div class=x2><p>the one story that is told again and again</p><p>and its end</p></div>"
+    copy = lambda i: f"<html><body><div class=x1><p>Call us now</p></div>{story}<div class=x3>seen {i if near else i % 2}</div></body></html>"
+    other = lambda i: copy(i).replace(story, f"<div class=x2><p>story {i} of some other kind</p><p>{'more ' * 4000}</p></div>")
+    rows = [(i, f"http://a/{i}", copy(i)) for i in range(1200)] + [(2000 + i, f"http://a/{i}", other(i)) for i in range(8)]
+    parts = pages(spark, rows).repartition(100, "page_id")
+    got = {r.page_id: r.text for r in W.main_text(parts).collect()}
+    assert all("the one story" in got[i] and "its end" in got[i] for i in range(1200))
+    assert all("story" in got[2000 + i] and "Call us now" not in got[2000 + i] for i in range(8))
+
+
 def test_edges(spark):
     rows = [(1, "http://a/x", None), (1, "http://a/x", None), (None, None, ""), (2, "no url", "<p>" * 2000 + "deep"), (3, "http://a/y", "<div>" * 4000 + "z" + "w " * 50_000)]
     got = W.main_text(pages(spark, rows))

@@ -1,8 +1,7 @@
 """Main text of pages by wrappers induced per host from aligned trees."""
 
+import hashlib
 import re
-import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,8 +11,8 @@ from pyspark.sql import functions as F
 from wattline.llm.common import slices, stored
 from wattline.llm.dom import BLOCK, RAW, Node, Shape, joined, match, numbered, parse, shape
 
-#: A node is template if at least this many of its host's other texts were aligned with it and so large a
-#: share of them had the same text there.
+#: A node is template if it counts at least so often among its host's other pages and agrees in so large a
+#: share of that.
 LEAST_PAGES, CONSTANT = 3, 0.9
 #: Pages up to this many bytes come first as a host's reference page.
 REFERENCE_BYTES = 16 << 10
@@ -83,18 +82,46 @@ def blocks(roots: list[Node], template: set[int], whole: bool) -> list[str]:
     return [x for x in (" ".join("".join(parts).split()) for parts in out) if x]
 
 
+def _text(x: Shape, texts: dict[int, str]) -> str:
+    """The texts of a shape's nodes, kept in ``texts`` by the shape's id."""
+    if id(x) not in texts:
+        texts[id(x)] = "\n".join(joined(n) for n in x.nodes)
+    return texts[id(x)]
+
+
 def _same(pair: tuple[Shape, Shape]) -> bool:
     return [joined(n) for n in pair[0].nodes] == [joined(n) for n in pair[1].nodes]
 
 
+def _beside(root: Shape, texts: dict[int, str]) -> dict[int, str]:
+    """By the id of each shape: the longest text of a shape neither above nor below it, markup's asides left out."""
+    out: dict[int, str] = {id(root): ""}
+
+    def walk(x: Shape) -> None:
+        own = [("" if _aside(c.nodes[0]) else _text(c, texts)) for c in x.children]
+        first, second = (sorted(range(len(own)), key=lambda i: -len(own[i])) + [-1, -1])[:2]
+        for i, child in enumerate(x.children):
+            other = second if i == first else first
+            out[id(child)] = max(out[id(x)], own[other] if other >= 0 else "", key=len)
+            walk(child)
+
+    walk(root)
+    return out
+
+
+def _key(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 def induce(pages: DataFrame) -> DataFrame:
     """(host, reference, template) of each host: its reference page, and the numbers of that tree's nodes
     that are constant among the host's pages.
 
     Takes (host, html). The reference is the page with the least hash among the shorter ones, a minimum
     that is combined before the shuffle. Every page is aligned with its host's reference by simple tree
-    matching; tasks count agreements by node and hash of the page, so that copies of a page count once, and
-    only counts are shuffled.
+    matching. A node that differs counts once per text; one that agrees counts once per longest text beside
+    it, and once for all texts shorter than its own. So copies and near copies of a story count once,
+    whatever they vary beside it and whatever task they fall into; only such keys are shuffled.
     """
     order = F.struct(F.octet_length("html") > REFERENCE_BYTES, F.xxhash64("html"), "html")
     references = pages.groupBy("host").agg(F.min(order).alias("least"))
@@ -102,31 +129,29 @@ def induce(pages: DataFrame) -> DataFrame:
     both = pages.join(references, F.col("host") == F.col("_host")).filter("html != reference")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees: dict[str, Shape] = {}
+        trees: dict[str, tuple[Shape, dict[int, str]]] = {}
         for batch in slices(batches):
-            counts: dict[tuple[str, int], list[int]] = defaultdict(lambda: [0, 0])
-            seen: set[tuple[str, int]] = set()
+            found: set[tuple[str, int, bool, int]] = set()
             for host, page, reference in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "reference")), strict=True):
-                key = (host, zlib.crc32(page.encode()))
-                if key in seen:  # a copy
-                    continue
-                seen.add(key)
                 if host not in trees:
                     if len(trees) > 64:
                         trees.clear()
-                    trees[host] = shape([parse(reference)])
-                    numbered(trees[host])
-                for pair in match(trees[host], shape([parse(page)])):
-                    count = counts[host, pair[0].number]
-                    count[0] += 1
-                    count[1] += _same(pair)
-            rows = [(h, n, a, b) for (h, n), (a, b) in counts.items()]
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "node", "n", "same"])
-
-    agreed = both.select("host", "html", "reference").mapInArrow(align, "host string, node int, n bigint, same bigint")
-    agreed = agreed.groupBy("host", "node").agg(F.sum("n").alias("n"), F.sum("same").alias("same"))
+                    trees[host] = shape([parse(reference)]), {}
+                    numbered(trees[host][0])
+                tree, known = trees[host]
+                texts: dict[int, str] = {}
+                other = shape([parse(page)])
+                beside = _beside(other, texts)
+                for left, right in match(tree, other):
+                    text, context = _text(right, texts), beside[id(right)]
+                    same = text == _text(left, known)
+                    found.add((host, left.number, same, (_key(context) if len(context) >= len(text) else 0) if same else _key(text)))
+            columns = list(zip(*found, strict=True)) or [[], [], [], []]
+            kinds = (pa.string(), pa.int32(), pa.bool_(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "node", "same", "key"])
+
+    agreed = both.select("host", "html", "reference").mapInArrow(align, "host string, node int, same boolean, key bigint").distinct()
+    agreed = agreed.groupBy("host", "node").agg(F.count(F.lit(1)).alias("n"), F.count_if("same").alias("same"))
     constant = agreed.filter((F.col("n") >= LEAST_PAGES) & (F.col("same") >= CONSTANT * F.col("n")))
     template = constant.groupBy("host").agg(F.array_sort(F.collect_list("node")).alias("template"))
     joined_up = references.join(template, F.col("_host") == F.col("host"), "left")
