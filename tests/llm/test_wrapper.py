@@ -73,6 +73,18 @@ def test_a_family_of_copies_makes_no_template(spark, near):
     assert all("story" in got[2000 + i] and "Call us now" not in got[2000 + i] for i in range(8))
 
 
+def test_the_wrapper_decides_on_pages_with_articles(spark):
+    html = "<body><main><h1>Title {0}</h1><div class=lead>lead {0}</div><article><p class=note>Our rules apply</p><div><p>story {0}</p><p>more {1}</p></div></article></main><div class=x>All rights</div><nav>go {0}</nav></body>"
+    rows = [(i, f"http://a/{i}", html.format(i, i * 7)) for i in range(30)]
+    rows += [(100 + i, f"http://b/{i}", f"<body><article><p>always the same</p></article><div class=x>seen {i}</div></body>") for i in range(30)]
+    rows += [(200, "http://lone/", html.format(1, 7)), (201, "http://a/other", "<main><p>lead</p><article><p>x</p></article></main>")]
+    got = {r.page_id: r.text for r in W.main_text(pages(spark, rows)).collect()}
+    assert got[3] == "Title 3\n\nlead 3\n\nstory 3\n\nmore 21"
+    assert got[104] == "always the same\n\nseen 4"
+    assert got[200] == "Our rules apply\n\nstory 1\n\nmore 7"
+    assert got[201] == "lead\n\nx"
+
+
 def test_edges(spark):
     rows = [(1, "http://a/x", None), (1, "http://a/x", None), (None, None, ""), (2, "no url", "<p>" * 2000 + "deep"), (3, "http://a/y", "<div>" * 4000 + "z" + "w " * 50_000)]
     got = W.main_text(pages(spark, rows))

@@ -55,12 +55,14 @@ def _articles(root: Node) -> list[Node]:
     return []
 
 
-def blocks(roots: list[Node], template: set[int], whole: bool) -> list[str]:
+def blocks(roots: list[Node], template: set[int], whole: bool, articles: list[Node] = ()) -> list[str]:
     """Texts of the blocks below ``roots`` in page order. ``template`` has ids of nodes to leave out;
-    ``whole`` if there is no article, then page headers go as well."""
+    ``whole`` if the roots are whole pages, then page headers outside of ``articles`` go as well."""
     out: list[list[str]] = [[]]
+    inner = {id(x) for x in articles}
 
-    def walk(x: Node) -> None:
+    def walk(x: Node, whole: bool) -> None:
+        whole = whole and id(x) not in inner
         for child in x.children:
             if isinstance(child, str):
                 out[-1].append(child)
@@ -71,17 +73,41 @@ def blocks(roots: list[Node], template: set[int], whole: bool) -> list[str]:
                     out.append([])
             elif child.tag in BLOCK:
                 out.append([])
-                walk(child)
+                walk(child, whole)
                 out.append([])
             else:
-                walk(child)
+                walk(child, whole)
 
     for root in roots:
         out.append([])
-        walk(root)
+        walk(root, whole)
     return [x for x in (" ".join("".join(parts).split()) for parts in out) if x]
 
 
+def _spare(root: Node, articles: list[Node], template: set[int]) -> None:
+    """Takes out of ``template`` what holds an article, and all of an article that is constant as a whole."""
+    inner = {id(x) for x in articles}
+
+    def spare(x: Node) -> None:
+        template.discard(id(x))
+        for child in x.children:
+            if not isinstance(child, str):
+                spare(child)
+
+    def walk(x: Node, gone: bool) -> bool:
+        gone = gone or id(x) in template
+        if id(x) in inner:
+            if gone:
+                spare(x)
+            return True
+        held = [walk(child, gone) for child in x.children if not isinstance(child, str)]
+        if any(held):
+            template.discard(id(x))
+        return any(held)
+
+    walk(root, False)
+
+
 def _text(x: Shape, texts: dict[int, str]) -> str:
     """The texts of a shape's nodes, kept in ``texts`` by the shape's id."""
     if id(x) not in texts:
@@ -115,7 +141,7 @@ def _key(text: str) -> int:
 
 def induce(pages: DataFrame) -> DataFrame:
     """(host, reference, template) of each host: its reference page, and the numbers of that tree's nodes
-    that are constant among the host's pages.
+    that are constant among the host's pages; null where too few pages tell.
 
     Takes (host, html). The reference is the page with the least hash among the shorter ones, a minimum
     that is combined before the shuffle. Every page is aligned with its host's reference by simple tree
@@ -152,31 +178,31 @@ def induce(pages: DataFrame) -> DataFrame:
 
     agreed = both.select("host", "html", "reference").mapInArrow(align, "host string, node int, same boolean, key bigint").distinct()
     agreed = agreed.groupBy("host", "node").agg(F.count(F.lit(1)).alias("n"), F.count_if("same").alias("same"))
-    constant = agreed.filter((F.col("n") >= LEAST_PAGES) & (F.col("same") >= CONSTANT * F.col("n")))
-    template = constant.groupBy("host").agg(F.array_sort(F.collect_list("node")).alias("template"))
-    joined_up = references.join(template, F.col("_host") == F.col("host"), "left")
-    none = F.array().cast("array<int>")
-    return joined_up.select("_host", "reference", F.coalesce("template", none).alias("template"))
+    constant = (F.col("same") >= CONSTANT * F.col("n")) & (F.col("node") > 0)
+    template = agreed.filter(F.col("n") >= LEAST_PAGES).groupBy("host").agg(F.array_sort(F.collect_list(F.when(constant, F.col("node")))).alias("template"))
+    return references.join(template, F.col("_host") == F.col("host"), "left").select("_host", "reference", "template")
 
 
 def text_of(page: str | None, reference: Shape | None, template: set[int]) -> str:
-    """The main text: of the article elements, or else of all that is not template."""
+    """The main text: all that is not template, or what markup says where there is nothing to align with."""
     root = parse(page or "")
     articles = _articles(root)
-    out: set[int] = set()
-    if not articles and reference is not None and template:
-        pairs = match(reference, shape([root]))
-        out = {id(n) for pair in pairs if pair[0].number in template and pair[0].number and _same(pair) for n in pair[1].nodes}
-    return "\n\n".join(blocks(articles or [root], out, not articles))
+    pairs = match(reference, shape([root])) if reference is not None else []
+    if len(pairs) < 2:
+        return "\n\n".join(blocks(articles or [root], set(), not articles))
+    out = {id(n) for pair in pairs if pair[0].number in template and _same(pair) for n in pair[1].nodes}
+    _spare(root, articles, out)
+    return "\n\n".join(blocks([root], out, True, articles))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of each page.
 
     Takes (page_id, url, html, ...). Pages of a host are aligned with its reference page; nodes constant
-    over the host are template and varying ones content. What markup says outranks the wrapper: article
-    elements are content although pages repeat them, and menus, footers, sidebars, adverts, notices, forms
-    and comments are none although they vary. Null html gives empty text, a url without host is of host
+    over the host are template and varying ones content, inside article elements and outside. Markup corrects
+    that: an article that is constant as a whole is content, menus, footers, sidebars, adverts, notices, forms
+    and comments are none although they vary. Only where a host has too few pages to tell, or a page has
+    nothing to align, article elements decide. Null html gives empty text, a url without host is of host
     "", repeated rows are each returned, other columns ignored; an empty table gives no rows.
     """
     rows = pages.select("page_id", "url", F.col("html"), host_of().alias("host"))
@@ -188,12 +214,12 @@ def main_text(pages: DataFrame) -> DataFrame:
         for batch in slices(batches):
             texts = []
             for host, page, reference, template in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "reference", "template")), strict=True):
-                if template and host not in trees:
+                if template is not None and host not in trees:
                     if len(trees) > 64:
                         trees.clear()
                     trees[host] = shape([parse(reference)])
                     numbered(trees[host])
-                texts.append(text_of(page, trees.get(host) if template else None, set(template or ())))
+                texts.append(text_of(page, trees.get(host) if template is not None else None, set(template or ())))
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
