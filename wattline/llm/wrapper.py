@@ -146,8 +146,9 @@ def induce(pages: DataFrame) -> DataFrame:
     Takes (host, html). The reference is the page with the least hash among the shorter ones, a minimum
     that is combined before the shuffle. Every page is aligned with its host's reference by simple tree
     matching. A node that differs counts once per text; one that agrees counts once per longest text beside
-    it, and once for all texts shorter than its own. So copies and near copies of a story count once,
-    whatever they vary beside it and whatever task they fall into; only such keys are shuffled.
+    it, and once for all texts shorter than its own. So copies and near copies of a story count once in
+    whatever task they fall, as long as no text beside it that varies is longer than the story; only such keys
+    are shuffled.
     """
     order = F.struct(F.octet_length("html") > REFERENCE_BYTES, F.xxhash64("html"), "html")
     references = pages.groupBy("host").agg(F.min(order).alias("least"))
