@@ -1,5 +1,5 @@
 import pytest
-from conftest import seconds
+from metering import seconds
 from pyspark.sql import functions as F
 
 from wattline.operators import provisioning as V

@@ -3,7 +3,7 @@ from types import SimpleNamespace
 
 import brute
 import pytest
-from conftest import random_readings, readings, seconds
+from metering import random_readings, readings, seconds
 from pyspark.sql import functions as F
 
 from wattline.operators import usage as U

@@ -1,6 +1,6 @@
 import brute
 import pytest
-from conftest import random_readings, readings, seconds
+from metering import random_readings, readings, seconds
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
