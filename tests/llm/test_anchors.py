@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from conftest import EDGE, documents
+from corpus_rows import EDGE, documents
 from pyspark.sql import functions as F
 
 from wattline.llm import anchors as A

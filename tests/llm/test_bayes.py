@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import documents
+from corpus_rows import documents
 
 from wattline.llm import bayes as B
 

@@ -4,7 +4,7 @@ import random
 import re
 from collections import Counter
 
-from conftest import EDGE, documents
+from corpus_rows import EDGE, documents
 
 from wattline.llm import host_rules as H
 

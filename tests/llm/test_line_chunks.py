@@ -5,7 +5,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import EDGE, documents
+from corpus_rows import EDGE, documents
 
 from wattline.llm import line_chunks as L
 

@@ -5,7 +5,7 @@ import random
 import re
 from collections import defaultdict
 
-from conftest import EDGE, documents
+from corpus_rows import EDGE, documents
 
 from wattline.llm import mixing
 

@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import EDGE, documents
+from corpus_rows import EDGE, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer

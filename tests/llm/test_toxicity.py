@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import documents
+from corpus_rows import documents
 
 from wattline.llm import recurrent as R
 from wattline.llm import toxicity as T

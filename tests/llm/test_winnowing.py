@@ -5,7 +5,7 @@ import random
 import re
 
 import numpy as np
-from conftest import EDGE, documents
+from corpus_rows import EDGE, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
