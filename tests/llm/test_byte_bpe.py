@@ -1,0 +1,88 @@
+"""Byte-level BPE against the library on whole texts, and decoding against the texts."""
+
+import base64
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from corpus_rows import EDGE, documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entrypoint
+from wattline.llm import byte_bpe
+
+PATH, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(PATH, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding("whole", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_every_document_as_the_library(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = {}
+    for r in docs.collect():
+        ids = library.encode_ordinary(r["text"] or "")
+        digest = lambda x: hashlib.sha256(x).hexdigest()
+        want[r["doc_id"]] = (len(ids), digest(",".join(map(str, ids)).encode()), digest((r["text"] or "").encode()))
+    got = entrypoint.queries()["op12_byte_bpe"](spark, "/root/testdata/sf0.001")
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert {r[0]: tuple(r[1:]) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("block_bytes", [1, 50, byte_bpe.BLOCK_BYTES])
+def test_edge_rows(spark, library, edge, block_bytes):
+    encoded = byte_bpe.encode(edge, PATH, PATTERN, block_bytes)
+    rows = byte_bpe.decode(encoded, PATH).collect()
+    got = sorted((str(r["doc_id"]), list(r["ids"]), bytes(r["decoded"]).decode()) for r in rows)
+    assert got == sorted((str(i), library.encode_ordinary(t or ""), t or "") for i, t, _, _ in EDGE)
+
+
+def test_empty_table(spark, empty):
+    assert byte_bpe.decode(byte_bpe.encode(empty, PATH, PATTERN), PATH).collect() == []
+
+
+def test_decoding_keeps_columns_and_null_ids(spark):
+    rows = spark.createDataFrame([(1, [64, 216], "x"), (2, None, "y"), (3, [], "z")], "doc_id bigint, ids array<int>, decoded string")
+    got = byte_bpe.decode(rows.withColumn("starts", F.lit(7)), PATH)
+    assert got.columns == ["doc_id", "ids", "starts", "decoded"]
+    assert {r["doc_id"]: bytes(r["decoded"]) for r in got.collect()} == {1: b"a\x1c", 2: b"", 3: b""}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \t\n\r\x1c\x85  'sS1²ñ٣中🙂́")), max_size=60))
+def test_words_alone_are_encoded_as_within_their_text(library, text):
+    import regex
+
+    words = regex.findall(PATTERN, text)
+    assert "".join(words) == text
+    assert [i for w in words for i in library.encode_ordinary(w)] == library.encode_ordinary(text)
+
+
+@given(st.lists(st.integers(0, 2**32 - 1)), st.lists(st.binary()))
+def test_packing(numbers, words):
+    assert byte_bpe._expand(byte_bpe._squeeze(np.array(numbers, np.uint32))).tolist() == numbers
+    assert byte_bpe._unpack_words(byte_bpe._pack_words(words)) == words
+
+
+def test_gathered_pieces():
+    flat, starts = np.arange(10), np.array([0, 3, 3, 7, 10])
+    joined, sizes = byte_bpe.gather(flat, starts, np.array([2, 0, 1, 2]))
+    assert joined.tolist() == [3, 4, 5, 6, 0, 1, 2, 3, 4, 5, 6] and sizes.tolist() == [4, 3, 0, 4]
+
+
+def test_each_word_is_encoded_once(spark, monkeypatch):
+    """Blocks of one document each: a word in all of them meets in one task."""
+    docs = documents(spark, [(i, "the same words " + "x" * i, "en", "a") for i in range(30)])
+    blocks = byte_bpe.split(docs, PATTERN, 8, 1).select("block", F.inline("groups"))
+    spread = blocks.groupBy("bucket").agg(F.count_distinct("block").alias("n")).collect()
+    assert max(r["n"] for r in spread) == 30
+    met = byte_bpe.encode_words(blocks, PATH, PATTERN).select("bucket", F.spark_partition_id().alias("task"))
+    assert met.groupBy("bucket").agg(F.count_distinct("task").alias("n")).where("n > 1").count() == 0

@@ -123,6 +123,70 @@ SELECT doc_id, CAST(any_value(n_lines) AS INT) AS n_lines, CAST(count_if(gone) A
 FROM s GROUP BY doc_id, k
 """
 
+OP11 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, {_BENCH_WORDS} AS w FROM documents),
+g AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+i AS (
+  SELECT item_id, no, term, count(*) AS repeats
+  FROM (SELECT item_id, no, unnest({_BENCH_WORDS}) AS term
+        FROM (SELECT item_id, text, row_number() OVER () AS no FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)))
+  GROUP BY ALL),
+t AS (
+  SELECT row, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+h AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS weight
+  FROM (SELECT term, count(*) AS df FROM t GROUP BY term), g),
+s AS (
+  SELECT item_id, no, row, doc_id,
+         CAST(sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM t JOIN h USING (term) JOIN i USING (term), g GROUP BY item_id, no, row, doc_id),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY no ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
+def _refined(books: str) -> str:
+    """Codebooks after one round."""
+    return f"""
+  SELECT part, entry, place, coalesce(y, x) AS x
+  FROM {books} LEFT JOIN (
+    SELECT part, entry, place, CAST(floor(sum(x)::DOUBLE / count(*)::DOUBLE) AS BIGINT) AS y
+    FROM c JOIN ({_nearest(books)}) USING (row, part) GROUP BY part, entry, place) USING (part, entry, place)"""
+
+
+def _nearest(books: str) -> str:
+    """The nearest entry of each part and its distance."""
+    return f"""
+    SELECT row, part, min_by(entry, distance * 64 + entry) AS entry, min(distance) AS distance
+    FROM (SELECT row, part, entry, CAST(sum((c.x - b.x) * (c.x - b.x)) AS BIGINT) AS distance
+          FROM c JOIN {books} AS b USING (part, place) GROUP BY row, part, entry)
+    GROUP BY row, part"""
+
+
+OP13 = f"""
+WITH k AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST) AS row,
+         list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c AS MATERIALIZED (
+  SELECT row, p // (len(v) // 16) AS part, p % (len(v) // 16) AS place, v[p + 1] AS x
+  FROM (SELECT row, v, unnest(range(0, len(v))) AS p FROM k)),
+b0 AS MATERIALIZED (SELECT part, row - 1 AS entry, place, x FROM c WHERE row <= 64),
+b1 AS MATERIALIZED ({_refined("b0")}),
+b2 AS MATERIALIZED ({_refined("b1")}),
+e AS (
+  SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(distance) AS BIGINT) AS error
+  FROM ({_nearest("b2")}) GROUP BY row)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, place)) FROM b2) AS codebooks_sha256
+FROM k JOIN e USING (row)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -131,4 +195,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_chunks": OP5,
         "op9_source_mixing": OP9,
         "op10_benchmark_winnowing": OP10,
+        "op11_lexical_search": OP11,
+        "op13_value_codes": OP13,
     }

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import anchors, bayes, fixity, host_rules, line_chunks, mixing, packing, toxicity, winnowing, wrapper
+from wattline.llm import (
+    anchors,
+    bayes,
+    byte_bpe,
+    fixity,
+    host_rules,
+    lexical,
+    line_chunks,
+    mixing,
+    packing,
+    toxicity,
+    value_codes,
+    winnowing,
+    wrapper,
+)
 from wattline.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +28,7 @@ _QUERIES: dict[str, Query] = {}
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def query(fn: Query) -> Query:
@@ -85,3 +100,29 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_benchmark_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("row_key")
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path(RANKS)
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    both = byte_bpe.decode(encoded, ranks)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_value_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = value_codes.compress(table(spark, sf_dir, "embeddings"))
+    judged = value_codes.with_label_error(stored(coded, "vector-codes"))
+    digest = F.lit(value_codes.books_sha256(books)).alias("codebooks_sha256")
+    return judged.select("vec_id", "code", "error", "label_error", digest)
