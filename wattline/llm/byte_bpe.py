@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import partitions, slices, stored
+from wattline.llm.common import bucketed, partitions, slices
 
 #: UTF-8 bytes of text in a block: it ends with the document that reaches them.
 BLOCK_BYTES = 16 << 20
@@ -59,8 +59,8 @@ def _unpack_words(packed: bytes) -> list[bytes]:
 def gather(flat: np.ndarray, starts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The pieces ``flat[starts[c]:starts[c + 1]]`` of each ``c`` in ``chosen``, joined, and their lengths."""
     sizes = starts[chosen + 1] - starts[chosen]
-    ends = np.cumsum(sizes)
-    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[chosen] - ends + sizes, sizes)
+    ends = np.cumsum(sizes, dtype=starts.dtype)
+    at = np.arange(ends[-1] if len(ends) else 0, dtype=ends.dtype) + np.repeat(starts[chosen] - ends + sizes, sizes)
     return flat[at], sizes
 
 
@@ -97,11 +97,11 @@ def split(docs: DataFrame, pattern: str, buckets: int, block_bytes: int = BLOCK_
             words = [w.encode() for w in number]
             bucket = np.array([zlib.crc32(w) % buckets for w in words], np.uint32)
             groups = [{"bucket": b, "words": _pack_words([words[i] for i in np.flatnonzero(bucket == b)])} for b in np.unique(bucket).tolist()]
-            every = np.concatenate(sequences)
-            known = np.concatenate([[-1], np.maximum.accumulate(every.astype(np.int64))])[:-1] if len(every) else every
+            every = np.concatenate(sequences) + np.uint32(1)
+            known = np.concatenate([np.zeros(1, np.uint32), np.maximum.accumulate(every)])[:-1]
             fields = [
                 ("block", pa.int64(), base + made), ("doc_ids", pa.list_(doc_id), doc_ids), ("lengths", pa.list_(pa.int64()), [len(s) for s in sequences]),
-                ("numbers", pa.binary(), _squeeze(np.where(every > known, 0, every + 1))), ("buckets", pa.binary(), _squeeze(bucket)),
+                ("numbers", pa.binary(), _squeeze(np.where(every > known, np.uint32(0), every))), ("buckets", pa.binary(), _squeeze(bucket)),
                 ("groups", pa.list_(pa.struct([("bucket", pa.int32()), ("words", pa.binary())])), groups),
             ]
             return pa.RecordBatch.from_arrays([pa.array([value], kind) for _, kind, value in fields], names=[name for name, _, _ in fields])
@@ -152,19 +152,23 @@ def _reassembled(block: pa.Table, encoded: pa.Table) -> pa.Table:
     (row,) = block.select(["doc_ids", "lengths", "numbers", "buckets"]).to_pylist()
     parts = [x["ids"] for x in sorted(encoded.select(["bucket", "ids"]).to_pylist(), key=lambda x: x["bucket"])]
     cuts = [8 + int.from_bytes(x[:8], "little") for x in parts]
-    empty = [np.empty(0, np.uint32)]
-    sizes = np.concatenate([_expand(x[8:c]) for x, c in zip(parts, cuts, strict=True)] or empty).astype(np.int64)
-    flat = np.concatenate([_expand(x[c:]) for x, c in zip(parts, cuts, strict=True)] or empty)
+    sizes = np.concatenate([np.empty(0, np.uint32), *(_expand(x[8:c]) for x, c in zip(parts, cuts, strict=True))]).astype(np.int32)
+    flat = np.concatenate([np.empty(0, np.uint32), *(_expand(x[c:]) for x, c in zip(parts, cuts, strict=True))]).astype(np.int32)
+    starts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int32)]).astype(np.int32)
     # Words came bucket by bucket, within one in the order of their numbers.
-    place = np.empty(len(sizes), np.int64)
-    place[np.argsort(_expand(row["buckets"]), kind="stable")] = np.arange(len(sizes))
-    numbers = _expand(row["numbers"]).astype(np.int64) - 1
-    first = numbers < 0
-    numbers[first] = np.arange(np.count_nonzero(first))
-    ids, counts = gather(flat, np.concatenate([[0], np.cumsum(sizes)]), place[numbers])
-    ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *row["lengths"]])]
+    place = np.empty(len(sizes), np.int32)
+    place[np.argsort(_expand(row["buckets"]), kind="stable")] = np.arange(len(sizes), dtype=np.int32)
+    stored_numbers = _expand(row["numbers"])
+    first = stored_numbers == 0
+    numbers = stored_numbers - np.uint32(1)
+    numbers[first] = np.arange(np.count_nonzero(first), dtype=np.uint32)
+    texts, ends, joined, n = np.cumsum([0, *row["lengths"]]), [0], [], 0
+    for begin, end in zip(texts[:-1].tolist(), texts[1:].tolist(), strict=True):
+        joined.append(gather(flat, starts, place[numbers[begin:end]])[0])
+        ends.append(n := n + len(joined[-1]))
     kept = pa.array(row["doc_ids"], block.schema.field("doc_ids").type.value_type)
-    return pa.Table.from_arrays([kept, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))], names=["doc_id", "ids"])
+    ids = pa.array(np.concatenate([np.empty(0, np.int32), *joined]))
+    return pa.Table.from_arrays([kept, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)], names=["doc_id", "ids"])
 
 
 def encode(docs: DataFrame, path: str, pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -175,7 +179,7 @@ def encode(docs: DataFrame, path: str, pattern: str, block_bytes: int = BLOCK_BY
     The pattern must match every character, and a match alone as it does within its text.
     """
     buckets = BUCKETS * partitions(docs.sparkSession)
-    blocks = stored(split(docs, pattern, buckets, block_bytes), "bpe-blocks")
+    blocks = bucketed(split(docs, pattern, buckets, block_bytes), "block", "bpe-blocks")
     words = encode_words(blocks.select("block", F.inline("groups")), path, pattern)
     kind = docs.schema["doc_id"].dataType.simpleString()
     kept = blocks.drop("groups").groupBy("block").cogroup(words.groupBy("block"))

@@ -43,6 +43,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` written to the shared folder in as many buckets of ``key`` as there are shuffle partitions, and read again.
+
+    Grouping by ``key`` then reads it where it lies. The table's name is dropped at once, its files stay.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
+    known = "bucketed_" + path[-32:]
+    df.write.format("parquet").bucketBy(partitions(spark), key).option("path", path).saveAsTable(known)
+    rows = spark.table(known)
+    spark.sql(f"DROP TABLE {known}")
+    return rows
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
