@@ -4,14 +4,17 @@ from types import SimpleNamespace
 import brute
 import pytest
 from metering import random_readings, readings, seconds
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from wattline.operators import usage as U
 from wattline.plans import fixtures as X
+from wattline.schemas import USAGE_STEPS
 from wattline.sinks import keyed, outputs
 from wattline.sinks.workspace import workspace
 from wattline.sources.messages import read_message_stream
-from wattline.streaming import jobs
+from wattline.streaming import jobs, state
 
 SF = "/root/testdata/sf0.001"
 READING = "feed_id string, t bigint, arrival bigint, value double, code string, meter_key string"
@@ -30,9 +33,9 @@ def run(spark, batches, make, checkpoint, write, mode="append"):
         jobs.start(make(stream), write, checkpoint, mode).awaitTermination()
 
 
-def usage_over(spark, batches, step):
+def usage_over(spark, batches, steps, life_ms=state.WINDOW_LIFE_MS):
     out = workspace(spark, "usage")
-    run(spark, batches, lambda s: s, workspace(spark, "cp"), jobs.usage_stream(out, [step]))
+    run(spark, batches, lambda s: state.usage_stream(s, steps, life_ms), workspace(spark, "cp"), jobs.to_table(out), "update")
     return jobs.read_usage(spark, out)
 
 
@@ -40,12 +43,11 @@ def values(df):
     return {r["doc_id"]: round(r["data_value"], 6) for r in df.collect()}
 
 
-@pytest.mark.parametrize("step", ["30m", "1n"])
-def test_stream_over_restarts_equals_batch(spark, step):
+def test_stream_over_restarts_equals_batch(spark):
     rows = random_readings(300, seed=4)
     # Batches out of time order: late ones revise earlier windows.
     batches = [readings(spark, rows[100:200]), readings(spark, rows[:100]), readings(spark, rows[200:])]
-    assert values(usage_over(spark, batches, step)) == values(U.usage(readings(spark, rows), [step]))
+    assert values(usage_over(spark, batches, USAGE_STEPS)) == values(U.usage(readings(spark, rows)))
 
 
 def test_other_devices_clocks_drop_nothing(spark):
@@ -54,57 +56,173 @@ def test_other_devices_clocks_drop_nothing(spark):
 
     batches = [at("f", "2024-01-01 01:10", 1, 1), at("ahead", "2099-01-20 01:10", 5, 2), at("f", "2024-01-01 01:20", 9, 3),
                at("lags", "2023-06-01 01:10", 1, 4), at("lags", "2023-06-01 01:30", 3, 5)]
-    got = {r["feed_id"]: r["data_value"] for r in usage_over(spark, batches, "1h").collect()}
+    got = {r["feed_id"]: r["data_value"] for r in usage_over(spark, batches, ["1h"]).collect()}
     assert got == {"f": 8.0, "ahead": 0.0, "lags": 2.0}
-    out = workspace(spark, "first")
-    run(spark, batches, jobs.first_seen_stream, workspace(spark, "cp"), jobs.to_table(out))
-    got = {r["meter_key"]: r["value"] for r in keyed.read_batches(spark, out).collect()}
-    assert got == {"f": 1.0, "ahead": 5.0, "lags": 1.0}
 
 
-def test_first_seen_lasts_three_hours(spark):
+class Clock:
+    """Stands for Spark's side of a stateful operator: state that outlives its life, timers, the time of a batch."""
+
+    def __init__(self):
+        self.now, self.states, self.timers = 0, {}, []
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def getValueState(self, name, schema, life=None):
+        return self.states.setdefault(name, Held(self, life))
+
+    def getMapState(self, name, key, value, life=None):
+        return self.states.setdefault(name, Held(self, life))
+
+
+class Held:
+    def __init__(self, clock, life):
+        self.clock, self.life, self.values = clock, life, {}
+
+    def getValue(self, key):
+        at, value = self.values.get(key, (None, None))
+        return value if at is not None and (self.life is None or self.clock.now - at < self.life) else None
+
+    def updateValue(self, key, value):
+        self.values[key] = (self.clock.now, value)
+
+    def iterator(self):
+        return ((k, self.getValue(k)) for k in list(self.values) if self.getValue(k) is not None)
+
+    get = lambda self: self.getValue(())
+    update = lambda self, value: self.updateValue((), value)
+    clear = lambda self: self.values.clear()
+
+
+def driven(processor, steps):
+    """What a processor gives for each (time, rows) of one key; due timers fire after the rows."""
+    clock = Clock()
+    processor.init(clock)
+    for now, rows in steps:
+        clock.now = now
+        yield list(processor.handleInputRows(("k",), iter(rows), clock)) if rows else []
+        for at in [t for t in clock.timers if t <= now]:
+            clock.timers.remove(at)
+            list(processor.handleExpiredTimer(("k",), clock, SimpleNamespace(getExpiryTimeInMs=lambda at=at: at)))
+
+
+def test_first_seen_lives_three_hours_from_its_creation():
+    life, minute = state.FIRST_SEEN_LIFE_MS, 60_000
+    assert life == 180 * minute
+    times = [0, 60 * minute, life - 1, life, life + 1, 2 * life - 1, 2 * life, 5 * life]
+    got = driven(state._FirstSeen(life), [(t, [{"arrival": i + 0.5}, {"arrival": i}]) for i, t in enumerate(times)])
+    # Readings in between don't renew it.
+    assert [[r["arrival"] for r in rows] for rows in got] == [[0], [], [], [3], [], [], [6], [7]]
+
+
+def test_first_seen_emits_again_when_its_timer_came_first():
+    got = driven(state._FirstSeen(100), [(0, [{"arrival": 1}]), (99, [{"arrival": 2}]), (150, []), (151, [{"arrival": 3}]), (249, [{"arrival": 4}])])
+    assert [[r["arrival"] for r in rows] for rows in got] == [[1], [], [], [3], []]
+
+
+def window(t, arrival, value):
+    ends = dict(zip(state._ENDS, (t, arrival, value) * 2, strict=True))
+    return {"step": "1h", "ws": 0, "we": 3600, **ends}
+
+
+def test_windows_live_from_their_last_update():
+    life = 35 * 24 * state.HOUR_MS
+    assert state.WINDOW_LIFE_MS == life
+    steps = [(0, [window(0, 1, 10.0)]), (life - 1, [window(600, 2, 15.0)]), (2 * life - 2, [window(1200, 3, 18.0)]), (3 * life, [window(1800, 4, 30.0)])]
+    got = [(r["first_value"], r["last_value"]) for rows in driven(state._WindowEnds(None, life), steps) for r in rows]
+    assert got == [(10.0, 10.0), (10.0, 15.0), (10.0, 18.0), (30.0, 30.0)]
+
+
+def test_newest_time_lives_from_the_last_reading():
+    life = state.NEWEST_LIFE_MS
+    assert life == 36 * state.HOUR_MS
+    steps = [(0, [{"arrival": 1, "t": 50}]), (life - 1, [{"arrival": 3, "t": 60}, {"arrival": 2, "t": 40}]), (2 * life - 2, [{"arrival": 4, "t": 59}]),
+             (3 * life - 2, [{"arrival": 5, "t": 1}])]
+    got = [[r["arrival"] for r in rows] for rows in driven(state._InOrder(life), steps)]
+    assert got == [[1], [3], [], [5]]
+
+
+def test_superseded_formulas_serve_late_readings():
+    life = state.SUPERSEDED_LIFE_MS
+    change = lambda v: {"version": v, "val_feed_id": f"f{v}", "ops": "[]"}
+    reading = lambda a: {"version": None, "arrival": a}
+    steps = [(0, [reading(5), change(10), reading(10)]), (10, [change(20), reading(25), reading(19), reading(3)]), (20, [change(15), reading(16)]),
+             (10 + life, [reading(12), reading(17), reading(22)]), (30 * life, [reading(99), reading(16)])]
+    fields = StructType([StructField("version", LongType()), StructField("val_feed_id", StringType()), StructField("ops", StringType())])
+    got = [[(r["arrival"], r["val_feed_id"]) for r in rows] for rows in driven(state._FormulaAsOf(fields, ["arrival"], life), steps)]
+    assert got == [[(5, None), (10, "f10")], [(25, "f20"), (19, "f10"), (3, None)], [(16, "f15")],
+                   [(12, None), (17, "f15"), (22, "f20")], [(99, "f20"), (16, None)]]
+
+
+def test_first_seen_over_restarts(spark):
+    rows = [[("m", "2024-01-10 00:00:00", 5, 1), ("m", "2024-01-10 00:10:00", 2, 2), ("known", "2024-01-10 00:00:00", 3, 1)],
+            [("m", "2024-01-10 00:20:00", 7, 3), ("n", "2024-01-10 00:00:00", 8, 4)]]
+    out = workspace(spark, "first")
+    registry = spark.createDataFrame([("known",)], "meter_key string")
+    batches = [readings(spark, part) for part in rows]
+    run(spark, batches, lambda s: state.first_seen_stream(s, registry), workspace(spark, "cp"), jobs.to_table(out))
+    assert {(r["meter_key"], r["arrival"], r["value"]) for r in keyed.read_batches(spark, out).collect()} == {("m", 2, 2.0), ("n", 8, 4.0)}
+    # The same with a life that is over when the job starts again.
     out = workspace(spark, "first")
-    day = "2024-01-10"
-    times = ["00:00:00", "01:00:00", "02:50:00", "07:00:00", "11:00:00"]
-    batches = [readings(spark, [("m", f"{day} {t}", i, i)]) for i, t in enumerate(times)]
-    clock = F.timestamp_seconds("t")  # stands for the time of processing
-    run(spark, batches, lambda s: jobs.first_seen_stream(s, at=clock), workspace(spark, "cp"), jobs.to_table(out))
-    got = {r["t"] for r in keyed.read_batches(spark, out).collect()}
-    assert seconds(f"{day} 00:00:00") in got and seconds(f"{day} 11:00:00") in got
-    assert seconds(f"{day} 01:00:00") not in got and seconds(f"{day} 02:50:00") not in got
+    run(spark, batches, lambda s: state.first_seen_stream(s, registry, 1), workspace(spark, "cp"), jobs.to_table(out))
+    assert {(r["meter_key"], r["arrival"]) for r in keyed.read_batches(spark, out).collect()} == {("m", 2), ("m", 7), ("n", 8)}
+
+
+def test_windows_start_anew_after_their_life(spark):
+    batches = [readings(spark, [("f", "2024-01-01 01:10:00", 1, 1)]), readings(spark, [("f", "2024-01-01 01:20:00", 2, 9)])]
+    assert list(values(usage_over(spark, batches, ["1h"])).values()) == [8.0]
+    assert list(values(usage_over(spark, batches, ["1h"], life_ms=1)).values()) == [0.0]
 
 
 def test_state_is_kept_in_rocksdb(spark):
     source = workspace(spark, "source")
     with_code(readings(spark, random_readings(50))).write.parquet(source)
-    stream = jobs.first_seen_stream(spark.readStream.schema(READING).parquet(source))
+    stream = state.first_seen_stream(spark.readStream.schema(READING).parquet(source))
     job = jobs.start(stream, jobs.to_table(workspace(spark, "first")), workspace(spark, "cp"))
     job.awaitTermination()
     assert any("rocksdb" in name for p in job.recentProgress for s in p["stateOperators"] for name in s["customMetrics"])
 
 
 def test_in_order_acceptance_across_batches(spark):
-    last, out = workspace(spark, "last"), workspace(spark, "accepted")
-    accept = jobs.in_order_stream(last)
-
-    def write(rows, batch):
-        kept = accept(rows, batch).persist()
-        keyed.write_batch(kept, out, batch)
-        keyed.write_batch(U.feed_last_time(kept), last, batch)
-
+    out = workspace(spark, "accepted")
     rows = random_readings(300, seed=8)
     batches = [readings(spark, rows[i : i + 100]) for i in (0, 100, 200)]
-    run(spark, batches, lambda s: s, workspace(spark, "cp"), write)
+    run(spark, batches, state.drop_out_of_order_stream, workspace(spark, "cp"), jobs.to_table(out))
     got = {r["arrival"] for r in keyed.read_batches(spark, out).collect()}
     assert got == {r[2] for r in brute.in_order(rows)} and len(got) < 300
 
 
-def test_first_seen_leaves_out_registered_meters(spark):
-    out = workspace(spark, "first")
-    rows = readings(spark, [("m", "2024-01-10 00:00:00", 1, 1), ("n", "2024-01-10 00:00:00", 2, 1)])
-    registry = spark.createDataFrame([("m",)], "meter_key string")
-    run(spark, [rows], lambda s: jobs.first_seen_stream(s, registry), workspace(spark, "cp"), jobs.to_table(out))
-    assert [r["meter_key"] for r in keyed.read_batches(spark, out).collect()] == ["n"]
+def test_a_batch_that_dies_after_its_write_is_repeated_without_a_trace(spark):
+    """The job is killed between the sink's write and the commit of the batch, then restarted."""
+    rows = random_readings(200, seed=6)
+    batches = [readings(spark, rows[:100]), readings(spark, rows[100:])]
+    undisturbed, out, checkpoint = usage_over(spark, batches, ["1h"]), workspace(spark, "usage"), workspace(spark, "cp")
+    died = []
+
+    def dies_once(frame, batch):
+        jobs.to_table(out)(frame, batch)
+        if batch == 1 and not died:
+            died.append(batch)
+            raise RuntimeError("killed between write and commit")
+
+    source = workspace(spark, "source")
+    for part in batches:
+        with_code(part).coalesce(1).write.mode("append").parquet(source)
+        for _ in range(2):
+            revised = state.usage_stream(spark.readStream.schema(READING).parquet(source), ["1h"])
+            job = jobs.start(revised, dies_once, checkpoint, "update")
+            try:
+                job.awaitTermination()
+                break
+            except StreamingQueryException:
+                assert died == [1] and keyed.read_batches(spark, out).where("batch = 1").count() > 0
+    assert died and values(jobs.read_usage(spark, out)) == values(undisturbed) == values(U.usage(readings(spark, rows), ["1h"]))
+    assert {r["batch"] for r in keyed.read_batches(spark, out).select("batch").distinct().collect()} == {0, 1}
+    assert keyed.read_batches(spark, out).groupBy("batch", "doc_id").count().where("count > 1").count() == 0
 
 
 def test_a_batch_written_twice_counts_once(spark):
@@ -118,6 +236,25 @@ def test_a_batch_written_twice_counts_once(spark):
     assert got == {"a": 1.0, "b": 3.0}
 
 
+def test_formulas_are_cleared_when_a_job_starts(spark):
+    out, checkpoint = workspace(spark, "formulas"), workspace(spark, "cp")
+    feeds = [X.formula_envelopes(spark, SF).where(F.col("arrival") % 3 == i) for i in range(3)]
+
+    def job(rows, checkpoint):
+        source = workspace(spark, "feed")
+        rows.coalesce(1).write.parquet(source)
+        stream = jobs.formula_stream(read_message_stream(spark, [source]))
+        jobs.start(stream, jobs.to_cleared_table(out), checkpoint).awaitTermination()
+
+    def versions():
+        return {r["version"] for r in keyed.read_batches(spark, out).collect()}
+
+    job(feeds[0], workspace(spark, "cp"))
+    assert versions() == {r["version"] for r in jobs.decode_formulas(feeds[0]).collect()}
+    job(feeds[1], checkpoint)  # a new job
+    assert versions() == {r["version"] for r in jobs.decode_formulas(feeds[1]).collect()}
+
+
 def session_with(master, folder):
     conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" and folder else default)
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))

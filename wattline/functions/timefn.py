@@ -103,6 +103,14 @@ def step_before(start: Column, step: str) -> Column:
     return _midnight(F.add_months(_date(start), -1 if step == "1n" else -12))
 
 
+def day_number(seconds: Column) -> Column:
+    return F.floor(seconds / 86400).cast("int")
+
+
+def year_number(seconds: Column) -> Column:
+    return F.year(_date(seconds))
+
+
 def period_days(start: Column, end: Column) -> Column:
     """Day field of the calendar period between two dates (what whole months leave over)."""
     months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)

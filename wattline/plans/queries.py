@@ -22,7 +22,7 @@ from wattline.sinks.workspace import workspace
 from wattline.sources import history as H
 from wattline.sources import messages as M
 from wattline.sources.dimensions import read_dimensions as read_stored
-from wattline.streaming import jobs
+from wattline.streaming import jobs, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -701,6 +701,20 @@ def read_message_stream(spark, sf_dir):
     return keyed.read_batches(spark, out).select("meter_key", _arrival(), "value")
 
 
+def _in_order(spark, rows: DataFrame, run: Callable[[str], None], name: str, parts: int = 3) -> None:
+    """Appends ``rows`` to a folder in so many parts in the order of arrival and runs a job after each."""
+    path = workspace(spark, name)
+    bounds = rows.approxQuantile("arrival", [i / parts for i in range(1, parts)], 0.01)
+    part = reduce(lambda n, b: n + (F.col("arrival") > b).cast("int"), bounds, F.lit(0))
+    for i in range(parts):
+        rows.where(part == i).write.mode("append").parquet(path)
+        run(path)
+
+
+def _stream(spark, path: str, schema) -> DataFrame:
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def _stream_of_readings(spark, sf_dir, files_per_trigger=4):
     # Enough files for several micro-batches.
     path = _feed(spark, X.readings(spark, sf_dir).repartition(3 * files_per_trigger), "readings")
@@ -708,35 +722,76 @@ def _stream_of_readings(spark, sf_dir, files_per_trigger=4):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def _usage_stream(step: str) -> Query:
+def _usage_stream(*steps: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = workspace(spark, "usage")
-        stream = _stream_of_readings(spark, sf_dir)
-        jobs.start(stream, jobs.usage_stream(out, [step]), workspace(spark, "checkpoint")).awaitTermination()
+        revised = state.usage_stream(R.grid_readings(_stream_of_readings(spark, sf_dir)), list(steps))
+        jobs.start(revised, jobs.to_table(out), workspace(spark, "checkpoint"), "update").awaitTermination()
         return rounded(jobs.read_usage(spark, out), "data_value")
 
     return run
 
 
 _QUERIES["usage_stream"] = _usage_stream("1h")
+_QUERIES["usage_stream_all"] = _usage_stream("30m", "1h", "1d", "1n")
 for _step in ("30m", "1d", "1n"):
     _QUERIES[f"usage_stream_{_step}"] = _usage_stream(_step)
 
 
 @query
 def first_seen_stream(spark, sf_dir):
-    """Meters let through, once each over several micro-batches; which of their readings it is depends on file order."""
-    out = workspace(spark, "first")
-    stream = jobs.first_seen_stream(_stream_of_readings(spark, sf_dir))
-    jobs.start(stream, jobs.to_table(out), workspace(spark, "checkpoint")).awaitTermination()
-    return keyed.read_batches(spark, out).select("meter_key", "sn", "code", "addr")
+    """First readings of unregistered meters, whole, over three runs of the job."""
+    out, checkpoint = workspace(spark, "first"), workspace(spark, "checkpoint")
+    rows, registry = X.readings(spark, sf_dir), X.registry(spark, sf_dir)
+
+    def run(path):
+        first = state.first_seen_stream(_stream(spark, path, rows.schema), registry)
+        jobs.start(first, jobs.to_table(out), checkpoint).awaitTermination()
+
+    _in_order(spark, rows, run, "readings")
+    found = keyed.read_batches(spark, out)
+    return found.select("event_id", "meter_key", "sn", "code", "type", "addr", "topic", "feed_id", text(), "value", "arrival")
+
+
+@query
+def drop_out_of_order_stream(spark, sf_dir):
+    """Grid readings in order, over three runs of the job."""
+    out, checkpoint = workspace(spark, "accepted"), workspace(spark, "checkpoint")
+    rows = _grid(spark, sf_dir)
+
+    def run(path):
+        accepted = state.drop_out_of_order_stream(_stream(spark, path, rows.schema))
+        jobs.start(accepted, jobs.to_table(out), checkpoint).awaitTermination()
+
+    _in_order(spark, rows, run, "readings")
+    return keyed.read_batches(spark, out).select("feed_id", "arrival", text(), "value")
+
+
+@query
+def formula_as_of_stream(spark, sf_dir):
+    """ORI and VAL rows under the formulas current on arrival, over three runs of the job."""
+    out, checkpoint = workspace(spark, "calibrated"), workspace(spark, "checkpoint")
+    readings = _registered(spark, sf_dir)
+    formulas = _formulas(spark, sf_dir)
+    changes = formulas.withColumn("arrival", F.col("version"))
+    both = readings.unionByName(changes.withColumnRenamed("feed_id", "formula_feed"), allowMissingColumns=True)
+
+    def run(path):
+        rows = _stream(spark, path, both.schema)
+        own = rows.where(F.col("version").isNull()).select(readings.columns)
+        feed = rows.where(F.col("version").isNotNull()).select("input_id", F.col("formula_feed").alias("feed_id"), "steps", "operands", "version")
+        calibrated = C.emit(C.apply_formula(state.formula_as_of_stream(own, feed)))
+        jobs.start(calibrated, jobs.to_table(out), checkpoint).awaitTermination()
+
+    _in_order(spark, both, run, "readings-and-formulas")
+    return _emitted(keyed.read_batches(spark, out))
 
 
 @query
 def formula_stream(spark, sf_dir):
     out = workspace(spark, "formulas")
     feed = M.read_message_stream(spark, [_feed(spark, X.formula_envelopes(spark, sf_dir), "formula-feed")])
-    jobs.start(jobs.formula_stream(feed), jobs.to_table(out), workspace(spark, "checkpoint")).awaitTermination()
+    jobs.start(jobs.formula_stream(feed), jobs.to_cleared_table(out), workspace(spark, "checkpoint")).awaitTermination()
     return jobs.read_formulas(spark, out).select("input_id", "feed_id", "steps", "version")
 
 
@@ -777,6 +832,6 @@ def recoverable_stream(spark, sf_dir):
     path, out, checkpoint = (workspace(spark, n) for n in ("readings", "usage", "checkpoint"))
     for part in (rows.where(half), rows.where(~half)):
         part.write.mode("append").parquet(path)
-        stream = spark.readStream.schema(part.schema).parquet(path)
-        jobs.start(stream, jobs.usage_stream(out, ["1h"]), checkpoint).awaitTermination()
+        revised = state.usage_stream(R.grid_readings(_stream(spark, path, part.schema)), ["1h"])
+        jobs.start(revised, jobs.to_table(out), checkpoint, "update").awaitTermination()
     return rounded(jobs.read_usage(spark, out), "data_value")

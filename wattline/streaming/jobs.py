@@ -12,16 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattline.operators.calibration import calibrate, latest_formulas
-from wattline.operators.provisioning import provision, resolve_new_meters, unregistered
+from wattline.operators.provisioning import provision, resolve_new_meters
 from wattline.operators.readings import explode_readings, grid_readings, valid_messages
-from wattline.operators.usage import WINDOW, batch_ends, drop_out_of_order, fold_ends, merge_ends, usage_phase
-from wattline.operators.windows import with_seconds
-from wattline.schemas import USAGE_STEPS
-from wattline.sinks.keyed import Log, inserts, latest_by_key, read_batches, write_batch
+from wattline.operators.usage import WINDOW, batch_ends, fold_ends, merge_ends, usage_phase
+from wattline.sinks.keyed import Log, inserts, latest_by_key, read_batches, read_keyed, write_batch
 from wattline.sinks.outputs import at_once, documents, points, stamped, write_quarantine
 from wattline.sources.messages import decode_formulas, decode_messages
 
-FIRST_SEEN_TTL = "3 hours"
 POINT_TRIGGER = "6 seconds"
 
 # State on local disk with changelog checkpoints, for state larger than executor memory.
@@ -32,6 +29,8 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
 
 def start(
     stream: DataFrame,
@@ -44,8 +43,12 @@ def start(
 
     State goes to local disk with its changes in the checkpoint.
     """
+    settings = stream.sparkSession.conf
     for key, value in ROCKSDB.items():
-        stream.sparkSession.conf.set(key, value)
+        settings.set(key, value)
+    # A live job wakes up for state that has outlived its time; one that runs until its input is used up would
+    # wait for that instead of ending.
+    settings.set(NO_DATA_BATCHES, "true" if every else "false")
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         stream.writeStream.outputMode(mode)
@@ -60,41 +63,25 @@ def to_table(path: str) -> Callable[[DataFrame, int], None]:
     return lambda rows, batch: write_batch(rows, path, batch)
 
 
-def decode_readings(envelopes: DataFrame) -> DataFrame:
-    return explode_readings(valid_messages(decode_messages(envelopes)))
-
-
-def first_seen_stream(
-    readings: DataFrame, registry: DataFrame | None = None, ttl: str = FIRST_SEEN_TTL, at: Column | None = None
-) -> DataFrame:
-    """A reading of each meter when it is first processed, and again long after (one to two ``ttl``).
+def to_cleared_table(path: str) -> Callable[[DataFrame, int], None]:
+    """Like ``to_table``, but a job's first batch removes what earlier jobs left there."""
 
-    ``at`` is the time that ages the state. It is that of processing unless another is given, never
-    a device's own: a device whose clock is ahead or which lags would have others' readings dropped.
-    Registered meters, nearly all readings in a running system, are left out before anything is
-    shuffled by meter.
-    """
-    rows = with_seconds(readings if registry is None else unregistered(readings, registry))
-    timed = rows.withColumn("event_time", F.current_timestamp() if at is None else at)
-    return timed.withWatermark("event_time", ttl).dropDuplicatesWithinWatermark(["meter_key"])
-
-
-def usage_stream(path: str, steps: list[str] = USAGE_STEPS) -> Callable[[DataFrame, int], None]:
-    """A sink of reading micro-batches that keeps usage per feed, window and step.
+    def write(rows: DataFrame, batch: int) -> None:
+        if batch:
+            write_batch(rows, path, batch)
+        else:
+            rows.withColumn("batch", F.lit(0)).write.mode("overwrite").partitionBy("batch").parquet(path)
 
-    Each batch leaves the ends of its windows, which are combined before the shuffle. There is no
-    watermark, so a late reading always revises its windows, whatever the clocks of other devices say.
-    """
+    return write
 
-    def write(readings: DataFrame, batch: int) -> None:
-        write_batch(batch_ends(grid_readings(readings), steps), path, batch)
 
-    return write
+def decode_readings(envelopes: DataFrame) -> DataFrame:
+    return explode_readings(valid_messages(decode_messages(envelopes)))
 
 
 def read_usage(spark: SparkSession, path: str) -> DataFrame:
-    """Usage documents over all batches that ``usage_stream`` wrote."""
-    return merge_ends(read_batches(spark, path))
+    """Usage documents as last revised."""
+    return read_keyed(spark, path, ["step", "doc_id"]).drop("batch")
 
 
 def formula_stream(envelopes: DataFrame) -> DataFrame:
@@ -105,25 +92,6 @@ def read_formulas(spark: SparkSession, path: str) -> DataFrame:
     return latest_formulas(read_batches(spark, path).drop("batch"))
 
 
-def in_order_stream(last_times: str) -> Callable[[DataFrame, int], DataFrame]:
-    """Per micro-batch, drops readings older than the newest of their feed before them.
-
-    The newest time per feed of earlier batches is in the table ``last_times``,
-    which the caller extends with each batch.
-    """
-
-    def accept(readings: DataFrame, batch: int) -> DataFrame:
-        rows = drop_out_of_order(readings)
-        if batch == 0:
-            return rows
-        seen = read_batches(readings.sparkSession, last_times).where(F.col("batch") < batch)
-        newest = seen.groupBy("feed_id").agg(F.max("t").alias("newest"))
-        joined = rows.join(newest, "feed_id", "left")
-        return joined.where(F.col("newest").isNull() | (F.col("t") >= F.col("newest"))).drop("newest")
-
-    return accept
-
-
 def _month(seconds: Column) -> Column:
     """A month's number: no more of them than four-digit years have."""
     day = F.date_from_unix_date(F.floor(seconds / 86400).cast("int"))
