@@ -3,7 +3,7 @@
 #: Names that operators use themselves.
 CLASHING = (
     "size kept taken target row_key fingerprint component_id score start n_tokens n_words n_hit words host path part "
-    "source_size host_rate path_rate evidence _host_rate _path_rate _source _chunk _range _copies _doc text_hash"
+    "source_size host_rate path_rate evidence _source _chunk _range _copies _doc text_hash"
 ).split()
 
 

@@ -8,16 +8,19 @@ import numpy as np
 
 #: Words that are encoded together, between spaces: visible ASCII without special tokens, Latin-1 letters.
 _PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-ÿ]+")
-#: Words remembered per Python worker, about 0.2 GB, and words encoded in one call.
-REMEMBERED, TOGETHER = 1_000_000, 2_000
+#: A run of letters and the symbols behind it: the pre-tokenizer parts them, and case does not count.
+_PARTED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+#: Words and pieces of words remembered per Python worker, about 0.2 GB, and words encoded in one call.
+REMEMBERED, PIECES, TOGETHER = 400_000, 800_000, 2_000
 
 
 class Encoder:
     """``encode`` equals the tokenizer's own ids of each whole text.
 
-    It relies on a pre-tokenizer whose pieces never hold white space, as that of word_bpe: then the ids of
-    a text are those of its space-separated words. Plain words are encoded many at a time and told apart by
-    character offsets, all others one by one.
+    It relies on a pre-tokenizer whose pieces never hold white space and part letters from symbols, and on a
+    normalizer that lower-cases, as those of word_bpe: then the ids of a text are those of its space-separated
+    words, and those of letters with symbols behind them are of the letters in lower case, then of the
+    symbols. Plain words are encoded many at a time and told apart by character offsets, all others one by one.
     """
 
     def __init__(self, path: str) -> None:
@@ -27,9 +30,18 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.known: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {"": b""}
 
     def _learn(self, words: list[str]) -> None:
-        known = self.known
+        parted = {w: (m[1].lower(), m[2]) for w in words if (m := _PARTED.fullmatch(w))}
+        pieces = self.pieces
+        fresh = {x for both in parted.values() for x in both} | {w for w in words if w not in parted}
+        self._learn_pieces([x for x in fresh if x not in pieces])
+        self.known.update((w, pieces[letters] + pieces[symbols]) for w, (letters, symbols) in parted.items())
+        self.known.update((w, pieces[w]) for w in words if w not in parted)
+
+    def _learn_pieces(self, words: list[str]) -> None:
+        known = self.pieces
         plain = [w for w in words if _PLAIN.fullmatch(w)]
         for at in range(0, len(plain), TOGETHER):
             group = plain[at : at + TOGETHER]
@@ -50,6 +62,8 @@ class Encoder:
         new = words - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED:
             self.known, new = {"": b""}, words - {""}
+        if len(self.pieces) + len(new) > PIECES:
+            self.pieces = {"": b""}
         self._learn(list(new))
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, s)), "<u4") for s in split]
