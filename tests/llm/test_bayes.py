@@ -34,9 +34,9 @@ def test_rates_shrink_to_host_and_all(spark):
     rows = [(h, p, min(1.0, max(0.0, m + rng.uniform(-0.05, 0.05)))) for h, m in (("a", 0.9), ("b", 0.5), ("c", 0.7)) for p in "xyz" for _ in range(200)]
     rows += [("a", "one", 0.0), ("lone", "x", 0.0), (None, None, 1.0)]
     got = {(r._host, r._path): r for r in B.path_rates(spark.createDataFrame(rows, "host string, path string, p double")).collect()}
-    assert abs(got["a", "x"].path_rate - 0.9) < 0.02 and abs(got["b", "x"].host_rate - 0.5) < 0.02
-    assert 0 < got["lone", "x"].host_rate < got["c", "x"].host_rate
-    assert got["a", "one"].path_rate > 0.3 and (None, None) in got
+    assert abs(got["a", "x"]._path_rate - 0.9) < 0.02 and abs(got["b", "x"]._host_rate - 0.5) < 0.02
+    assert 0 < got["lone", "x"]._host_rate < got["c", "x"]._host_rate
+    assert got["a", "one"]._path_rate > 0.3 and (None, None) in got
 
 
 def test_edges(spark, edge, empty):

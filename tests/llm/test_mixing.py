@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 from corpus_rows import EDGE, documents
+from pyspark.sql import functions as F
 
 from wattline.llm import mixing
 
@@ -88,3 +89,24 @@ def test_mixed_documents_hold_the_words_taken(spark, edge):
         copies[r.doc_id] += len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
         assert r.size == "other"
     assert {k: v for k, v in taken.items() if v} == dict(copies)
+
+
+def test_rows_that_share_id_and_text_keep_their_own_columns(spark):
+    rows = spark.createDataFrame([(1, "a b c", "en", "s"), (1, "a b c", "de", "s"), (1, "a b c", "de", "s")], "doc_id bigint, text string, lang string, source string")
+    got = sorted((r["lang"], r["text"]) for r in mixing.mixed_documents(rows, share=1.0).collect())
+    assert got == [("de", "a b c"), ("de", "a b c"), ("en", "a b c")]
+
+
+def test_a_share_above_most_stops_every_target(spark):
+    rows = documents(spark, [(1, "a b", "en", "s"), (2, "c", "en", "t"), (3, "d e f", "en", None)])
+    got = {r["doc_id"]: (r["target"], r["taken"]) for r in mixing.mix(rows, share=2.5, most=2).collect()}
+    assert got == {1: (4.0, 4), 2: (2.0, 2), 3: (6.0, 6)}
+
+
+def test_a_group_of_copies_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "TOGETHER", 10)
+    rows = documents(spark, [(7, "a b", "en", "s")] * 500 + [(i, "c d e", "en", "s") for i in range(100, 600)])
+    mixed = mixing.mix(rows)
+    assert mixed.count() == 1000 and mixed.selectExpr("sum(taken)").first()[0] == 3750
+    spread = mixed.where("doc_id = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) == 4 and max(r["count"] for r in spread) < 300

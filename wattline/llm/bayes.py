@@ -95,7 +95,7 @@ def _odds(p: Column) -> Column:
 
 
 def path_rates(scored: DataFrame) -> DataFrame:
-    """(host, path, host_rate, path_rate) from (host, path, p): shares of good documents.
+    """(_host, _path, _host_rate, _path_rate) from (host, path, p): shares of good documents.
 
     A host's rate shrinks towards that of all documents, a path's towards its host's; the priors weigh as
     much as the spread of the rates says. Sums are of whole millionths, so they don't depend on the order,
@@ -114,7 +114,7 @@ def path_rates(scored: DataFrame) -> DataFrame:
     spread = both.agg(F.avg(F.pow(F.col("s") / 1e6 / F.col("n") - F.col("host_rate"), 2))).first()[0] or 0.0
     weight = _weight(mean, spread)
     path_rate = (F.col("s") / 1e6 + F.col("host_rate") * weight) / (F.col("n") + weight)
-    return both.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "host_rate", path_rate.alias("path_rate"))
+    return both.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("host_rate").alias("_host_rate"), path_rate.alias("_path_rate"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
@@ -131,7 +131,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
     scored = docs.select(F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), (1 / (1 + F.exp(-odds))).alias("p"))
     rates = stored(path_rates(scored), "quality-rates")
     joined = docs.join(rates, F.col(host).cast("string").eqNullSafe(F.col("_host")) & F.col(path).cast("string").eqNullSafe(F.col("_path")))
-    joined = joined.withColumn("_evidence", odds - F.lit(model.prior)).withColumnsRenamed({"host_rate": "_host_rate", "path_rate": "_path_rate"})
+    joined = joined.withColumn("_evidence", odds - F.lit(model.prior))
     total = F.col("_evidence") + _odds(F.col("_path_rate"))
     return joined.drop("_host", "_path").withColumn("_score", 1 / (1 + F.exp(-total))).withColumn("_kept", F.col("_score") >= 0.5)
 

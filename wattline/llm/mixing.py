@@ -11,6 +11,8 @@ from wattline.llm.common import n_words, partitions, prefix_sums, row_key, store
 WEIGHTS = (5, 2, 1)
 #: The mix has this share of all words, and takes no document more often than MOST.
 SHARE, MOST = 1.5, 2
+#: Copies of a row that one task makes.
+TOGETHER = 4096
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -18,7 +20,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
 
     Sources in code point order, null last, take ``weights`` in turn and share ``share`` of all sizes. A
     target stops at ``most`` times its source's size and the excess goes to the others by weight. That
-    water level is found in one pass: sources sorted by the level at which they are full, with prefix
+    water level is found in one pass (where ``share`` is above ``most``, every target stops): sources sorted by the level at which they are full, with prefix
     sums of what the full ones take. Only three numbers reach the driver.
     """
     code_points = [F.col("source").asc_nulls_last()]
@@ -39,6 +41,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     level = (F.lit(share * size) - F.lit(float(most)) * F.col("_size_before")) / (F.lit(weight) - F.col("_weight_before"))
     place = F.struct("_full_at", F.col("source").isNull(), "source")
     at = by_level.filter(level <= F.col("_full_at")).agg(F.min_by(level, place)).first()[0]
+    at = float("inf") if at is None else at
     return by_level.select(
         "source",
         "source_size",
@@ -50,20 +53,22 @@ def _clamp(value: Column, most: str) -> Column:
     return F.greatest(F.lit(0), F.least(value, F.col(most))).cast("bigint")
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST, apart: Column | None = None) -> DataFrame:
     """How many words of each document the mix takes.
 
     Takes (doc_id, source, text, ...) and returns one row per document: (doc_id, source, size,
-    source_size, target, taken, row_key); other columns are ignored. Each source is sorted by a hash of
+    source_size, target, taken, row_key, apart); other columns are ignored. Each source is sorted by a hash of
     its documents and read until its budget, the target's whole words: full passes first, then the
     documents up to the cut, the last of them in part. So a source takes its budget exactly, and a
     document ``most`` times its size at most.
 
     A null text has size 0 and takes nothing; a null source is one source; null ids are kept. Documents
-    that repeat id and text are one row with a count until the end, so that no group of them meets in one
-    task; each copy is cut by its own place. An empty table gives no rows.
+    that repeat id and text, and ``apart`` if given, are one row with a count until the end; they are then
+    dealt out in ranges of TOGETHER copies, so that no group of them meets in one task; each copy is cut by
+    its own place. An empty table gives no rows.
     """
-    narrow = docs.select("source", "doc_id", row_key().alias("row_key"), n_words().alias("size"))
+    apart = (F.lit("") if apart is None else apart).alias("apart")
+    narrow = docs.select("source", "doc_id", row_key().alias("row_key"), n_words().alias("size"), apart)
     rows = stored(narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("_copies")), "mix-rows")
     words = F.col("size") * F.col("_copies")
     sizes = rows.groupBy("source").agg(F.sum(words).alias("source_size"))
@@ -80,7 +85,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
         F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_chunk_before"),
     )
     chunks = stored(chunks, "mix-chunks")
-    within = Window.partitionBy("source", "_chunk").orderBy("row_key", "doc_id", "size")
+    within = Window.partitionBy("source", "_chunk").orderBy("row_key", "doc_id", "size", "apart")
     sorted_rows = chunked.repartitionByRange(partitions(docs.sparkSession), "source", "_chunk").withColumn(
         "_within", F.coalesce(F.sum(words).over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
@@ -88,7 +93,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     placed = placed.drop("_source")
     targets = targets.withColumnRenamed("source", "_source")
     placed = placed.join(targets, F.col("source").eqNullSafe(F.col("_source")))
-    copy = placed.withColumn("_copy", F.explode(F.sequence(F.lit(0), (F.col("_copies") - 1).cast("int"))))
+    ranges = placed.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(TOGETHER).cast("bigint"))))
+    dealt = ranges.repartition(partitions(docs.sparkSession), "row_key", "_from")
+    last = F.least(F.col("_from") + TOGETHER, F.col("_copies")) - 1
+    copy = dealt.withColumn("_copy", F.explode(F.sequence(F.col("_from"), last)))
     start = F.col("_chunk_before") + F.col("_within") + F.col("_copy") * F.col("size")
     budget = F.floor("target").cast("bigint")
     passes = F.expr("CAST(floor(target) AS BIGINT) DIV greatest(source_size, 1)")
@@ -101,6 +109,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
         "target",
         (passes * F.col("size") + _clamp(rest - start, "size")).cast("bigint").alias("taken"),
         "row_key",
+        "apart",
     )
 
 
@@ -110,12 +119,16 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     A document that the cut falls into ends with its last word taken; one that takes no word is left out,
     which also leaves out documents without words.
     """
-    taken = mix(docs, **parameters).filter("taken > 0").select("row_key", F.col("source").alias("_source"), "size", "taken")
-    taken = taken.groupBy("row_key", "_source", "size").agg(F.sum("taken").alias("taken"))
     own = docs.columns
-    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("_doc"), row_key().alias("row_key"))
-    copies = keyed.groupBy("row_key", F.col("_doc.source").alias("_source")).agg(F.any_value("_doc").alias("_doc"))
-    joined = copies.join(taken, (copies["row_key"] == taken["row_key"]) & copies["_source"].eqNullSafe(taken["_source"]))
+    others = F.to_json(F.struct(*(F.col(f"`{c}`") for c in own if c not in ("doc_id", "text", "source"))), {"ignoreNullFields": "false"})
+    apart = F.md5(others) if set(own) - {"doc_id", "text", "source"} else F.lit("")
+    taken = mix(docs, **parameters, apart=apart).filter("taken > 0").select("row_key", "apart", F.col("source").alias("_source"), "size", "taken")
+    taken = taken.groupBy("row_key", "apart", "_source", "size").agg(F.sum("taken").alias("taken"))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("_doc"), row_key().alias("row_key"), apart.alias("apart"))
+    # Rows of one key are equal in all columns.
+    copies = keyed.groupBy("row_key", "apart", F.col("_doc.source").alias("_source")).agg(F.any_value("_doc").alias("_doc"))
+    same = (copies["row_key"] == taken["row_key"]) & (copies["apart"] == taken["apart"]) & copies["_source"].eqNullSafe(taken["_source"])
+    joined = copies.join(taken, same)
     passes = F.ceil(F.col("taken") / F.col("size")).cast("int")
     copy = joined.select("_doc", "size", "taken", F.explode(F.sequence(F.lit(1), passes)).alias("_pass"))
     left = F.least(F.col("size"), F.col("taken") - (F.col("_pass") - 1) * F.col("size")).cast("int")
