@@ -10,8 +10,8 @@ import numpy as np
 _PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-ÿ]+")
 #: A run of letters and the symbols behind it: the pre-tokenizer parts them, and case does not count.
 _PARTED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
-#: Words and pieces of words remembered per Python worker, about 0.2 GB, and words encoded in one call.
-REMEMBERED, PIECES, TOGETHER = 400_000, 800_000, 2_000
+#: Words and pieces of words remembered per Python worker, about 0.4 GB, and words encoded in one call.
+REMEMBERED, PIECES, TOGETHER = 1_000_000, 1_500_000, 2_000
 
 
 class Encoder:
@@ -35,14 +35,15 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         parted = {w: (m[1].lower(), m[2]) for w in words if (m := _PARTED.fullmatch(w))}
         pieces = self.pieces
-        fresh = {x for both in parted.values() for x in both} | {w for w in words if w not in parted}
-        self._learn_pieces([x for x in fresh if x not in pieces])
+        others = [w for w in words if w not in parted]
+        rest = {symbols for _, symbols in parted.values()}.union(others) - pieces.keys()
+        letters = list({letters for letters, _ in parted.values()} - pieces.keys())
+        self._learn_pieces(letters + [w for w in rest if _PLAIN.fullmatch(w)], [w for w in rest if not _PLAIN.fullmatch(w)])
         self.known.update((w, pieces[letters] + pieces[symbols]) for w, (letters, symbols) in parted.items())
-        self.known.update((w, pieces[w]) for w in words if w not in parted)
+        self.known.update((w, pieces[w]) for w in others)
 
-    def _learn_pieces(self, words: list[str]) -> None:
+    def _learn_pieces(self, plain: list[str], odd: list[str]) -> None:
         known = self.pieces
-        plain = [w for w in words if _PLAIN.fullmatch(w)]
         for at in range(0, len(plain), TOGETHER):
             group = plain[at : at + TOGETHER]
             encoding = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
@@ -52,7 +53,6 @@ class Encoder:
             cuts = [0, *np.searchsorted(begins, ends).tolist()]
             data = ids.tobytes()
             known.update((w, data[4 * a : 4 * b]) for w, a, b in zip(group, cuts, cuts[1:], strict=False))
-        odd = [w for w in words if w not in known]
         for word, encoding in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
             known[word] = np.array(encoding.ids, "<u4").tobytes()
 
