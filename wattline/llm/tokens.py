@@ -36,8 +36,9 @@ class Encoder:
         parted = {w: (m[1].lower(), m[2]) for w in words if (m := _PARTED.fullmatch(w))}
         pieces = self.pieces
         others = [w for w in words if w not in parted]
-        rest = {symbols for _, symbols in parted.values()}.union(others) - pieces.keys()
-        letters = list({letters for letters, _ in parted.values()} - pieces.keys())
+        # Not by set differences, which would go through all that is remembered.
+        rest = [x for x in {symbols for _, symbols in parted.values()}.union(others) if x not in pieces]
+        letters = [x for x in {letters for letters, _ in parted.values()} if x not in pieces]
         self._learn_pieces(letters + [w for w in rest if _PLAIN.fullmatch(w)], [w for w in rest if not _PLAIN.fullmatch(w)])
         self.known.update((w, pieces[letters] + pieces[symbols]) for w, (letters, symbols) in parted.items())
         self.known.update((w, pieces[w]) for w in others)
@@ -59,12 +60,12 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [x.replace("\n", " ").split(" ") for x in texts]
         words = set().union(*split)
-        new = words - self.known.keys()
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {"": b""}, words - {""}
+            self.known, new = {"": b""}, [w for w in words if w]
         if len(self.pieces) + len(new) > PIECES:
             self.pieces = {"": b""}
-        self._learn(list(new))
+        self._learn(new)
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, s)), "<u4") for s in split]
 
