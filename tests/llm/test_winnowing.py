@@ -69,6 +69,23 @@ def test_a_common_passage(spark):
     check(spark, [(i, f"start{i} {passage} end", "en", "s") for i in range(200)], [(i, passage) for i in range(20)])
 
 
+def test_a_phrase_makes_no_pairs(spark):
+    """2,000 documents and 2,000 items share a phrase shorter than a window, and a few a window."""
+    phrase = "which of the following statements is the best"
+    items = W.items_of(bench(spark, [(i, f"{phrase} answer{i} a{i} b{i} c{i} d{i} e{i}") for i in range(2000)]))
+    assert W.windows_of(items)[0].count() == 2000 * 5
+    rows = [(i, f"doc{i} {phrase} reply{i} x y z {'answer%d a%d b%d' % (i, i, i) if i < 5 else ''}", "en", "s") for i in range(2000)]
+    rows += [(3000 + i, f"doc{i} {phrase} answer{i} a{i} tail", "en", "s") for i in range(5)]
+    got = W.decontaminate(documents(spark, rows), bench(spark, [(i, f"{phrase} answer{i} a{i} b{i} c{i} d{i} e{i}") for i in range(2000)])).collect()
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in got if r.contaminated} == {3000 + i: (10, 1) for i in range(5)}
+
+
+def test_windows_around_a_print():
+    assert W.windows_around(["w"] * 30, [(12, 10)]) == [(i, 10) for i in range(7, 13)]
+    assert W.windows_around(["w"] * 12, [(0, 10), (7, 10)]) == [(0, 10), (2, 10)]
+    assert W.windows_around(["w"] * 4, [(1, 3), (1, 3)]) == [(1, 3)]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), min_size=10, max_size=10), st.lists(st.sampled_from("abcd"), max_size=25), st.lists(st.sampled_from("abcd"), max_size=25))
 def test_every_shared_window_shares_a_print(span, before, after):

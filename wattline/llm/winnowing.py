@@ -5,7 +5,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm.common import row_key, slices, stored
@@ -137,9 +137,11 @@ def _in_filter(filtered: np.ndarray, prints: np.ndarray) -> np.ndarray:
 
 
 def _candidates(docs: DataFrame, filtered: np.ndarray, short: list[int]) -> DataFrame:
-    """(doc_id, row_key, n_words, prints, words) per document: the kept prints that pass the filter, and the
-    words where there are any. Items of fewer than WINDOW words are looked up by all grams of their length."""
+    """(doc_id, row_key, n_words, prints, words) per document: the kept prints that pass the filter, each with
+    its place and the length of the windows it stands for, and the words where there are any prints. Items of
+    fewer than WINDOW words are looked up by all grams of their length."""
     sent = docs.sparkSession.sparkContext.broadcast(filtered)
+    found_type = pa.list_(pa.struct([("print", pa.int64()), ("at", pa.int32()), ("n", pa.int32())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
@@ -147,69 +149,88 @@ def _candidates(docs: DataFrame, filtered: np.ndarray, short: list[int]) -> Data
             counts, found, words = [], [], []
             for group in _groups(batch.column("text").to_pylist()):
                 hashes, bounds = word_hashes(group)
-                kept = [winnow(hashes, bounds)]
+                kept = [(*winnow(hashes, bounds), WINDOW)]
                 for n in short:
                     at = _inside(bounds, len(hashes), n)
-                    kept.append((at, grams(hashes, n)[at]))
-                places, prints = (np.concatenate(x) for x in zip(*kept, strict=True))
+                    kept.append((at, grams(hashes, n)[at], n))
+                places, prints = (np.concatenate([x[i] for x in kept]) for i in (0, 1))
+                spans = np.repeat([n for *_, n in kept], [len(at) for at, *_ in kept])
                 passed = _in_filter(bits, prints)
-                text = np.searchsorted(bounds, places[passed], "right") - 1
-                own: list[set[int]] = [set() for _ in group]
-                for t, p in zip(text.tolist(), prints[passed].view(np.int64).tolist(), strict=True):
-                    own[t].add(p)
+                places = places[passed]
+                text = np.searchsorted(bounds, places, "right") - 1
+                own: list[list[dict]] = [[] for _ in group]
+                rows = zip(text.tolist(), prints[passed].view(np.int64).tolist(), (places - bounds[text]).tolist(), spans[passed].tolist(), strict=True)
+                for t, p, at, n in rows:
+                    own[t].append({"print": p, "at": at, "n": n})
                 counts += np.diff(bounds).tolist()
-                found += [sorted(x) for x in own]
+                found += own
                 words += [b" ".join(x.split()).decode() if o else None for x, o in zip(group, own, strict=True)]
             columns = [
                 batch.column("doc_id"),
                 batch.column("row_key"),
                 pa.array(counts, pa.int64()),
-                pa.array(found, pa.list_(pa.int64())),
+                pa.array(found, found_type),
                 pa.array(words, pa.string()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_key", "n_words", "prints", "words"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("row_key"), "text")
-    schema = "doc_id bigint, row_key string, n_words bigint, prints array<bigint>, words string"
+    schema = "doc_id bigint, row_key string, n_words bigint, prints array<struct<print:bigint,at:int,n:int>>, words string"
     return stored(rows.mapInArrow(scan, schema), "decontaminate-candidates")
 
 
-def extend(words: str, items: list[tuple[str, list[str]]]) -> tuple[int, list[str]]:
-    """How many of the words any item's windows cover, and the ids of items with a window in them."""
-    text = f" {words} ".encode()
-    spaces = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
-    cover = np.zeros(len(spaces), np.int64)
-    ids: set[str] = set()
-    for item, own in items:
-        each = item.encode().split(b" ")
-        n = min(WINDOW, len(each))
-        for window in {b" " + b" ".join(each[i : i + n]) + b" " for i in range(len(each) - n + 1)}:
-            at = text.find(window)
-            if at >= 0:
-                ids.update(own)
-            places = []
-            while at >= 0:
-                places.append(at)
-                at = text.find(window, at + 1)
-            first = np.searchsorted(spaces, places)
-            np.add.at(cover, first, 1)
-            np.add.at(cover, first + n, -1)
-    return int((np.cumsum(cover) > 0).sum()), sorted(ids)
-
-
-def _extended(pairs: DataFrame) -> DataFrame:
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 64):
-            hits, counts, digests = [], [], []
-            for words, items in zip(batch.column("words").to_pylist(), batch.column("items").to_pylist(), strict=True):
-                n, ids = extend(words, [(x["words"], x["ids"]) for x in items])
-                hits.append(n)
-                counts.append(len(ids))
-                digests.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
-            columns = [batch.column("row_key"), pa.array(hits, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests)]
-            yield pa.RecordBatch.from_arrays(columns, ["row_key", "n_hit", "n_items", "items_sha256"])
-
-    return pairs.mapInArrow(verify, "row_key string, n_hit bigint, n_items bigint, items_sha256 string")
+def windows_around(words: list[str], hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(place, length) of the windows that hits (place of the print, length) stand for: a short item's own gram, and
+    the windows of WINDOW words that a kept print lies in, KEEP of them at most."""
+    out = set()
+    for at, n in hits:
+        first = at if n < WINDOW else max(0, at - KEEP + 1)
+        out.update((i, n) for i in range(first, min(at, len(words) - n) + 1))
+    return sorted(out)
+
+
+def _windows(found: DataFrame) -> DataFrame:
+    """(row_key, at, n, window): what of each document is to be compared with windows of items."""
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            (key,), (text,), (hits,) = (batch.column(c).to_pylist() for c in ("row_key", "words", "hits"))
+            words = text.split(" ")
+            spans = windows_around(words, [(x["at"], x["n"]) for x in hits])
+            for start in range(0, len(spans), 10_000):
+                some = spans[start : start + 10_000]
+                columns = [
+                    pa.array([key] * len(some), pa.string()),
+                    pa.array([at for at, _ in some], pa.int32()),
+                    pa.array([n for _, n in some], pa.int32()),
+                    pa.array([" ".join(words[at : at + n]) for at, n in some], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["row_key", "at", "n", "window"])
+
+    return found.mapInArrow(extend, "row_key string, at int, n int, window string")
+
+
+def windows_of(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct windows of items as (window, of), and the sets of item ids they are of as (of, ids)."""
+    each, n = F.split("words", " "), F.least("n", F.lit(WINDOW))
+    spans = F.transform(F.sequence(F.lit(1), F.col("n") - n + 1), lambda i: F.array_join(F.slice(each, i, n), " "))
+    rows = items.select("ids", F.explode(F.array_distinct(spans)).alias("window"))
+    rows = rows.groupBy("window").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("ids"))
+    rows = stored(rows.withColumn("of", F.md5(F.to_json("ids"))), "item-windows")
+    return rows.select("window", "of"), stored(rows.select("of", "ids").dropDuplicates(["of"]), "item-sets")
+
+
+def _covered(spans: Column) -> Column:
+    """How many words lie in any of the (at, n) spans."""
+    start = F.struct(F.lit(0).alias("end"), F.lit(0).cast("bigint").alias("sum"))
+
+    def add(x: Column, span: Column) -> Column:
+        end = F.greatest(x["end"], span["at"] + span["n"])
+        return F.struct(end.alias("end"), (x["sum"] + end - F.greatest(x["end"], span["at"])).alias("sum"))
+
+    # A span inside the words so far adds nothing: its end is the old one, and so is the greater of both starts.
+    inside = lambda x, span: F.when(span["at"] + span["n"] <= x["end"], x).otherwise(add(x, span))
+    return F.aggregate(F.array_sort(spans), start, inside, lambda x: x["sum"])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -219,26 +240,33 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     n_hit, n_items, items_sha256, contaminated, row_key). A word is hit inside any occurrence of WINDOW
     consecutive words of an item, or of all words of a shorter item.
 
-    Kept k-grams of documents first meet a filter of fixed size, then the items' by a join; only documents
-    with a common print carry their words on, and those are compared word by word. Nulls and texts without
-    words hit nothing. Rows with equal id and text are each returned. Items without id mark words and
-    count no item; repeated items count once. Extra columns are ignored, empty tables give no hits.
+    Kept k-grams of documents first meet a filter of fixed size, then the items' by a join. Around a common
+    print lie KEEP windows at most, and these are joined with the items' distinct windows, word by word. So
+    no document meets an item without a common window, and a window that many items share is one row.
+    Nulls and texts without words hit nothing. Rows with equal id and text are each returned. Items without
+    id mark words and count no item; repeated items count once. Extra columns are ignored, empty tables
+    give no hits.
     """
     items = items_of(benchmark)
-    prints = items.select(F.explode("prints").alias("print"), F.md5("words").alias("item"))
+    prints = items.select(F.explode("prints").alias("print"))
     short = [r.n for r in items.filter(F.col("n") < WINDOW).select("n").distinct().orderBy("n").collect()]
     rows = _candidates(docs, print_filter(prints), short)
     found = rows.filter("words IS NOT NULL").dropDuplicates(["row_key"])
-    pairs = found.select("row_key", F.explode("prints").alias("print")).join(prints, "print").select("row_key", "item").distinct()
-    texts = items.select(F.md5("words").alias("item"), F.struct("words", "ids").alias("of"))
-    listed = pairs.join(texts, "item").groupBy("row_key").agg(F.collect_list("of").alias("items"))
-    hits = _extended(found.select("row_key", "words").join(listed, "row_key"))
+    shared = found.select("row_key", F.inline("prints")).join(prints.distinct(), "print", "left_semi")
+    hits = shared.groupBy("row_key").agg(F.collect_list(F.struct("at", "n")).alias("hits"))
+    windows, sets = windows_of(items)
+    matched = stored(_windows(found.select("row_key", "words").join(hits, "row_key")).join(windows, "window").drop("window"), "decontaminate-matched")
+    cover = matched.groupBy("row_key").agg(_covered(F.collect_list(F.struct("at", "n"))).alias("n_hit"))
+    ids = matched.select("row_key", "of").distinct().join(sets, "of").select("row_key", F.explode("ids").alias("id"))
+    ids = ids.groupBy("row_key").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+    digest = F.sha2(F.array_join("ids", ","), 256)
+    hit = cover.join(ids, "row_key", "left").select("row_key", "n_hit", F.size("ids").cast("bigint").alias("n_items"), digest.alias("items_sha256"))
     none = hashlib.sha256(b"").hexdigest()
-    return rows.join(hits, "row_key", "left").select(
+    return rows.join(hit, "row_key", "left").select(
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
-        F.coalesce("n_items", F.lit(0)).alias("n_items"),
+        F.coalesce(F.when(F.col("n_items") > 0, F.col("n_items")), F.lit(0)).cast("bigint").alias("n_items"),
         F.coalesce("items_sha256", F.lit(none)).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         "row_key",
