@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import brute
 import pytest
 from metering import random_readings, readings, seconds
@@ -160,6 +162,32 @@ def test_rollup_steps(spark):
     assert got["10m"]["s"] == 4.0 and got["1m"]["s"] == 3.0
 
 
+def test_rollup_sums_are_exact_in_any_order(spark):
+    values = [0.1, 0.2, -0.3, 1e9, 123456.789, -1e9, 1e300, 0.7, 0.000000001] * 40
+    rows = [("f" if i % 3 else "g", f"2024-{1 + i % 12:02d}-{1 + i % 28:02d} {i % 24:02d}:{i % 60:02d}:00", i, v) for i, v in enumerate(values)]
+    rows = [r for r in rows if r[0] == "f" or r[3] != 1e300]
+    got = {(r["feed_id"], r["step"], r["ws"]): r for r in U.feed_rollup(readings(spark, rows)).collect()}
+    for feed, start, length in (("g", "2024-01-01 00:00:00", 31_622_400), ("f", "2024-05-01 00:00:00", 2_678_400)):
+        own = [v for f, t, _, v in rows if f == feed and 0 <= seconds(t) - seconds(start) < length]
+        row = got[feed, "1y" if length > 3e6 else "1n", seconds(start)]
+        assert (row["max_value"], row["min_value"]) == (max(own), min(own))
+        if 1e300 not in own:
+            total = sum(map(Decimal, map(repr, own)))
+            assert (row["sum_value"], row["avg_value"]) == (float(total), float(total) / len(own))
+    assert sorted(map(repr, got.values())) == sorted(map(repr, U.feed_rollup(readings(spark, rows[::-1]).repartition(5)).collect()))
+
+
+def test_rollup_exchanges_readings_once(spark):
+    rows = readings(spark, random_readings(500)).repartition(4)
+    rollup = U.feed_rollup(rows)
+    rollup.collect()
+    plan = rollup._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    # One exchange of readings, read twice; the other one is of the days' states.
+    made = [x for x in final.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+    assert sorted("REPARTITION_BY_COL" in x for x in made) == [False, True] and "ReusedExchange" in final
+
+
 def test_outputs_split_by_step(spark):
     parts = U.split_outputs(U.usage(readings(spark, random_readings(100))))
     assert list(parts) == USAGE_STEPS

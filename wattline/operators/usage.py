@@ -1,11 +1,14 @@
 """Usage per feed and closed window: last register value minus first."""
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.numbers import PLACES, subtract
+from wattline.functions.numbers import subtract
 from wattline.functions.textfn import phase_id, usage_id
-from wattline.functions.timefn import epoch_seconds, step_after, step_start, text_of
+from wattline.functions.timefn import STEP_SECONDS, epoch_seconds, step_after, step_start, text_of
 from wattline.operators.running import in_ranges, running
 from wattline.operators.windows import assign_closed_windows, with_seconds
 from wattline.schemas import ALL_STEPS, USAGE_STEPS
@@ -212,22 +215,55 @@ def usage_from_start(readings: DataFrame, steps: list[str] = ("1d", "1n"), range
     return usage_documents(ends, subtract(F.col("last_value"), F.col("start_value")))
 
 
+def _partial() -> list[Column]:
+    """A mergeable state of many values. Those that 18 digits hold with nine places add up as whole numbers, units and
+    billionths apart, which no order of adding changes; others, as doubles."""
+    return [
+        F.max("value").alias("max_value"), F.min("value").alias("min_value"), F.count("value").alias("n"),
+        F.sum("units").alias("units"), F.sum("nanos").alias("nanos"), F.sum("other").alias("other"),
+    ]
+
+
+def _merged() -> list[Column]:
+    sums = ("n", "units", "nanos", "other")
+    return [F.max("max_value").alias("max_value"), F.min("min_value").alias("min_value"), *(F.sum(c).alias(c) for c in sums)]
+
+
 def feed_rollup(readings: DataFrame, steps: list[str] = ALL_STEPS) -> DataFrame:
-    """Largest, smallest, mean and total value of a feed per half-open step."""
-    starts = F.array(
-        *[F.struct(F.lit(s).alias("step"), step_start(F.col("t"), s).alias("ws")) for s in steps]
-    )
-    return (
-        with_seconds(readings)
-        .select("feed_id", "value", F.inline(starts))
-        .groupBy("feed_id", "step", "ws")
-        .agg(
-            F.max("value").alias("max_value"),
-            F.min("value").alias("min_value"),
-            F.avg("value").alias("avg_value"),
-            F.round(F.sum("value"), PLACES).alias("sum_value"),
-        )
+    """Largest, smallest, mean and total value of a feed per half-open step.
+
+    Readings are exchanged once and one row each, by feed and day. Steps within a day are aggregated where the day
+    lies, without another exchange; longer ones are merged from the days' states.
+    """
+    exact = F.col("value").try_cast("decimal(18,9)")
+    whole = F.coalesce(exact.cast("double") == F.col("value"), F.lit(False))
+    scaled = (exact * F.lit(10**9).cast("decimal(10,0)")).cast("bigint")
+    rows = with_seconds(readings).select(
+        "feed_id",
+        "t",
+        step_start(F.col("t"), "1d").alias("day"),
+        "value",
+        F.when(whole, exact.cast("bigint")).alias("units"),
+        F.when(whole, scaled - exact.cast("bigint") * 10**9).alias("nanos"),
+        F.when(~whole, F.col("value")).alias("other"),
     )
+    rows = rows.repartition("feed_id", "day")
+    within = [s for s in steps if 86400 % STEP_SECONDS.get(s, 86401) == 0]
+    longer = [s for s in steps if s not in within]
+    starts = lambda of, names: F.inline(F.array(*[F.struct(F.lit(s).alias("step"), step_start(F.col(of), s).alias("ws")) for s in names]))
+    parts = []
+    if within:
+        each = rows.select("*", starts("t", within)).groupBy("feed_id", "day", "step", "ws")
+        parts.append(each.agg(*_partial()).drop("day"))
+    if longer:
+        # By ``t`` again, so that both readers of the exchange want the same columns of it and share it.
+        days = rows.groupBy("feed_id", "day", step_start(F.col("t"), "1d").alias("start")).agg(*_partial())
+        parts.append(days.select("*", starts("start", longer)).groupBy("feed_id", "step", "ws").agg(*_merged()))
+    states = reduce(DataFrame.unionByName, parts)
+    billionth = F.lit(Decimal("0.000000001"))
+    total = F.coalesce("units", F.lit(0)).cast("decimal(20,0)") + F.coalesce("nanos", F.lit(0)).cast("decimal(20,0)") * billionth
+    total = F.when(F.col("n") > 0, total.cast("double") + F.coalesce("other", F.lit(0.0)))
+    return states.select("feed_id", "step", "ws", "max_value", "min_value", F.try_divide(total, F.col("n")).alias("avg_value"), total.alias("sum_value"))
 
 
 def split_outputs(documents: DataFrame) -> dict[str, DataFrame]:

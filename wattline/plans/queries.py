@@ -625,11 +625,21 @@ def six_second_batches(spark, sf_dir):
 
 @query
 def document_sink(spark, sf_dir):
-    """Documents of the five indexes."""
+    """Documents of the five indexes as upserted: of the earlier half of the readings, of all, and of all once more."""
+    path, checkpoint = workspace(spark, "grid"), workspace(spark, "checkpoint")
+    table = outputs.document_table(workspace(spark, "documents"))
     grid = _grid(spark, sf_dir)
-    phase = outputs.documents(U.usage_phase(grid).drop("arrival")).withColumn("index", F.lit("phase"))
-    usage = rounded(U.usage(grid), "data_value").withColumn("index", F.col("step"))
-    return phase.unionByName(outputs.documents(usage, keep=["index"]))
+    half = grid.approxQuantile("arrival", [0.5], 0.01)[0] if grid.head(1) else 0
+
+    def upsert(batch_rows, batch):
+        rows = spark.read.schema(batch_rows.schema).parquet(path)
+        table(outputs.index_rows(U.usage_phase(rows), rounded(U.usage(rows), "data_value"), batch), batch)
+
+    for part in (F.col("arrival") <= half, F.col("arrival") > half):
+        grid.where(part).write.mode("append").parquet(path)
+        jobs.start(_stream(spark, path, grid.schema), upsert, checkpoint).awaitTermination()
+    upsert(spark.read.parquet(path), 1)
+    return table.rows(spark).select("_id", "source", "index")
 
 
 @query

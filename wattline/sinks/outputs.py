@@ -12,6 +12,7 @@ from wattline.functions.timefn import epoch_millis
 from wattline.operators.readings import rejected_messages
 from wattline.operators.usage import latest_per_instant
 from wattline.sinks.keyed import write_batch
+from wattline.sinks.upserts import Upserts
 
 POINT_BATCH_SECONDS = 6
 
@@ -43,6 +44,26 @@ def documents(rows: DataFrame, doc_id: str = "doc_id", keep: list[str] = ()) ->
     return rows.select(F.col(doc_id).alias("_id"), F.to_json(F.struct(*fields)).alias("source"), *keep)
 
 
+def index_rows(phase: DataFrame, usage: DataFrame, batch: int) -> DataFrame:
+    """Documents of the five indexes as the table of ``document_table`` takes them: (index, day, _id, source, version).
+
+    The index of usage is its step. Of two readings of an instant the later arrival's document stays, of a window's
+    documents the later batch's.
+    """
+    day = F.substring("data_time", 1, 10).alias("day")
+    arrival, order = "decimal(38,0)", F.lit(batch).cast("decimal(38,0)")
+    phase = phase.withColumn("version", F.col("arrival").cast(arrival)).select("*", day, F.lit("phase").alias("index")).drop("arrival")
+    usage = usage.select("*", day, F.col("step").alias("index"), order.alias("version"))
+    kept = ["index", "day", "version"]
+    return documents(phase, keep=kept).unionByName(documents(usage, keep=kept)).select("index", "day", "_id", "source", "version")
+
+
+def document_table(path: str) -> Upserts:
+    """Five indexes of documents, upserted by id, in folders per index and day."""
+    schema = "index string, day string, _id string, source string, version decimal(38,0)"
+    return Upserts(path, schema, ("index", "day", "_id"), ("index", "day"))
+
+
 def write_documents(rows: DataFrame, path: str) -> None:
     """All steps in one job, one folder per step."""
     rows.write.mode("overwrite").partitionBy("step").parquet(path)
