@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -10,13 +11,17 @@ from corpus_rows import EDGE, documents
 from wattline.llm import line_chunks as L
 
 
+def long(line):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", line)) >= 50
+
+
 def model_chunks(text):
     lines = (text or "").split("\n")
     hashes = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
     out, begin = [], 0
     for i in range(len(lines)):
         rolled = (hashes[i] + (31_337 * hashes[i - 1] if i else 0)) % 2_147_483_647
-        if rolled % 3 == 0 or i + 1 == len(lines):
+        if rolled % 3 == 0 or i + 1 == len(lines) or long(lines[i]) or long(lines[i + 1]):
             out.append(lines[begin : i + 1])
             begin = i + 1
     return out
@@ -33,7 +38,7 @@ def model(rows):
     out = []
     for i, t, _, _ in rows:
         cut = model_chunks(t)
-        gone = [sum(bool(x.strip(" \t\n\x0b\x0c\r")) for x in c) >= 2 and first["\n".join(c)] != (i is None, i or 0, key(i, t), n) for n, c in enumerate(cut)]
+        gone = [(long(c[0]) or sum(bool(x.strip(" \t\n\x0b\x0c\r")) for x in c) >= 2) and first["\n".join(c)] != (i is None, i or 0, key(i, t), n) for n, c in enumerate(cut)]
         out.append((i, sum(map(len, cut)), sum(gone), sum(len(c) for c, g in zip(cut, gone) if g), "\n".join("\n".join(c) for c, g in zip(cut, gone) if not g)))
     return sorted(map(repr, out))
 
@@ -61,6 +66,16 @@ def test_shared_passages(spark):
     check(spark, rows)
 
 
+def test_a_long_line_is_a_passage_by_itself(spark):
+    rng = random.Random(9)
+    line = " ".join(f"w{i}" for i in range(50))
+    rows = [(i, "\n".join([*(f"own {i} {rng.random()}" for _ in range(i % 4)), line, f"after {i}"]), "en", "s") for i in range(60)]
+    rows += [(100, " ".join(line.split()[1:]), "en", "s"), (101, " ".join(line.split()[1:]), "en", "s"), (102, f"{line}\n{line}", "en", "s")]
+    check(spark, rows)
+    left = {r.doc_id: r.text for r in L.dedup_lines(documents(spark, rows)).collect()}
+    assert line in left[0] and not any(line in left[i] for i in (*range(1, 60), 102)) and left[101]
+
+
 def test_chunks_give_the_text_back(spark, edge):
     for r in L.chunks(edge.filter("doc_id >= 5")).groupBy("doc_id").agg({"n_lines": "sum"}).collect():
         assert r["sum(n_lines)"] == len(dict((i, t) for i, t, _, _ in EDGE)[r.doc_id].split("\n"))

@@ -3,56 +3,60 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import members, might_be_in, row_key, stored
+from wattline.llm.common import WORD, members, might_be_in, row_key, stored
 
 #: Lines that the rolling hash spans, lines of a chunk on average, modulus and factor of the hash.
 SPAN, AVERAGE, MODULUS, FACTOR = 2, 3, 2_147_483_647, 31_337
-#: Lines with a word that a chunk has at least to be removed.
-LEAST_LINES = 2
+#: Lines with a word that a chunk has at least to be removed, and words of a line that is a chunk by itself.
+LEAST_LINES, LONG_LINE = 2, 50
 
 
 def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("bigint")
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """(row_key, doc_id, chunk, first_line, n_lines, n_full, body) of each chunk of each document.
+def with_parts(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_parts``, their chunks in order: (body, n_lines, passage).
 
-    A rolling hash over SPAN line hashes ends a chunk where it is divisible by AVERAGE, so boundaries
-    depend on nearby lines alone and move with them. Chunks cover the whole text; joined by newlines they
-    give it back.
+    A rolling hash over SPAN line hashes ends a chunk where it is divisible by AVERAGE, so boundaries depend on
+    nearby lines alone and move with them. A line of LONG_LINE words or more is cut off on both sides: it is a
+    passage wherever it stands. So is a chunk of LEAST_LINES lines with a word. Chunks cover the whole text;
+    joined by newlines they give it back.
     """
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    rows = docs.select(row_key().alias("row_key"), F.col("doc_id").cast("bigint").alias("doc_id"), lines.alias("lines"))
-    hashed = rows.withColumn("hashes", F.transform("lines", line_hash))
-    rolled = F.transform(F.sequence(F.lit(1), F.size("hashes")), lambda i: sum((F.coalesce(F.get("hashes", i - 1 - j), F.lit(0)) * (FACTOR**j % MODULUS) for j in range(SPAN)), F.lit(0)) % MODULUS)
-    cut = hashed.withColumn("ends", F.filter(F.transform(rolled, lambda h, i: F.when((h % AVERAGE == 0) | (i + 1 == F.size("hashes")), i + 1)), lambda i: i.isNotNull()))
-    begins = F.concat(F.array(F.lit(0)), F.slice("ends", 1, F.size("ends") - 1))
-    spans = F.arrays_zip(begins.alias("begin"), F.col("ends").alias("end"))
-    placed = cut.select("row_key", "doc_id", "lines", F.posexplode(spans).alias("chunk", "at"))
-    own = F.slice("lines", F.col("at.begin") + 1, F.col("at.end") - F.col("at.begin"))
-    full = F.size(F.filter(own, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    return placed.select(
-        "row_key",
-        "doc_id",
-        "chunk",
-        (F.col("at.begin") + 1).alias("first_line"),
-        F.size(own).alias("n_lines"),
-        full.alias("n_full"),
-        F.array_join(own, "\n").alias("body"),
-    )
+    rows = docs.withColumn("_lines", lines)
+    long = F.transform("_lines", lambda x: F.regexp_count(x, F.lit(WORD)) >= LONG_LINE)
+    rows = rows.withColumns({"_hashes": F.transform("_lines", line_hash), "_long": long})
+    rolled = F.transform(F.sequence(F.lit(1), F.size("_hashes")), lambda i: sum((F.coalesce(F.get("_hashes", i - 1 - j), F.lit(0)) * (FACTOR**j % MODULUS) for j in range(SPAN)), F.lit(0)) % MODULUS)
+    ends = lambda h, i: (h % AVERAGE == 0) | (i + 1 == F.size("_hashes")) | F.get("_long", i) | F.coalesce(F.get("_long", i + 1), F.lit(False))
+    rows = rows.withColumn("_ends", F.filter(F.transform(rolled, lambda h, i: F.when(ends(h, i), i + 1)), lambda i: i.isNotNull()))
+    begins = F.concat(F.array(F.lit(0)), F.slice("_ends", 1, F.size("_ends") - 1))
+
+    def part(begin: Column, end: Column) -> Column:
+        own = F.slice("_lines", begin + 1, end - begin)
+        full = F.size(F.filter(own, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+        passage = (full >= LEAST_LINES) | F.get("_long", begin)
+        return F.struct(F.array_join(own, "\n").alias("body"), (end - begin).alias("n_lines"), passage.alias("passage"))
+
+    return rows.withColumn("_parts", F.zip_with(begins, "_ends", part)).drop("_lines", "_hashes", "_long", "_ends")
+
+
+def chunks(docs: DataFrame) -> DataFrame:
+    """(row_key, doc_id, chunk, n_lines, passage, body) of each chunk of each document."""
+    rows = with_parts(docs.select(row_key().alias("row_key"), F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
+    placed = rows.select("row_key", "doc_id", F.posexplode("_parts").alias("chunk", "_part"))
+    return placed.select("row_key", "doc_id", "chunk", "_part.n_lines", "_part.passage", "_part.body")
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(row_key, chunk) of the chunks to remove: of LEAST_LINES lines with a word or more, and equal in every
-    byte to one in an earlier document or earlier in the same, by doc_id (null last), row_key and place.
+    """(row_key, chunk) of the chunks to remove: passages that are equal in every byte to one in an earlier document or earlier in the same, by doc_id (null last), row_key and place.
 
     Hashes come first: only chunks whose 64-bit hash and length occur twice are carried on, past a filter
     of fixed size that spares the others the shuffle, and these are grouped by their text. All groupings
     combine before the shuffle.
     """
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key", "chunk").alias("place")
-    every = chunks(docs).filter(F.col("n_full") >= LEAST_LINES).select(F.xxhash64("body").alias("hash"), place, "body")
+    every = chunks(docs).filter("passage").select(F.xxhash64("body").alias("hash"), place, "body")
     light = stored(every.select("hash", F.octet_length("body").alias("bytes"), "place"), "line-chunks")
     twice = light.groupBy("hash", "bytes").agg(F.min("place").alias("least"), F.max("place").alias("most"))
     twice = stored(twice.filter("least != most").select(F.col("hash").alias("_hash"), F.col("bytes").alias("_bytes")), "line-chunks-twice")
@@ -82,16 +86,16 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     none = (F.lit(0).alias("n_removed"), F.lit(0).alias("lines_removed"), F.coalesce("text", F.lit("")).alias("text"))
     whole = rows.filter("NOT _might").select("row_key", "doc_id", lines, *none)
     whole = whole.unionByName(likely.filter("gone IS NULL").select("row_key", "doc_id", lines, *none))
-    hit = stored(likely.filter("gone IS NOT NULL").select("row_key", "doc_id", "text", "gone"), "line-chunks-hit")
-    one = hit.dropDuplicates(["row_key"])
-    cut = chunks(one.drop("row_key")).join(one.select(F.col("row_key").alias("_key"), "gone"), F.col("row_key") == F.col("_key"))
-    cut = cut.withColumn("out", F.array_contains("gone", F.col("chunk")))
-    kept = F.transform(F.array_sort(F.collect_list(F.when(~F.col("out"), F.struct("chunk", "body")))), lambda x: x["body"])
-    cut = cut.groupBy("row_key").agg(
-        F.sum("n_lines").cast("int").alias("n_lines"),
-        F.count_if("out").cast("int").alias("n_removed"),
-        F.coalesce(F.sum(F.when(F.col("out"), F.col("n_lines"))), F.lit(0)).cast("int").alias("lines_removed"),
-        F.array_join(kept, "\n").alias("text"),
+    hit = with_parts(likely.filter("gone IS NOT NULL").select("row_key", "doc_id", "text", "gone"))
+    out = F.filter("_parts", lambda _, i: F.array_contains("gone", i))
+    kept = F.filter("_parts", lambda _, i: ~F.array_contains("gone", i))
+    count = lambda parts: F.aggregate(parts, F.lit(0), lambda n, x: n + x["n_lines"])
+    cut = hit.select(
+        "row_key",
+        "doc_id",
+        count(F.col("_parts")).alias("n_lines"),
+        F.size(out).alias("n_removed"),
+        count(out).alias("lines_removed"),
+        F.array_join(F.transform(kept, lambda x: x["body"]), "\n").alias("text"),
     )
-    again = hit.select("row_key", "doc_id").join(cut, "row_key")
-    return whole.unionByName(again).drop("row_key")
+    return whole.unionByName(cut).drop("row_key")

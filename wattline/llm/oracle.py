@@ -109,14 +109,15 @@ OP5 = f"""
 WITH d AS (SELECT doc_id, md5(coalesce(CAST(doc_id AS VARCHAR), '~') || ':' || md5(coalesce(text, ''))) AS k,
                   string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 x AS (SELECT doc_id, k, len(l) AS n_lines, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM d),
-h AS (SELECT *, {_LINE} AS h FROM x),
-e AS (SELECT *, i = n_lines OR (h + 31337 * coalesce(lag(h) OVER w, 0)) % 2147483647 % 3 = 0 AS ends
+h AS (SELECT *, {_LINE} AS h, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 50 AS long FROM x),
+e AS (SELECT *, long OR coalesce(lead(long) OVER w, false) OR i = n_lines OR (h + 31337 * coalesce(lag(h) OVER w, 0)) % 2147483647 % 3 = 0 AS ends
       FROM h WINDOW w AS (PARTITION BY k, doc_id ORDER BY i)),
 c AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY k, doc_id ORDER BY i
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM e),
 b AS (SELECT doc_id, k, chunk, any_value(n_lines) AS n_lines, count(*) AS own, string_agg(line, chr(10) ORDER BY i) AS body,
-             count_if(regexp_matches(line, '[^\x20\x09-\x0D]')) AS n_full FROM c GROUP BY doc_id, k, chunk),
-s AS (SELECT *, n_full >= 2 AND row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, k, chunk) > 1 AS gone FROM b)
+             count_if(regexp_matches(line, '[^\x20\x09-\x0D]')) AS n_full, bool_or(long) AS long
+      FROM c GROUP BY doc_id, k, chunk),
+s AS (SELECT *, (n_full >= 2 OR long) AND row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS LAST, k, chunk) > 1 AS gone FROM b)
 SELECT doc_id, CAST(any_value(n_lines) AS INT) AS n_lines, CAST(count_if(gone) AS INT) AS n_removed,
        CAST(coalesce(sum(own) FILTER (gone), 0) AS INT) AS lines_removed,
        coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '') AS text
