@@ -35,8 +35,10 @@ def with_parts(docs: DataFrame) -> DataFrame:
     def part(begin: Column, end: Column) -> Column:
         own = F.slice("_lines", begin + 1, end - begin)
         full = F.size(F.filter(own, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-        passage = (full >= LEAST_LINES) | F.get("_long", begin)
-        return F.struct(F.array_join(own, "\n").alias("body"), (end - begin).alias("n_lines"), passage.alias("passage"))
+        body = F.array_join(own, "\n")
+        # Counted again in the body: an array read at one place of a lambda would be made anew for every element.
+        passage = (full >= LEAST_LINES) | ((end - begin == 1) & (F.regexp_count(body, F.lit(WORD)) >= LONG_LINE))
+        return F.struct(body.alias("body"), (end - begin).alias("n_lines"), passage.alias("passage"))
 
     return rows.withColumn("_parts", F.zip_with(begins, "_ends", part)).drop("_lines", "_hashes", "_long", "_ends")
 
@@ -44,7 +46,9 @@ def with_parts(docs: DataFrame) -> DataFrame:
 def chunks(docs: DataFrame) -> DataFrame:
     """(row_key, doc_id, chunk, n_lines, passage, body) of each chunk of each document."""
     rows = with_parts(docs.select(row_key().alias("row_key"), F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
-    placed = rows.select("row_key", "doc_id", F.posexplode("_parts").alias("chunk", "_part"))
+    # Outer, though no text is without chunks: a plain generator makes a filter of its input, which is then computed
+    # element by element.
+    placed = rows.select("row_key", "doc_id", F.posexplode_outer("_parts").alias("chunk", "_part"))
     return placed.select("row_key", "doc_id", "chunk", "_part.n_lines", "_part.passage", "_part.body")
 
 
