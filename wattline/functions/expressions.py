@@ -8,13 +8,13 @@ only fold the list.
 
 import ast
 import re
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wattline.functions.numbers import add, divide, multiply, subtract
+from wattline.functions.numbers import operated
 
 NUMBER = r"-?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 SIMPLE_STEP = rf"^([-+*/])({NUMBER}|input\w+)$"
@@ -53,17 +53,7 @@ def simple_ops(steps: Column, operands: Column) -> Column:
 
 def fold_ops(value: Column, ops: Column) -> Column:
     """The value after all operations in decimal arithmetic; null when one has no result."""
-
-    def apply(acc, o):
-        x = o["x"]
-        return (
-            F.when(o["op"] == "+", add(acc, x))
-            .when(o["op"] == "-", subtract(acc, x))
-            .when(o["op"] == "*", multiply(acc, x))
-            .when(o["op"] == "/", divide(acc, x))
-        )
-
-    return F.aggregate(ops, value, apply)
+    return F.aggregate(ops, value, lambda acc, o: operated(o["op"], acc, o["x"]))
 
 
 def step_compiler():
@@ -77,9 +67,10 @@ def step_compiler():
     def operate(op, a, b):
         """One exact decimal operation on the decimal texts of two doubles."""
         x, y = Decimal(repr(a)), Decimal(repr(b))
-        if isinstance(op, ast.Div):
-            return float((x / y).quantize(Decimal("1e-16"), ROUND_HALF_UP))
-        return float({"+": x + y, "-": x - y, "*": x * y}[symbols[type(op)]])
+        with localcontext(prec=1400):  # more digits than any two doubles need
+            if isinstance(op, ast.Div):
+                return float((x / y).quantize(Decimal("1e-16"), ROUND_HALF_UP))
+            return float({"+": x + y, "-": x - y, "*": x * y}[symbols[type(op)]])
 
     def constant(node):
         if isinstance(node, ast.Constant) and type(node.value) in (int, float):
