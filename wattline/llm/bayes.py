@@ -77,12 +77,14 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """The classifier, from SAMPLE labelled documents at most; labels other than 0 and 1 don't count."""
+    """The classifier, from SAMPLE labelled documents at most; labels other than 0 and 1 don't count.
+
+    Of rows that share an id, the least text counts, so that reruns fit the same model."""
     known = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").select("doc_id", "quality")
     known = known.groupBy("doc_id").agg(F.min("quality").alias("_good"))
     known = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).select(F.col("doc_id").alias("_id"), "_good"), "quality-sample")
-    rows = docs.join(known, F.col("doc_id") == F.col("_id")).dropDuplicates(["_id"]).select("_id", features("text").alias("own"), "_good")
-    rows = rows.orderBy("_id").collect()
+    rows = docs.join(known, F.col("doc_id") == F.col("_id")).groupBy("_id", "_good").agg(F.min("text").alias("_text"))
+    rows = rows.select("_id", features("_text").alias("own"), "_good").orderBy("_id").collect()
     return Model(np.array([r["own"] for r in rows]).reshape(-1, len(FEATURES)), np.array([r["_good"] for r in rows], float))
 
 
