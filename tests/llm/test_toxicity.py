@@ -1,5 +1,7 @@
 """The recurrent network: gradients, held-out accuracy, windows, edges."""
 
+import math
+
 import numpy as np
 import pytest
 from corpus_rows import documents
@@ -93,3 +95,46 @@ def test_held_out_rows_are_never_learnt_from(spark, monkeypatch):
     known = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id bigint, quality int, toxic int")
     T.fit(docs, known)
     assert sorted(seen) == sorted(f"text {i}" for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2)
+
+
+def plain_score(net, text):
+    """The highest window's probability, unit by unit and word by word in Python's own numbers."""
+    v = {k: np.asarray(x, np.float64) if k not in ("word", "gram") else x for k, x in net.values.items()}
+    words, units = R.tokens(text), range(R.UNITS)
+    squash = lambda z: 1 / (1 + math.exp(-z))
+    n, best = len(words), None
+    starts = [0] if n <= 32 else sorted({*range(0, n - 32, 16), n - 32})
+    for start in starts if n else []:
+        rows = []
+        for w in words[start : start + 32]:
+            grams = [[float(c) for c in v["gram"][b]] for b in R.gram_buckets(w)]
+            rows.append([float(c) for c in v["word"][R.word_bucket(w)]] + [max(g[d] for g in grams) for d in range(R.DIMENSIONS)])
+        ways = []
+        for way, order in ((0, rows), (1, rows[::-1])):
+            h, seen = [0.0] * R.UNITS, []
+            for x in order:
+                own = [v["bias"][way][0][j] + sum(x[i] * v["in"][way][i][j] for i in range(len(x))) for j in range(3 * R.UNITS)]
+                gate = [squash(own[j] + sum(h[i] * v["gates"][way][i][j] for i in units)) for j in range(2 * R.UNITS)]
+                new = [math.tanh(own[2 * R.UNITS + j] + gate[R.UNITS + j] * sum(h[i] * v["candidate"][way][i][j] for i in units)) for j in units]
+                h = [(1 - gate[j]) * h[j] + gate[j] * new[j] for j in units]
+                seen.append(h)
+            ways.append(seen if way == 0 else seen[::-1])
+        joint = [a + b for a, b in zip(*ways)]
+        looks = [sum(math.tanh(sum(s[i] * v["attend"][i][j] for i in range(2 * R.UNITS))) * v["look"][j][0] for j in units) for s in joint]
+        focus = [math.exp(x) for x in looks]
+        logit = v["level"][0] + sum(f / sum(focus) * s[i] * v["out"][i][0] for f, s in zip(focus, joint) for i in range(2 * R.UNITS))
+        best = logit if best is None else max(best, logit)
+    return 0.0 if best is None else squash(best)
+
+
+def test_scores_equal_a_plain_forward_pass(spark):
+    net, rng = R.Network.fresh(5), np.random.default_rng(5)
+    for name in ("word", "gram", "out"):
+        net.values[name] *= 8  # so that scores differ
+    vocabulary = ["Grüße", "don't", "x", "42", "vile", "snarled", "snarls", "über_all", "一二三"]
+    rows = [(i, " ".join(rng.choice(vocabulary, n)), "en", "s") for i, n in enumerate([1, 2, 31, 32, 33, 47, 48, 49, 64, 65, 130])]
+    rows += [(50, None, "en", "s"), (51, "", "en", "s"), (52, "-- _ !", "en", "s"), (53, rows[5][1], "en", "s")]
+    got = {r.doc_id: r.score for r in T.score(documents(spark, rows), net).collect()}
+    want = {i: plain_score(net, text) for i, text, *_ in rows}
+    assert got == pytest.approx(want, abs=1e-4)
+    assert max(want.values()) - min(x for x in want.values() if x) > 0.02
