@@ -12,12 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.llm.common import partitions, shared_folder, slices, stored
+from wattline.llm.common import partitions, shared_folder, stored
 from wattline.llm.tokens import encoder as shared_encoder
 
 MAGIC = b"WTPACK01"
@@ -26,6 +27,8 @@ FOOTER = struct.Struct("<IIQQQ8s")
 BLOCK_IDS = 8192
 #: Blocks that are packed or read together.
 RUN = 64
+#: Bytes of text that are encoded together, and at least one text.
+TEXT_BYTES = 4 << 20
 
 
 def bits(vocabulary: int) -> int:
@@ -145,6 +148,17 @@ class Reader:
             yield doc_id, start, run[start - at : end - at]
 
 
+def runs_of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to at most TEXT_BYTES of text or one row, so that what a longer batch takes stays small."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy().astype(np.int64))
+        start, before = 0, 0
+        while start < batch.num_rows:
+            end = max(start + 1, int(np.searchsorted(ends, before + TEXT_BYTES, "right")))
+            yield batch.slice(start, end - start)
+            start, before = end, int(ends[end - 1])
+
+
 def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None) -> DataFrame:
     """Encodes whole texts and writes one file per range of doc_id; returns the manifest.
 
@@ -161,7 +175,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
         context = TaskContext.get()
         part, encoder, writer, path = context.partitionId(), None, None, ""
         store, root = fs.FileSystem.from_uri(folder)
-        for batch in slices(batches):
+        for batch in runs_of_text(batches):
             if writer is None:
                 encoder = shared_encoder(tokenizer)
                 store.create_dir(root)
@@ -169,7 +183,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
                 stream = store.open_output_stream(path)
                 writer = Writer(stream, bits(max(encoder.vocabulary, end_id + 1)))
             end = np.array([end_id], np.uint32)
-            ids = encoder.encode([x or "" for x in batch.column("text").to_pylist()])
+            ids = encoder.encode(batch.column("text"))
             for doc_id, own in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
                 writer.add(doc_id, np.concatenate([own, end]))
         if writer is not None:

@@ -1,17 +1,31 @@
-"""Encoding with a public tokenizer, each distinct word once."""
+"""Encoding with a public tokenizer, each distinct piece of a word once."""
 
 import functools
+import itertools
 import os
 import re
+from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words that are encoded together, between spaces: visible ASCII without special tokens, Latin-1 letters.
 _PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-ÿ]+")
 #: A run of letters and the symbols behind it: the pre-tokenizer parts them, and case does not count.
-_PARTED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
-#: Words and pieces of words remembered per Python worker, about 0.4 GB, and words encoded in one call.
-REMEMBERED, PIECES, TOGETHER = 1_000_000, 1_500_000, 2_000
+_PARTED = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<symbols>[!-/:-@\[-`{-~]*)$"
+#: What those two are in lower case. The pre-tokenizer leaves each whole, so the model alone encodes it.
+_PART = r"^([a-zß-öø-ÿ]*|[!-/:-@\[-`{-~]*)$"
+#: Pieces remembered per Python worker (whole workers took up to 0.5 GB), and words encoded in one call.
+REMEMBERED, TOGETHER = 1_000_000, 2_000
+
+
+def _gathered(ids: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The given rows of a ragged array, one behind the other, and their starts with the end."""
+    sizes = np.diff(starts)[rows]
+    found = np.zeros(len(rows) + 1, np.int64)
+    np.cumsum(sizes, out=found[1:])
+    return ids[np.arange(found[-1]) + np.repeat(starts[rows] - found[:-1], sizes)], found
 
 
 class Encoder:
@@ -20,7 +34,9 @@ class Encoder:
     It relies on a pre-tokenizer whose pieces never hold white space and part letters from symbols, and on a
     normalizer that lower-cases, as those of word_bpe: then the ids of a text are those of its space-separated
     words, and those of letters with symbols behind them are of the letters in lower case, then of the
-    symbols. Plain words are encoded many at a time and told apart by character offsets, all others one by one.
+    symbols. Arrow splits texts and finds distinct words and pieces, so Python sees distinct pieces only; ids
+    are gathered from the table of pieces. Words of another form are pieces by themselves: plain ones are
+    encoded many at a time and told apart by character offsets, all others one by one.
     """
 
     def __init__(self, path: str) -> None:
@@ -29,48 +45,74 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: list[str]) -> None:
-        parted = {w: (m[1].lower(), m[2]) for w in words if (m := _PARTED.fullmatch(w))}
-        pieces = self.pieces
-        others = [w for w in words if w not in parted]
-        # Not by set differences, which would go through all that is remembered.
-        rest = [x for x in {symbols for _, symbols in parted.values()}.union(others) if x not in pieces]
-        letters = [x for x in {letters for letters, _ in parted.values()} if x not in pieces]
-        self._learn_pieces(letters + [w for w in rest if _PLAIN.fullmatch(w)], [w for w in rest if not _PLAIN.fullmatch(w)])
-        self.known.update((w, pieces[letters] + pieces[symbols]) for w, (letters, symbols) in parted.items())
-        self.known.update((w, pieces[w]) for w in others)
-
-    def _learn_pieces(self, plain: list[str], odd: list[str]) -> None:
-        known = self.pieces
+        spelt = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        #: Letters beyond ASCII as the model's alphabet of bytes spells them.
+        self.spelling = str.maketrans({c: spelt(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c != "÷"})
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        model, spelling, ids, sizes = self.tokenizer.model.tokenize, self.spelling, [], []
+        for part in parts:
+            tokens = model(part if part.isascii() else part.translate(spelling))
+            ids.extend([x.id for x in tokens])
+            sizes.append(len(tokens))
+        self._add(parts, ids, sizes)
+
+    def _learn_words(self, words: list[str]) -> None:
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
         for at in range(0, len(plain), TOGETHER):
             group = plain[at : at + TOGETHER]
             encoding = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
-            ids = np.array(encoding.ids, "<u4")
             begins = np.array([b for b, _ in encoding.offsets], np.int64)
             ends = np.cumsum([len(w) + 1 for w in group])
-            cuts = [0, *np.searchsorted(begins, ends).tolist()]
-            data = ids.tobytes()
-            known.update((w, data[4 * a : 4 * b]) for w, a, b in zip(group, cuts, cuts[1:], strict=False))
-        for word, encoding in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
-            known[word] = np.array(encoding.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [x.replace("\n", " ").split(" ") for x in texts]
-        words = set().union(*split)
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {"": b""}, [w for w in words if w]
-        if len(self.pieces) + len(new) > PIECES:
-            self.pieces = {"": b""}
-        self._learn(new)
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, s)), "<u4") for s in split]
+            self._add(group, encoding.ids, np.diff(np.searchsorted(begins, ends), prepend=0))
+        odd = [w for w in words if not _PLAIN.fullmatch(w)]
+        encodings = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
+        self._add(odd, [i for x in encodings for i in x.ids], [len(x.ids) for x in encodings])
+
+    def _add(self, pieces: list[str], ids: list[int], sizes: Sequence[int]) -> None:
+        self.known.update(zip(pieces, itertools.count(len(self.known))))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes, dtype=np.int64)])
+        self.ids = np.concatenate([self.ids, np.array(ids, np.uint32)])
+
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The places of distinct pieces in the table, which learns those it lacks."""
+        names, get = pieces.to_pylist(), self.known.get
+        numbers = np.fromiter(map(get, names, itertools.repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            if len(self.known) + len(new) > REMEMBERED:
+                self._forget()
+                new, get = np.arange(len(names)), self.known.get
+            alone = pc.match_substring_regex(pieces.take(pa.array(new)), _PART).to_numpy(zero_copy_only=False)
+            self._learn_parts([names[i] for i in new[alone].tolist()])
+            self._learn_words([names[i] for i in new[~alone].tolist()])
+            numbers[new] = np.fromiter(map(get, (names[i] for i in new.tolist())), np.int64, len(new))
+        return numbers
+
+    def encode(self, texts: Sequence[str | None] | pa.Array) -> list[np.ndarray]:
+        """The ids of each text; null has none."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary
+        parted = pc.extract_regex(distinct, _PARTED)
+        letters = pc.coalesce(pc.utf8_lower(pc.struct_field(parted, "letters")), distinct)
+        symbols = pc.struct_field(parted, "symbols").fill_null("")
+        pieces = pa.concat_arrays([letters, symbols]).dictionary_encode()
+        numbers = self._numbers(pieces.dictionary)[pieces.indices.to_numpy()]
+        both = numbers.reshape(2, len(distinct)).T.reshape(-1)
+        ids, starts = _gathered(self.ids, self.starts, both)
+        ids, starts = _gathered(ids, starts[::2], words.indices.to_numpy())
+        cuts = starts[np.cumsum(split.value_lengths().to_numpy())].tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
 
 
 @functools.cache
 def encoder(path: str) -> Encoder:
-    """One encoder per Python worker; the tasks that a worker runs share the words it knows."""
+    """One encoder per Python worker; the tasks that a worker runs share the pieces it knows."""
     return Encoder(path)
