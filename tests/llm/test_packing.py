@@ -1,6 +1,7 @@
 """Packed id files: exact round trips, random access, whole-text encoding."""
 
 import io
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -68,6 +69,32 @@ def test_encoder_forgets(monkeypatch):
         assert encoder.encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_remembered_pieces_are_small():
+    """Pieces lie in Arrow, not in a dictionary of Python strings, which took 110 bytes a piece here."""
+    words = [f"{a}{b}{c}{d}" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyzabcd" for d in "efghijklmnopqrstuvwx"]
+    encoder, whole = Encoder(PATH), Tokenizer.from_file(PATH)
+    encoder.encode(["a"])
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    found = [x.tolist() for x in encoder.encode([" ".join(words[:15_000]), " ".join(words[10_000:])])]
+    assert found == [whole.encode(" ".join(x), add_special_tokens=False).ids for x in (words[:15_000], words[10_000:])]
+    del found
+    kept = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert len(encoder.known) == len(words) + 2
+    assert kept < 75 * len(words), kept / len(words)
+
+
+def test_long_pieces_are_forgotten(monkeypatch):
+    """Texts without spaces are one piece each: not only pieces count, but also their bytes."""
+    monkeypatch.setattr("wattline.llm.tokens.REMEMBERED_BYTES", 1000, raising=False)
+    encoder, whole = Encoder(PATH), Tokenizer.from_file(PATH)
+    for text in [*("한국어"[i % 3] * (200 + i) for i in range(9)), "b" * 600, "b" * 600 + " ab", "c"]:
+        assert encoder.encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert len(encoder.known) <= 4
+    assert encoder.encode(["d" * 2000])[0].tolist() == whole.encode("d" * 2000, add_special_tokens=False).ids
+
+
 def test_words_cost_their_distinct_pieces():
     """Letters and symbols are learnt once, in whatever case and beside whichever others they stand."""
     letters = [a + b for a in "abcdefghij" for b in "klmnopqrsté"]

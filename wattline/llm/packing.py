@@ -186,6 +186,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = Non
             ids = encoder.encode(batch.column("text"))
             for doc_id, own in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
                 writer.add(doc_id, np.concatenate([own, end]))
+            pa.default_memory_pool().release_unused()  # workers live on, and what they keep adds up with later tasks'
         if writer is not None:
             writer.close()
             stream.close()
