@@ -8,7 +8,7 @@ from collections import defaultdict
 from corpus_rows import EDGE, documents
 from pyspark.sql import functions as F
 
-from wattline.llm import mixing
+from wattline.llm import common, mixing
 
 
 def water(sizes, weights=(5, 2, 1), share=1.5, most=2):
@@ -110,3 +110,24 @@ def test_a_group_of_copies_is_dealt_out(spark, monkeypatch):
     assert mixed.count() == 1000 and mixed.selectExpr("sum(taken)").first()[0] == 3750
     spread = mixed.where("doc_id = 7").groupBy(F.spark_partition_id()).count().collect()
     assert len(spread) == 4 and max(r["count"] for r in spread) < 300
+
+
+def test_a_short_table_of_sources_is_written_once_as_one_file(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(common, "shared_folder", lambda _, name: f"{tmp_path}/{name}")
+    rows = [(i, "a b c " * (i % 7), "en", f"s{i % 23:02d}") for i in range(300)]
+    check(rows, mixing.mix(documents(spark, rows)).collect())
+    files = {p.name: len([*p.glob("part-*")]) for p in tmp_path.iterdir()}
+    assert {k: n for k, n in files.items() if k not in ("mix-rows", "mix-chunks")} == dict.fromkeys(
+        ("mix-sources-ranges", "mix-sources-totals", "mix-levels-ranges", "mix-levels-totals", "mix-levels"), 1
+    )
+
+
+def test_sources_in_several_ranges_have_the_same_targets(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(common, "shared_folder", lambda _, name: f"{tmp_path}/{name}")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(i, "a b c " * (i % 7), "en", f"s{i % 23:02d}" if i % 29 else None) for i in range(300)]
+        check(rows, mixing.mix(documents(spark, rows)).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len([*tmp_path.glob("mix-sources-ranges/part-*")]) == 4

@@ -74,14 +74,16 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     )
 
 
-def prefix_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Column], name: str) -> DataFrame:
+def prefix_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Column], name: str, small: bool = False) -> DataFrame:
     """``df`` with running sums over all earlier rows in ``order``, the row itself excluded.
 
     Rows are range-partitioned by ``order`` and written, so that both readings see the same ranges; one
     total per range is summed up, and each range continues from the total before it. ``order`` should
-    tell rows apart: equal ones stay in one range.
+    tell rows apart: equal ones stay in one range. If rows are ``small``, adaptive execution merges ranges of
+    too few bytes, so a short table is one file and not one for each row.
     """
-    ranged = df.repartitionByRange(partitions(df.sparkSession), *order).withColumn("_range", F.spark_partition_id())
+    count = [] if small else [partitions(df.sparkSession)]
+    ranged = df.repartitionByRange(*count, *order).withColumn("_range", F.spark_partition_id())
     ranged = stored(ranged, f"{name}-ranges")
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("_range").agg(*(F.sum(c).alias(f"_{k}_total") for k, c in sums.items()))

@@ -24,7 +24,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     sums of what the full ones take. Only three numbers reach the driver.
     """
     code_points = [F.col("source").asc_nulls_last()]
-    numbered = prefix_sums(sizes, code_points, {"_at": F.lit(1)}, "mix-sources")
+    numbered = prefix_sums(sizes, code_points, {"_at": F.lit(1)}, "mix-sources", small=True)
     turn = F.array(*(F.lit(w) for w in weights))
     weighed = numbered.withColumn("_weight", F.get(turn, F.pmod(F.col("_at"), F.lit(len(weights))).cast("int")))
     weighed = weighed.withColumn("_full_at", F.lit(float(most)) * F.col("source_size") / F.col("_weight"))
@@ -33,6 +33,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
         [F.col("_full_at"), F.col("source").asc_nulls_last()],
         {"_size_before": F.col("source_size"), "_weight_before": F.col("_weight")},
         "mix-levels",
+        small=True,
     )
     by_level = stored(by_level, "mix-levels")
     size, weight = by_level.agg(F.sum("source_size"), F.sum("_weight")).first()
@@ -72,7 +73,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
     rows = stored(narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("_copies")), "mix-rows")
     words = F.col("size") * F.col("_copies")
     sizes = rows.groupBy("source").agg(F.sum(words).alias("source_size"))
-    targets = stored(source_targets(sizes, weights, share, most), "mix-targets")
+    targets = source_targets(sizes, weights, share, most)  # of a written table
 
     # Hash-random: each source in as many even parts as there are partitions, in the order of the key.
     chunk = F.shiftright(F.conv(F.substring("row_key", 1, 8), 16, 10).cast("bigint") * partitions(docs.sparkSession), 32)
