@@ -1,7 +1,9 @@
 import json
+from decimal import Decimal
 from types import SimpleNamespace
 
 import brute
+import pyarrow as pa
 import pytest
 from metering import random_readings, readings, seconds
 from pyspark.errors import StreamingQueryException
@@ -14,7 +16,7 @@ from wattline.schemas import USAGE_STEPS
 from wattline.sinks import keyed, outputs
 from wattline.sinks.workspace import workspace
 from wattline.sources.messages import read_message_stream
-from wattline.streaming import jobs, state
+from wattline.streaming import jobs, packs, state
 
 SF = "/root/testdata/sf0.001"
 READING = "feed_id string, t bigint, arrival bigint, value double, code string, meter_key string"
@@ -137,6 +139,73 @@ def test_windows_live_from_their_last_update():
     assert got == [(10.0, 10.0), (10.0, 15.0), (10.0, 18.0), (30.0, 30.0)]
 
 
+class Counted(Clock):
+    """Counts the calls that reach the state."""
+
+    def __init__(self):
+        super().__init__()
+        self.calls = 0
+
+    def getValueState(self, name, schema, life=None):
+        held = super().getValueState(name, schema, life)
+        return SimpleNamespace(get=lambda: self.count(held.get), update=lambda value: self.count(held.update, value))
+
+    def getMapState(self, name, key, value, life=None):
+        held = super().getMapState(name, key, value, life)
+        return SimpleNamespace(**{c: lambda *x, c=c: self.count(getattr(held, c), *x) for c in ("getValue", "updateValue", "iterator")})
+
+    def count(self, call, *args):
+        self.calls += 1
+        return call(*args)
+
+
+def test_many_windows_are_read_and_written_at_once():
+    clock, processor = Counted(), state._WindowEnds(None, 100)
+    processor.init(clock)
+    for now, value in ((0, 1.0), (50, 3.0)):
+        clock.now = now
+        rows = [window(i * 3600 + now, now, value) | {"ws": i * 3600, "we": (i + 1) * 3600} for i in range(200)]
+        got = {(r["feed_id"], r["ws"], r["first_value"], r["last_value"]) for r in processor.handleInputRows(("k",), iter(rows), clock)}
+        assert got == {("k", i * 3600, 1.0, value) for i in range(200)}
+    assert clock.calls == 4
+
+
+def test_windows_in_one_pack_keep_lives_of_their_own():
+    at = lambda ws, t, arrival, value: window(t, arrival, value) | {"ws": ws, "we": ws + 3600}
+    steps = [(0, [at(0, 0, 1, 1.0), at(3600, 3600, 2, 2.0)]), (60, [at(3600, 3700, 3, 5.0)]), (120, [at(0, 10, 4, 9.0), at(3600, 3800, 5, 6.0)])]
+    got = [{(r["ws"], r["first_value"], r["last_value"]) for r in rows} for rows in driven(state._WindowEnds(None, 100), steps)]
+    assert got == [{(0, 1.0, 1.0), (3600, 2.0, 2.0)}, {(3600, 2.0, 5.0)}, {(0, 9.0, 9.0), (3600, 2.0, 6.0)}]
+
+
+def test_packs_of_windows_that_fill_more_than_a_buffer(monkeypatch):
+    monkeypatch.setattr(packs, "PACK_BYTES", 1000)
+    monkeypatch.setattr(state, "_PACKED_OUT", 7)
+    rows = [window(i, i, float(i)) | {"feed_id": f"f{i % 20}"} for i in range(300)]
+    packed = [{"windows": packs.pack(pa.Table.from_pylist(rows[i : i + 9]))} for i in range(0, 300, 9)]
+    ((*out,),) = driven(state._PackedWindowEnds(None, 100), [(0, packed)])
+    got = {(r["feed_id"], r["first_value"], r["last_value"]) for o in out for r in packs.unpack(o["windows"]).to_pylist()}
+    assert len(out) > 1 and got == {(f"f{i}", float(i), float(280 + i)) for i in range(20)}
+
+
+def test_usage_state_is_kept_by_group_and_span(spark):
+    """Rows of the state don't grow with feeds; missing feeds and wide arrival orders go through."""
+    start = seconds("2024-01-30 22:00:00")
+    rows = [(f"f{i}" if i else None, start + k * 600, 10**25 * k + i, float(i + k)) for i in range(150) for k in (0, 2, 3, 7)]
+    source, out = workspace(spark, "source"), workspace(spark, "usage")
+    schema = "feed_id string, t bigint, arrival decimal(38,0), value double"
+    frame = spark.createDataFrame([(f, t, Decimal(a), v) for f, t, a, v in rows], schema)
+    frame.repartition(3).write.parquet(source)
+    stream = state.usage_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source), USAGE_STEPS)
+    job = jobs.start(stream, jobs.to_table(out), workspace(spark, "cp"), "update")
+    job.awaitTermination()
+    key = lambda r: (r["feed_id"], r["step"], r["start_time"], r["data_value"])
+    found = keyed.latest_by_key(keyed.read_batches(spark, out), ["feed_id", "step", "start_time"], "batch")
+    want = {key(r) for r in U.usage(frame).collect()}
+    assert {key(r) for r in found.collect()} == want and len(want) > 900
+    # Two spans of six hours, two days and two months, in each group.
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in job.recentProgress) <= 6 * state.FEED_GROUPS
+
+
 def test_newest_time_lives_from_the_last_reading():
     life = state.NEWEST_LIFE_MS
     assert life == 36 * state.HOUR_MS

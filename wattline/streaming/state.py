@@ -9,20 +9,22 @@ rows; a key that stays hot is salted, or bounded by what the source admits to a
 from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, StringType, StructField, StructType
 
 from wattline.functions.expressions import OPS
 from wattline.functions.numbers import subtract
-from wattline.functions.timefn import day_number, year_number
 from wattline.operators.calibration import compile_formulas
 from wattline.operators.provisioning import unregistered
 from wattline.operators.usage import WINDOW, usage_documents
 from wattline.operators.windows import assign_closed_windows, with_seconds
-from wattline.schemas import CALENDAR_STEPS, USAGE_STEPS
+from wattline.schemas import STEP_SECONDS, USAGE_STEPS
+from wattline.streaming import packs
 
 HOUR_MS = 3_600_000
 # Lives of the state. Window ends: from a window's last update; first readings: from the first one;
@@ -30,74 +32,118 @@ HOUR_MS = 3_600_000
 WINDOW_LIFE_MS, FIRST_SEEN_LIFE_MS, NEWEST_LIFE_MS = 35 * 24 * HOUR_MS, 3 * HOUR_MS, 36 * HOUR_MS
 # Superseded formulas stay so long for readings that come late.
 SUPERSEDED_LIFE_MS = 36 * HOUR_MS
+# Groups that feeds are kept in, and seconds of the spans that their shorter windows are kept by.
+FEED_GROUPS, SPAN_SECONDS = 32, 6 * 3600
 # Tasks that the readings of one input are spread over.
 FORMULA_SALTS = 8
 
 Frames = Iterator[pd.DataFrame]
 Rows = Iterator[Row]
 _ENDS = [f"{e}_{c}" for e in ("first", "last") for c in ("t", "arrival", "value")]
-_BY = ["feed_id", "span", "step", "ws", "we"]
+_BY = ["feeds", "span", *WINDOW]
+# When a window of this micro-batch was updated, and windows in a pack of results.
+_FRESH, _PACKED_OUT = 2**63 - 1, 1 << 16
 
 
 def _schema(rows: DataFrame, *columns: str) -> StructType:
     return StructType([StructField(c, rows.schema[c].dataType) for c in columns])
 
 
-def _wider(one: tuple, other: tuple) -> tuple:
-    """Both ends of two windows' readings; of equal times the later arrival."""
-    start = min(one[:3], other[:3], key=lambda e: (e[0], -e[1]))
-    end = max(one[3:], other[3:], key=lambda e: (e[0], e[1]))
-    return (*start, *end)
+def _widest(rows: pa.Table, by: tuple[str, ...] = ()) -> pa.Table:
+    """One row per window, sorted by ``by``: both ends of its rows; of equal times the later arrival."""
+    keys = {"k": packs.joint_codes(rows, [*by, "feed_id", "step"]), "ws": rows["ws"]}
+    first = packs.sort_order(keys | {c: rows[c] for c in _ENDS[:2]}, descending=("first_arrival",))
+    last = packs.sort_order(keys | {c: rows[c] for c in _ENDS[3:5]})
+    # Both orders have the same windows in the same places.
+    starts = packs.run_starts(keys["k"][first], rows["ws"].to_numpy()[first])
+    columns = [c for c in rows.column_names if c not in _ENDS[3:]]
+    found = rows.select(columns).take(first[starts])
+    ends = rows.select(_ENDS[3:]).take(last[np.append(starts[1:], len(last))[: len(starts)] - 1])
+    found = {c: found[c] for c in columns} | {c: ends[c] for c in _ENDS[3:]}
+    if "updated" in columns and len(starts):
+        found["updated"] = np.maximum.reduceat(rows["updated"].to_numpy()[first], starts)
+    return pa.table(found).select(rows.column_names).combine_chunks()
 
 
 class _WindowEnds(StatefulProcessor):
-    """Both ends of each window of a feed and span."""
+    """Both ends of the windows of a feed, or of many feeds, each with a life of its own.
 
-    def __init__(self, ends: StructType, life_ms: int):
+    They are one value in the state, which a micro-batch reads and writes once: ``updated`` tells when a window was
+    last revised.  The life of the whole value starts with its last update, so nothing is kept beyond the last window's.
+    """
+
+    def __init__(self, ends: StructType | None, life_ms: int):
         self.schema, self.life_ms = ends, life_ms
         self.found = Row(*WINDOW, "first_value", "last_value")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.ends = handle.getMapState("ends", "step string, ws bigint", self.schema, self.life_ms)
+        self.ends = handle.getValueState("ends", "windows binary", self.life_ms)
+
+    def revised(self, fresh: pa.Table, now: int) -> pa.Table:
+        """The windows of ``fresh`` with the readings before them, which are kept with them."""
+        rows = pa.table({c: fresh[c] for c in fresh.column_names} | {"updated": np.full(fresh.num_rows, _FRESH)})
+        known = self.ends.get()
+        if known is not None:
+            earlier = packs.unpack(known[0])
+            rows = pa.concat_tables([earlier.filter(pa.array(now - earlier["updated"].to_numpy() < self.life_ms)), rows])
+        rows = _widest(rows)
+        updated = rows["updated"].to_numpy()
+        kept = {c: rows[c] for c in rows.column_names} | {"updated": np.where(updated == _FRESH, now, updated)}
+        self.ends.update((packs.pack(pa.table(kept)),))
+        return rows.filter(pa.array(updated == _FRESH))
 
     def handleInputRows(self, key, rows, timerValues) -> Rows:
-        fresh: dict[tuple, tuple] = {}
-        for r in rows:
-            window, own = (r["step"], r["ws"], r["we"]), tuple(r[c] for c in _ENDS)
-            fresh[window] = _wider(fresh[window], own) if window in fresh else own
-        for (step, ws, we), own in fresh.items():
-            known = self.ends.getValue((step, ws))
-            ends = own if known is None else _wider(tuple(known), own)
-            self.ends.updateValue((step, ws), ends)
-            yield self.found(key[0], step, ws, we, ends[2], ends[5])
+        fresh = pa.Table.from_pylist([{"feed_id": key[0]} | {c: r[c] for c in ("step", "ws", "we", *_ENDS)} for r in rows])
+        for r in self.revised(fresh, timerValues.getCurrentProcessingTimeInMs()).to_pylist():
+            yield self.found(*(r[c] for c in self.found))
 
 
-def _combined(frames: Frames) -> Frames:
-    """One row per window of a batch of rows: its ends."""
-    for rows in frames:
-        last = rows.sort_values(["t", "arrival"]).drop_duplicates(_BY, keep="last")
-        first = rows.sort_values(["t", "arrival"], ascending=[True, False]).drop_duplicates(_BY, keep="first")
-        named = (end.rename(columns={c: f"{e}_{c}" for c in ("t", "arrival", "value")}) for e, end in (("first", first), ("last", last)))
-        yield pd.merge(*named, on=_BY)
+class _PackedWindowEnds(_WindowEnds):
+    """The same with windows that come and go in packs."""
 
-
-def usage_stream(readings: DataFrame, steps: list[str] = USAGE_STEPS, life_ms: int = WINDOW_LIFE_MS) -> DataFrame:
+    def handleInputRows(self, key, rows, timerValues) -> Rows:
+        held, size, most = [], 0, packs.PACK_BYTES
+        for r in rows:
+            held.append(packs.unpack(r["windows"]))
+            size += held[-1].nbytes
+            if size > most:
+                held = [_widest(pa.concat_tables(held).combine_chunks())]
+                size = held[0].nbytes
+                most = max(packs.PACK_BYTES, 2 * size)
+        found = self.revised(pa.concat_tables(held).combine_chunks(), timerValues.getCurrentProcessingTimeInMs())
+        for part in found.select([*self.found]).to_batches(max_chunksize=_PACKED_OUT):
+            yield Row(windows=packs.pack(pa.Table.from_batches([part])))
+
+
+def _combined(batches: packs.Batches) -> packs.Batches:
+    """The ends of windows as far as a task's rows lie together, in packs by group and span."""
+    for rows in packs.buffered(batches):
+        ends = {f"{e}_{c}": rows[c] for e in ("first", "last") for c in ("t", "arrival", "value")}
+        table = _widest(pa.table({c: rows[c] for c in _BY} | ends), ("feeds", "span"))
+        if (batch := packs.packed_runs(table, ["feeds", "span"], "windows")) is not None:
+            yield batch
+
+
+def usage_stream(readings: DataFrame, steps: list[str] = USAGE_STEPS, life_ms: int = WINDOW_LIFE_MS, groups: int = FEED_GROUPS) -> DataFrame:
     """Usage documents of grid readings, each as often as its window is revised (update mode).
 
     All steps come from one pass over the readings.  A window lives for ``life_ms`` from its last update; a
-    late reading revises it until then and starts it anew after that.  The windows of a feed are kept together
-    by day, those of days and months by year, so a feed is spread over its days.
+    late reading revises it until then and starts it anew after that.  Feeds are dealt to ``groups``; the windows of
+    a group are kept together by spans of six hours, those of a day and longer by themselves, so a feed is spread
+    over its days.  A micro-batch reads and writes the groups and spans its readings fall into, as whole columns.
     """
-    wide = F.col("step").isin("1d", *CALENDAR_STEPS)
-    span = F.when(wide, -year_number(F.col("ws"))).otherwise(day_number(F.col("ws")))
-    windows = assign_closed_windows(readings, steps).select(*WINDOW, span.alias("span"), "t", "arrival", "value")
-    kinds = {c: windows.schema[c].dataType for c in ("t", "arrival", "value")}
-    ends = StructType([StructField(n, kinds[n.split("_")[1]]) for n in _ENDS])
-    combined = windows.select(*_BY, "t", "arrival", "value").mapInPandas(_combined, StructType([*_schema(windows, *_BY), *ends]))
-    values = [StructField(c, kinds["value"]) for c in ("first_value", "last_value")]
-    found = combined.groupBy("feed_id", "span").transformWithState(
-        _WindowEnds(ends, life_ms), StructType([*_schema(windows, *WINDOW), *values]), "Update", "ProcessingTime"
+    start = F.col("ws")
+    short = [s for s in steps if STEP_SECONDS.get(s, SPAN_SECONDS) < SPAN_SECONDS]
+    span = F.concat(F.when(F.col("step").isin(short), "").otherwise(F.col("step")), F.lit("@"), start - F.pmod(start, F.lit(SPAN_SECONDS)))
+    group = F.pmod(F.xxhash64("feed_id"), F.lit(groups)).cast("int")
+    windows = assign_closed_windows(readings, steps).select(group.alias("feeds"), span.alias("span"), *WINDOW, "t", "arrival", "value")
+    kept = StructType([*_schema(windows, "feeds", "span"), StructField("windows", BinaryType())])
+    combined = windows.mapInArrow(_combined, kept)
+    found = combined.groupBy("feeds", "span").transformWithState(
+        _PackedWindowEnds(None, life_ms), StructType([kept["windows"]]), "Update", "ProcessingTime"
     )
+    values = [StructField(c, windows.schema["value"].dataType) for c in ("first_value", "last_value")]
+    found = packs.opened(found, "windows", StructType([*_schema(windows, *WINDOW), *values]))
     return usage_documents(found, subtract(F.col("last_value"), F.col("first_value")))
 
 
