@@ -1,4 +1,5 @@
 import json
+import random
 from decimal import Decimal
 from types import SimpleNamespace
 
@@ -8,7 +9,7 @@ import pytest
 from metering import random_readings, readings, seconds
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType
 
 from wattline.operators import usage as U
 from wattline.plans import fixtures as X
@@ -227,6 +228,72 @@ def test_superseded_formulas_serve_late_readings():
                    [(12, None), (17, "f15"), (22, "f20")], [(99, "f20"), (16, None)]]
 
 
+def test_many_versions_are_read_and_written_at_once():
+    fields = StructType([StructField("version", LongType()), StructField("val_feed_id", StringType()), StructField("ops", StringType())])
+    clock, processor = Counted(), state._FormulaAsOf(fields, ["arrival"], 100)
+    processor.init(clock)
+    for now in (0, 50):
+        clock.now = now
+        changes = [{"version": now + v, "val_feed_id": f"f{now + v}", "ops": "[]"} for v in range(50)]
+        got = list(processor.handleInputRows(("k",), iter([*changes, *({"version": None, "arrival": a} for a in range(100))]), clock))
+        assert [r["val_feed_id"] for r in got] == [f"f{min(a, now + 49)}" for a in range(100)]
+    assert clock.calls == 8
+
+
+def test_packed_formulas_equal_a_search_per_reading():
+    rng, life, kind = random.Random(3), 10**9, pa.decimal128(38)
+    fields = [("version", DecimalType(38)), ("val_feed_id", StringType()), ("ops", StringType())]
+    processor = state._PackedFormulaAsOf(StructType([StructField(*f) for f in fields]), ["input_id", "arrival", "n"], life)
+    steps, want, known, n, inputs = [], [], {}, 0, ["a", "b", "c", None]
+    for now in range(4):
+        packed, expected = [], set()
+        # A version is sent again, some come late; the third micro-batch brings readings alone.
+        fresh = [] if now == 2 else [(i, 10**30 + rng.randrange(60)) for i in rng.choices(inputs[:3] if now == 0 else inputs, k=12)]
+        for i, v in fresh:
+            known.setdefault(i, {})[v] = f"{i}{v}"
+        for part in (fresh[:5], fresh[5:]):
+            rows = {"part": [inputs.index(i) % 2 for i, _ in part], "input_id": [i for i, _ in part], "val_feed_id": [f"{i}{v}" for i, v in part]}
+            table = pa.table(rows | {"version": pa.array([Decimal(v) for _, v in part], kind), "ops": ["[]"] * len(part)})
+            packed += [{"readings": None, "changes": packs.pack(table)}] if part else []
+        for _ in range(3):
+            given = [(rng.choice(inputs), 10**30 + rng.randrange(-5, 70), (n := n + 1)) for _ in range(20)]
+            rows = {"part": [inputs.index(i) % 2 for i, _, _ in given], "input_id": pa.array([i for i, _, _ in given], pa.string())}
+            table = pa.table(rows | {"arrival": pa.array([Decimal(a) for _, a, _ in given], kind), "n": [k for *_, k in given]})
+            packed.insert(0, {"readings": packs.pack(table), "changes": None})
+            for i, a, k in given:
+                older = [v for v in known.get(i, {}) if v <= a]
+                expected.add((i, a, k, known[i][max(older)] if older else None, bool(older)))
+        steps.append((now, packed))
+        want.append(expected)
+    got = [{tuple(r[c] for c in ("input_id", "arrival", "n", "val_feed_id", "has_formula")) for o in out for r in packs.unpack(o["readings"]).to_pylist()}
+           for out in driven(processor, steps)]
+    assert got == want
+
+
+def test_formula_state_is_kept_by_part(spark):
+    """Rows of the state don't grow with inputs, and what is kept serves the next run."""
+    schema = "meter_key string, input_id string, feed_id string, arrival decimal(38,0), value double"
+    change = "input_id string, feed_id string, steps string, operands map<string,double>, version bigint"
+    out, checkpoint, paths, want = workspace(spark, "dated"), workspace(spark, "cp"), [workspace(spark, n) for n in ("rows", "changes")], {}
+    for turn in range(2):
+        rows = [(f"m{i}", f"i{i}", f"f{i}", Decimal(turn * 100 + a), 1.0) for i in range(400) for a in (10, 20, 30)]
+        changes = [(f"i{i}", f"val{i}-{turn}", f"*{turn + 2}", {}, turn * 100 + 20) for i in range(0, 400, 2)]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(paths[0])
+        spark.createDataFrame(changes, change).write.mode("append").parquet(paths[1])
+        streams = [spark.readStream.schema(s).parquet(p) for s, p in zip((schema, change), paths, strict=True)]
+        job = jobs.start(state.formula_as_of_stream(*streams, groups=2, parts=3, salts=2), jobs.to_table(out), checkpoint)
+        job.awaitTermination()
+        for m, i, _, a, _ in rows:
+            number, at = int(i[1:]), int(a) - 100 * turn
+            of = None if number % 2 else turn if at >= 20 else turn - 1 if turn else None
+            want[m, int(a)] = None if of is None else f"val{number}-{of}"
+        # Current ones and, the second time, superseded ones.
+        assert job.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 2 * 2 * 3 * 2
+    got = keyed.read_batches(spark, out).collect()
+    assert len(got) == len(want) == 2400 and {(r["meter_key"], int(r["arrival"])): r["val_feed_id"] for r in got} == want
+    assert all(r["has_formula"] == (r["val_feed_id"] is not None) == (r["ops"] is not None) for r in got)
+
+
 def test_first_seen_over_restarts(spark):
     rows = [[("m", "2024-01-10 00:00:00", 5, 1), ("m", "2024-01-10 00:10:00", 2, 2), ("known", "2024-01-10 00:00:00", 3, 1)],
             [("m", "2024-01-10 00:20:00", 7, 3), ("n", "2024-01-10 00:00:00", 8, 4)]]

@@ -6,14 +6,14 @@ another's state.  What can be combined is combined before the shuffle, so that a
 rows; a key that stays hot is salted, or bounded by what the source admits to a micro-batch.
 """
 
-from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BinaryType, BooleanType, StringType, StructField, StructType
 
@@ -36,6 +36,8 @@ SUPERSEDED_LIFE_MS = 36 * HOUR_MS
 FEED_GROUPS, SPAN_SECONDS = 32, 6 * 3600
 # Tasks that the readings of one input are spread over.
 FORMULA_SALTS = 8
+# Groups that inputs are kept in, and the parts of a group that are read and written by themselves.
+INPUT_GROUPS, INPUT_PARTS = 32, 64
 
 Frames = Iterator[pd.DataFrame]
 Rows = Iterator[Row]
@@ -43,6 +45,7 @@ _ENDS = [f"{e}_{c}" for e in ("first", "last") for c in ("t", "arrival", "value"
 _BY = ["feeds", "span", *WINDOW]
 # When a window of this micro-batch was updated, and windows in a pack of results.
 _FRESH, _PACKED_OUT = 2**63 - 1, 1 << 16
+_FORMULA = ["part", "input_id", "version", "val_feed_id", "ops"]
 
 
 def _schema(rows: DataFrame, *columns: str) -> StructType:
@@ -229,66 +232,141 @@ def drop_out_of_order_stream(readings: DataFrame, life_ms: int = NEWEST_LIFE_MS)
 
 
 class _FormulaAsOf(StatefulProcessor):
-    """The formula that each reading of an input found when it arrived."""
+    """The formula that each reading of an input, or of many inputs, found when it arrived.
+
+    Inputs lie in parts, which are read when a reading or change falls into them and written when a change does:
+    their current formulas for good, and superseded ones, each with the time that happened.
+    """
 
     def __init__(self, formula: StructType, names: list[str], life_ms: int):
         self.formula, self.names, self.life_ms = formula, names, life_ms
         self.found = Row(*names, "val_feed_id", "ops", "has_formula")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.current = handle.getValueState("current", self.formula)
-        self.superseded = handle.getMapState("superseded", StructType([self.formula["version"]]), self.formula, self.life_ms)
+        part, formulas = "part int", "formulas binary"
+        self.current = handle.getMapState("current", part, formulas)
+        self.superseded = handle.getMapState("superseded", part, formulas, self.life_ms)
+
+    def known(self, parts: Iterable[int], changes: pa.Table | None, now: int) -> pa.Table | None:
+        """All formulas of these parts that still serve, in the order of inputs and versions; changes are kept."""
+        tables = []
+        # Of equal versions the current one counts, then a change.
+        for rank, held in ((0, self.superseded), (2, self.current)):
+            for part in parts:
+                value = held.getValue((part,))
+                if value is not None:
+                    rows = packs.unpack(value[0])
+                    tables.append(rows.append_column("rank", pa.array(np.full(rows.num_rows, rank))))
+        if changes is not None:
+            own = {"since": np.full(changes.num_rows, now), "rank": np.full(changes.num_rows, 1)}
+            tables.append(pa.table({c: changes[c] for c in _FORMULA} | own))
+        if not tables:
+            return None
+        rows = pa.concat_tables(tables)
+        rank, since = rows["rank"].to_numpy(), rows["since"].to_numpy()
+        rows = rows.filter(pa.array((rank > 0) | (now - since < self.life_ms))).combine_chunks()
+        keys = {"part": rows["part"].to_numpy(), "input": packs.codes(rows["input_id"]), "version": packs.codes(rows["version"])}
+        order = packs.sort_order({"part": keys["part"], "input": keys["input"], "version": rows["version"], "rank": rows["rank"]})
+        ends = np.append(packs.run_starts(*(k[order] for k in keys.values()))[1:], len(order))[: len(order)] - 1
+        order = order[ends]
+        rows, part, code = rows.take(order), keys["part"][order], keys["input"][order]
+        # Current ones stay as long as they are; from the change that replaces them on they are superseded.
+        newest = np.append(code[1:] != code[:-1], True)[: len(code)] | np.append(part[1:] != part[:-1], True)[: len(part)]
+        since = np.where(rows["rank"].to_numpy() == 2, now, rows["since"].to_numpy())
+        rows = rows.drop_columns(["rank"]).set_column(rows.column_names.index("since"), "since", pa.array(since))
+        if changes is not None:
+            changed = np.unique(changes["part"].to_numpy())
+            for held, kept in ((self.current, newest), (self.superseded, ~newest)):
+                mine = rows.filter(pa.array(kept))
+                at = mine["part"].to_numpy()
+                for p, a, b in zip(changed, np.searchsorted(at, changed), np.searchsorted(at, changed, "right"), strict=True):
+                    if a < b:
+                        held.updateValue((int(p),), (packs.pack(mine.slice(a, b - a)),))
+        return rows
+
+    def as_of(self, readings: pa.Table, formulas: pa.Table | None) -> pa.Table:
+        """Adds to readings the newest version of their input that is no later than they are."""
+        n, m = readings.num_rows, formulas.num_rows if formulas is not None else 0
+        at = np.full(n, -1)
+        if n and m:
+            inputs = pa.concat_arrays([t["input_id"].combine_chunks() for t in (formulas, readings)])
+            arrivals = pa.concat_arrays([formulas["version"].combine_chunks(), readings["arrival"].combine_chunks()])
+            code, is_reading = packs.codes(inputs), np.arange(m + n) >= m
+            # A change and a reading at the same arrival: the change counts first.
+            order = packs.sort_order({"input": code, "arrival": arrivals, "reading": is_reading.astype("int8")})
+            last = np.maximum.accumulate(np.where(is_reading[order], -1, np.arange(m + n)))
+            met = np.where(last >= 0, order[last], -1)
+            met = np.where((met >= 0) & (code[met] == code[order]), met, -1)
+            read = is_reading[order]
+            at[order[read] - m] = met[read]
+        none = pa.nulls(n, pa.string())
+        taken = pa.array(at, mask=at < 0)
+        found = {c: formulas[c].combine_chunks().take(taken) if m else none for c in ("val_feed_id", "ops")}
+        return pa.table({c: readings[c] for c in readings.column_names} | found | {"has_formula": pa.array(at >= 0)})
 
     def handleInputRows(self, key, rows, timerValues) -> Rows:
-        readings, versions = [], {}
+        readings, changes = [], []
         for r in rows:
             if r["version"] is None:
                 readings.append(r)
             else:
-                versions[r["version"]] = (r["version"], r["val_feed_id"], r["ops"])
-        known = self.current.get()
-        if versions:
-            if known is not None:
-                versions[known[0]] = tuple(known)
-            newest = max(versions)
-            for version, formula in versions.items():
-                if version != newest:
-                    self.superseded.updateValue((version,), formula)
-            known = versions[newest]
-            self.current.update(known)
-        elif known is not None:
-            versions[known[0]] = tuple(known)
-        if known is not None and any(r["arrival"] < known[0] for r in readings):
-            versions |= {version[0]: tuple(formula) for version, formula in self.superseded.iterator()}
-        order = sorted(versions)
-        for r in readings:
-            at = bisect_right(order, r["arrival"])
-            formula = (*versions[order[at - 1]][1:], True) if at else (None, None, False)
-            yield self.found(*(r[c] for c in self.names), *formula)
-
-
-def formula_as_of_stream(readings: DataFrame, formulas: DataFrame, life_ms: int = SUPERSEDED_LIFE_MS, salts: int = FORMULA_SALTS) -> DataFrame:
+                changes.append({"part": 0, "input_id": key[0], **{c: r[c] for c in _FORMULA[2:]}})
+        schema = pa.schema([("part", pa.int32()), ("input_id", pa.string()), *((f.name, to_arrow_type(f.dataType)) for f in self.formula)])
+        formulas = self.known([0], pa.Table.from_pylist(changes, schema) if changes else None, timerValues.getCurrentProcessingTimeInMs())
+        arrivals = pa.array([r["arrival"] for r in readings], schema.field("version").type)
+        dated = self.as_of(pa.table({"input_id": pa.array([key[0]] * len(readings), pa.string()), "arrival": arrivals}), formulas)
+        for r, f in zip(readings, dated.select(["val_feed_id", "ops", "has_formula"]).to_pylist(), strict=True):
+            yield self.found(*(r[c] for c in self.names), *f.values())
+
+
+class _PackedFormulaAsOf(_FormulaAsOf):
+    """The same with readings and changes that come and go in packs."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Rows:
+        given = {"readings": [], "changes": []}
+        for r in rows:
+            for name, tables in given.items():
+                if r[name] is not None:
+                    tables.append(packs.unpack(r[name]))
+        changes = pa.concat_tables(given["changes"]) if given["changes"] else None
+        parts = {int(p) for tables in given.values() for t in tables for p in np.unique(t["part"].to_numpy())}
+        formulas = self.known(sorted(parts), changes, timerValues.getCurrentProcessingTimeInMs())
+        while given["readings"]:
+            yield Row(readings=packs.pack(self.as_of(given["readings"].pop(), formulas).select([*self.found])))
+
+
+def formula_as_of_stream(
+    readings: DataFrame,
+    formulas: DataFrame,
+    life_ms: int = SUPERSEDED_LIFE_MS,
+    salts: int = FORMULA_SALTS,
+    groups: int = INPUT_GROUPS,
+    parts: int = INPUT_PARTS,
+) -> DataFrame:
     """Registered readings with the formula current when they arrived, ready for ``apply_formula``.
 
     Readings and formula changes are one keyed stream.  The state holds an input's current formula for good and
     a superseded one for ``life_ms``, so that a reading which comes after its formula was replaced still finds
     it.  A change and a reading at the same arrival: the change counts first.  State is empty when a job starts
-    on a new checkpoint: earlier formulas do not count then.  An input's readings are spread over ``salts``
-    tasks, each with the input's formulas.
+    on a new checkpoint: earlier formulas do not count then.  Inputs are dealt to ``groups`` of ``parts``; a group's
+    readings are spread over ``salts`` tasks, each with the group's formulas.
     """
-    names, version, text = readings.columns, readings.schema["arrival"].dataType, StringType()
-    own = {"version": version, "val_feed_id": text, "ops": text}
-    spread = F.pmod(F.xxhash64("arrival", "meter_key"), F.lit(salts)).cast("int")
-    rows = readings.select(*names, *(F.lit(None).cast(kind).alias(c) for c, kind in own.items()), spread.alias("_salt"))
+    names, version = readings.columns, readings.schema["arrival"].dataType
+    if clash := {"part", "_group", "_salt"} & {*names}:
+        raise ValueError(f"readings have columns {sorted(clash)}")
+    place = F.pmod(F.xxhash64("input_id"), F.lit(groups * parts))
+    group, part = F.floor(place / parts).cast("int").alias("_group"), (place % parts).cast("int").alias("part")
+    spread = F.pmod(F.xxhash64("arrival", "meter_key"), F.lit(salts)).cast("int").alias("_salt")
+    rows = packs.packed_by(readings.select(group, spread, part, *names), ["_group", "_salt"], "readings")
     changes = compile_formulas(formulas).select(
-        *(F.col(c) if c == "input_id" else F.lit(None).cast(readings.schema[c].dataType).alias(c) for c in names),
-        F.col("version").cast(version).alias("version"),
-        F.col("feed_id").alias("val_feed_id"),
-        F.to_json("ops").alias("ops"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
+        group, part, "input_id", F.col("version").cast(version).alias("version"), F.col("feed_id").alias("val_feed_id"), F.to_json("ops").alias("ops")
     )
-    formula = _schema(rows, *own)
+    changes = packs.packed_by(changes, ["_group"], "changes")
+    # Packed once, not once per salt.
+    changes = changes.select("_group", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"), "changes")
+    keyed = rows.unionByName(changes, allowMissingColumns=True).groupBy("_group", "_salt")
+    formula = StructType([StructField("version", version), *(StructField(c, StringType()) for c in ("val_feed_id", "ops"))])
     out = StructType([*readings.schema, *formula[1:], StructField("has_formula", BooleanType())])
-    keyed = rows.union(changes).groupBy("input_id", "_salt")
-    found = keyed.transformWithState(_FormulaAsOf(formula, names, life_ms), out, "Append", "ProcessingTime")
-    return found.withColumn("ops", F.from_json("ops", OPS))
+    processor = _PackedFormulaAsOf(formula, names, life_ms)
+    found = keyed.transformWithState(processor, StructType([StructField("readings", BinaryType())]), "Append", "ProcessingTime")
+    return packs.opened(found, "readings", out).withColumn("ops", F.from_json("ops", OPS))
